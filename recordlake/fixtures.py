@@ -8,17 +8,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordlake.functions.times import DATE_ONLY, MILLIS_Z, SECONDS_Z
+from recordlake.sources.layout import LANDING_LEVELS, landing_columns
+from recordlake.sources.ndjson import parse_record
+from recordlake.session import scratch_dir
 from recordlake.plans.specs import (
     CLINICAL_IMPRESSION,
     IMMUNIZATION,
     MEDICATION_ORDER,
     OBSERVATION,
+    VERSIONS,
 )
 
 AS_OF = "2024-06-01 12:30:45.678"
 
+_TEXT, _LONG, _DOUBLE = T.StringType(), T.LongType(), T.DoubleType()
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, data_type) for name, data_type in fields.items()])
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -158,3 +169,213 @@ BUILDERS = {
 def raw_records(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
     build, source = BUILDERS[resource_type]
     return build(table(spark, sf_dir, source))
+
+
+# ---- one nested JSON text per line item ----
+
+NESTED_SCHEMA = _struct(
+    resourceType=_TEXT,
+    id=_TEXT,
+    meta=_struct(lastUpdated=_TEXT),
+    subject=_struct(displayName=_TEXT, address=_struct(nationKey=_LONG)),
+    lineItems=T.ArrayType(
+        _struct(
+            partKey=_LONG, qty=_DOUBLE, note=_TEXT, coding=T.ArrayType(_struct(retFlag=_TEXT))
+        )
+    ),
+    tags=T.ArrayType(_TEXT),
+    emptyList=T.ArrayType(_TEXT),
+)
+
+
+def nested_json(lineitem: DataFrame) -> DataFrame:
+    """``value``: JSON text with objects, lists of objects, and empty values.
+
+    The list of items has 0, 1 or 2 entries; only second entries have a note.
+    """
+    part, line = F.col("l_partkey"), F.col("l_linenumber")
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+
+    def item(part_key: Column, qty: Column, note: Column, *flags: Column) -> Column:
+        codes = F.array(*[F.struct(f.alias("retFlag")) for f in flags])
+        return F.struct(
+            part_key.alias("partKey"), qty.alias("qty"), note.alias("note"), codes.alias("coding")
+        )
+
+    first = item(part, F.col("l_quantity"), F.lit(None).cast("string"), flag)
+    second = item(
+        part + 1, F.col("l_extendedprice"), F.concat(F.lit("note "), flag), status, flag
+    )
+    items = (
+        F.when(line % 3 == 0, F.filter(F.array(first), lambda _: F.lit(False)))
+        .when(line % 3 == 1, F.array(first))
+        .otherwise(F.array(first, second))
+    )
+    body = F.to_json(
+        F.struct(
+            F.lit("LineRecord").alias("resourceType"),
+            F.concat_ws("-", F.col("l_orderkey").cast("string"), line.cast("string")).alias("id"),
+            F.struct(_millis(F.col("l_shipdate")).alias("lastUpdated")).alias("meta"),
+            F.struct(
+                F.concat(F.lit("Supplier "), _text("l_suppkey")).alias("displayName"),
+                F.struct((F.col("l_suppkey") % 25).alias("nationKey")).alias("address"),
+            ).alias("subject"),
+            items.alias("lineItems"),
+            F.array(flag, status).alias("tags"),
+        )
+    )
+    return lineitem.select(with_members(body, '"emptyList":[],"emptyObj":{}').alias("value"))
+
+
+def with_members(json_object: Column, members: str) -> Column:
+    return F.concat(F.regexp_replace(json_object, r"\}$", ""), F.lit("," + members + "}"))
+
+
+def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = nested_json(table(spark, sf_dir, "lineitem"))
+    return texts.select(parse_record(F.col("value"), NESTED_SCHEMA).alias("r")).select("r.*")
+
+
+CLASHING_SCHEMA = _struct(
+    id=_TEXT, Id=_TEXT, parts=T.ArrayType(_struct(qty=_DOUBLE, Qty=_DOUBLE))
+)
+
+
+def clashing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that spell a key ``Id`` or ``id``, and ``Qty`` or ``qty`` in a list."""
+    line = F.col("l_linenumber")
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), line.cast("string"))
+    odd, missing = line % 2 == 1, F.lit(None).cast("double")
+    body = F.to_json(
+        F.struct(
+            F.when(odd, key).alias("Id"),
+            F.when(~odd, key).alias("id"),
+            F.array(
+                F.struct(F.col("l_quantity").alias("qty"), missing.alias("Qty")),
+                F.struct(missing.alias("qty"), F.col("l_extendedprice").alias("Qty")),
+            ).alias("parts"),
+        )
+    )
+    lines = table(spark, sf_dir, "lineitem").select(body.alias("value"))
+    return lines.select(parse_record(F.col("value"), CLASHING_SCHEMA).alias("r")).select("r.*")
+
+
+# ---- NDJSON files of events ----
+
+EVENT_SCHEMA = _struct(
+    event_id=_LONG, ts=_TEXT, user_id=_LONG, event_type=_TEXT, value=_DOUBLE, props=_TEXT
+)
+BUCKET_DIRECTORY = r"^(.*/bucket=[^/]+)/"
+BROKEN_LINE = '{"event_id": 1, "event_type": "cli'
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bucket, value``: one JSON text per event; eight buckets of users."""
+    event = F.struct(
+        "event_id",
+        F.date_format("ts", MILLIS_Z).alias("ts"),
+        *["user_id", "event_type", "value", "props"],
+    )
+    return table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 8).alias("bucket"), F.to_json(event).alias("value")
+    )
+
+
+def write_event_files(spark: SparkSession, sf_dir: str) -> str:
+    """One directory of NDJSON per bucket; bucket 3 gets a malformed line."""
+    root = scratch_dir(spark, "event-files")
+    broken = spark.range(1).select(
+        F.lit(3).cast("bigint").alias("bucket"), F.lit(BROKEN_LINE).alias("value")
+    )
+    lines = event_lines(spark, sf_dir).unionByName(broken)
+    lines.write.partitionBy("bucket").text(root)
+    return root
+
+
+def write_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Events in the raw landing layout, under four participant ids such as ``007``."""
+    root = scratch_dir(spark, "landing")
+    levels = landing_columns(
+        F.col("ts"),
+        source="events",
+        user_id=F.format_string("%03d", F.col("user_id") % 4),
+        version=F.lit("dstu2"),
+        model=F.lit(OBSERVATION),
+    )
+    event = F.struct(
+        "event_id", F.date_format("ts", MILLIS_Z).alias("ts"), "event_type", "value"
+    )
+    lines = table(spark, sf_dir, "events").select(
+        F.to_json(event).alias("value"), *[c.alias(n) for n, c in levels.items()]
+    )
+    lines.write.partitionBy(*LANDING_LEVELS, "model").text(root)
+    return root
+
+
+LANDING_SCHEMA = _struct(event_id=_LONG, ts=_TEXT, event_type=_TEXT, value=_DOUBLE)
+
+
+def write_record_files(spark: SparkSession, sf_dir: str) -> str:
+    """All four record types as NDJSON; one bucket of observations has a malformed line."""
+    root = scratch_dir(spark, "record-files")
+    bucket = F.col("user_id").cast("bigint") % 8
+    parts = []
+    for resource_type in BUILDERS:
+        raw = raw_records(spark, sf_dir, resource_type)
+        parts.append(
+            raw.select(
+                F.lit(resource_type).alias("resource_type"),
+                bucket.alias("bucket"),
+                F.to_json(F.struct(*raw.columns)).alias("value"),
+            )
+        )
+    parts.append(
+        spark.range(1).select(
+            F.lit(OBSERVATION).alias("resource_type"),
+            F.lit(3).cast("bigint").alias("bucket"),
+            F.lit(BROKEN_LINE).alias("value"),
+        )
+    )
+    lines = parts[0]
+    for part in parts[1:]:
+        lines = lines.unionByName(part)
+    lines.write.partitionBy("resource_type", "bucket").text(root)
+    return root
+
+
+# ---- control rows ----
+
+
+def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One export manifest per event, three files each; types repeat within and across."""
+    n, kind = F.col("event_id"), F.col("event_type")
+
+    def entry(type_: Column, name: str) -> Column:
+        return F.struct(type_.alias("type"), F.concat(F.lit(f"u/{name}/"), n.cast("string")).alias("url"))
+
+    return table(spark, sf_dir, "events").select(
+        _text("user_id").alias("user_id"),
+        F.element_at(F.array(*[F.lit(v) for v in VERSIONS]), (n % 3 + 1).cast("int")).alias("version"),
+        n.alias("export_id"),
+        F.array(entry(kind, "a"), entry(F.lit("Patient"), "b"), entry(kind, "c")).alias("output"),
+    )
+
+
+def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: source, version and model; status is skip, proceed or null."""
+    key, priority, status = F.col("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus")
+    model = (
+        F.when(priority == "1-URGENT", OBSERVATION)
+        .when(priority == "2-HIGH", IMMUNIZATION)
+        .when(priority == "3-MEDIUM", CLINICAL_IMPRESSION)
+        .when(priority == "4-NOT SPECIFIED", MEDICATION_ORDER)
+        .otherwise("Patient")
+    )
+    version = F.element_at(F.array(*[F.lit(v) for v in VERSIONS]), (key % 3 + 1).cast("int"))
+    return table(spark, sf_dir, "orders").select(
+        key.alias("input_key"),
+        F.lit("orders").alias("source"),
+        version.alias("version"),
+        model.alias("model"),
+        F.when(status == "F", "skip").when(status == "O", "proceed").alias("status"),
+    )

@@ -176,3 +176,159 @@ chosen as (select participant_id as who, min(priority) as first from ranked grou
     "distinct_resource_types": f"""with {OBSERVATION}, {IMMUNIZATION}, {IMPRESSION}, {MEDICATION},
 {ALL_RECORDS} select distinct resource_type from records""",
 }
+
+NESTED = f"""
+nested as (
+  select l_orderkey || '-' || l_linenumber as id, l_linenumber % 3 as kind,
+    {zms('l_shipdate')} as updated, 'Supplier ' || l_suppkey as supplier,
+    l_suppkey % 25 as nation, l_partkey as part, l_quantity as qty, l_extendedprice as price,
+    l_returnflag as flag, l_linestatus as status
+  from lineitem)"""
+
+EVENT_COLUMNS = (
+    f"event_id, {zms('ts')} as ts, user_id, event_type, value, props"
+)
+
+SPELLINGS = """
+spellings as (
+  select p_name || p_type || p_brand || 'xYz' as value from part
+  union all select text from documents)"""
+
+VERSION = "case {0} % 3 when 0 then 'dstu2' when 1 then 'stu3' else 'r4' end"
+
+ENTRIES = f"""
+entries as (
+  select cast(user_id as varchar) as user_id, {VERSION.format('event_id')} as version,
+    event_id, position, type, url
+  from (
+    select *, 0 as position, event_type as type, 'u/a/' || event_id as url from events
+    union all select *, 1, 'Patient', 'u/b/' || event_id from events
+    union all select *, 2, event_type, 'u/c/' || event_id from events))"""
+
+CONTROL = f"""
+control_rows as (
+  select o_orderkey as input_key, 'orders' as source, {VERSION.format('o_orderkey')} as version,
+    case o_orderpriority when '1-URGENT' then 'Observation' when '2-HIGH' then 'Immunization'
+      when '3-MEDIUM' then 'ClinicalImpression' when '4-NOT SPECIFIED' then 'MedicationOrder'
+      else 'Patient' end as model,
+    case o_orderstatus when 'F' then 'skip' when 'O' then 'proceed' end as status
+  from orders)"""
+
+LANDING = f"""
+landing as (
+  select event_id, {zms('ts')} as ts, event_type, value, 'events' as source,
+    printf('%03d', user_id % 4) as user_id, 'dstu2' as version, strftime(ts, '%Y') as year,
+    strftime(ts, '%m') as month, strftime(ts, '%d') as day, 'Observation' as model
+  from events)"""
+
+ORACLES |= {
+    "flatten_struct": f"""with {NESTED}
+  select id, 'LineRecord' as resource_type, updated as meta__last_updated,
+    supplier as subject__display_name, nation as subject__address__nation_key
+  from nested""",
+    "flatten_arrays": f"""with {NESTED}
+  select id,
+    case kind when 1 then cast(part as varchar) when 2 then part || '|' || (part + 1) end
+      as line_items__part_key,
+    case kind when 1 then cast(qty as varchar) when 2 then qty || '|' || price end
+      as line_items__qty,
+    case kind when 2 then 'note ' || flag end as line_items__note,
+    flag || '|' || status as tags, cast(null as varchar) as empty_list
+  from nested""",
+    "flatten_arrays_aligned": f"""with {NESTED}
+  select id,
+    case kind when 1 then cast(part as varchar) when 2 then part || '|' || (part + 1) end
+      as line_items__part_key,
+    case kind when 1 then '~' when 2 then '~|note ' || flag end as line_items__note
+  from nested""",
+    "flatten_nested_array": f"""with {NESTED}
+  select id, cast(nullif(kind, 0) as bigint) as n_lists,
+    case kind when 1 then flag when 2 then flag || '|' || status || '|' || flag end as flags
+  from nested""",
+    "flatten_collision": """
+  select l_orderkey || '-' || l_linenumber as id,
+    l_quantity || '|' || l_extendedprice as parts__qty
+  from lineitem""",
+    "explode_flatten_dunder": f"""with {NESTED}, exploded as (
+  select *, cast(null as bigint) as part_key, cast(null as double) as item_qty,
+    cast(null as varchar) as note, cast(null as varchar) as code from nested where kind = 0
+  union all select *, part, qty, null, flag from nested where kind > 0
+  union all select *, part + 1, price, 'note ' || flag, status from nested where kind = 2
+  union all select *, part + 1, price, 'note ' || flag, flag from nested where kind = 2)
+  select id, supplier as subject__display_name, nation as subject__address__nation_key,
+    part_key as line_items__part_key, cast(item_qty as varchar) as line_items__qty,
+    note as line_items__note, code as line_items__coding__ret_flag
+  from exploded""",
+    "explode_flatten_cross": f"""with {NESTED}, exploded as (
+  select *, cast(null as bigint) as part_key, cast(null as varchar) as code
+    from nested where kind = 0
+  union all select *, part, flag from nested where kind > 0
+  union all select *, part + 1, status from nested where kind = 2
+  union all select *, part + 1, flag from nested where kind = 2)
+  select id, part_key as "lineItems_partKey", code as "lineItems_coding_retFlag",
+    unnest([flag, status]) as tags, cast(null as varchar) as "emptyList"
+  from exploded""",
+    "snake_case_values": f"""with {SPELLINGS}
+  select value, ltrim(lower(regexp_replace(value, '(\\p{{Lu}})', '_\\1', 'g')), '_') as snake
+  from spellings""",
+    "camel_to_snake_values": f"""with {SPELLINGS}
+  select value, lower(regexp_replace(
+    regexp_replace(value, '(.)([A-Z][a-z]+)', '\\1_\\2', 'g'),
+    '([a-z0-9])([A-Z])', '\\1_\\2', 'g')) as snake
+  from spellings""",
+    "quarantine_good": f"""
+  select cast(user_id % 8 as varchar) as bucket, {EVENT_COLUMNS}
+  from events where user_id % 8 <> 3""",
+    "quarantine_bad": """
+  select '3' as bucket, count(*) + 1 as n_records, cast(1 as bigint) as n_bad
+  from events where user_id % 8 = 3""",
+    "file_counts": """
+  select count(distinct user_id % 8) as n_files, count(distinct user_id % 8) - 1 as n_files_kept,
+    count(*) + 1 as n_records, count(*) filter (user_id % 8 <> 3) as n_records_kept
+  from events""",
+    "missing_files": """
+  select cast(o_custkey % 12 as varchar) as bucket, count(*) as n_orders,
+    o_custkey % 12 in (select user_id % 8 from events) as found
+  from orders group by o_custkey % 12""",
+    "file_lineage": f"""with {LANDING}
+  select 'source=' || source || '/user_id=' || user_id || '/version=' || version || '/year=' || year
+      || '/month=' || month || '/day=' || day || '/model=' || model as path,
+    source, user_id, version, model, count(*) as n_records
+  from landing group by all""",
+    "landing_roundtrip": f"with {LANDING} select * from landing",
+    "load_parquet": f"""with {LANDING}
+  select event_id, ts, event_type, value, source, version, model as resource_type, user_id
+  from landing""",
+    "ndjson_gz_roundtrip": f"select {EVENT_COLUMNS} from events",
+    "parquet_overwrite_roundtrip": """
+  select event_id, case when event_type in ('click', 'view') then -1.0 else value end as value,
+    event_type
+  from events""",
+    "parquet_merged_scan": """
+  select event_id, case when event_id % 2 = 0 then value end as value,
+    case when event_id % 2 = 1 then event_type end as event_type
+  from events""",
+    "schema_registry": """
+  select 'events' as source, 'dstu2' as version, 'Observation' as model, position, "column",
+    type, true as nullable
+  from (values (0, 'event_id', 'long'), (1, 'event_type', 'string'), (2, 'ts', 'string'),
+    (3, 'value', 'double')) as t(position, "column", type)""",
+    "manifest_last_wins": f"""with {ENTRIES}
+  select user_id, version, type, url
+  from (select *, row_number() over (partition by user_id, version, type
+    order by event_id desc, position desc) as latest from entries)
+  where latest = 1""",
+    "manifest_all_entries": f"with {ENTRIES} select user_id, version, type, url from entries",
+    "route_status": f"""with {CONTROL}
+  select input_key, source, version, model,
+    case when version = 'dstu2' and model <> 'Patient' then 'proceed' else 'skip' end as status
+  from control_rows""",
+    "active_inputs": f"""with {CONTROL}
+  select * from control_rows where status is distinct from 'skip'""",
+    "incremental_ingest": f"""
+  select cast(user_id % 8 as varchar) as bucket, {EVENT_COLUMNS} from events""",
+    "medical_records_from_files": f"""with {OBSERVATION}, {IMMUNIZATION}, {IMPRESSION}, {MEDICATION},
+{ALL_RECORDS}
+  select * from records
+  where not (resource_type = 'Observation' and cast(participant_id as bigint) % 8 = 3)""",
+}

@@ -9,18 +9,26 @@ from pyspark.sql import functions as F
 
 from recordlake import fixtures
 from recordlake.fixtures import AS_OF, raw_records, table
+from recordlake.functions.names import camel_to_snake, camel_to_snake_value, snake_case_value
+from recordlake.functions.times import MILLIS_Z
+from recordlake.operators import control
+from recordlake.operators.explode import explode_flatten
 from recordlake.operators.flatten import flatten
 from recordlake.operators.staging import stage
 from recordlake.operators.unify import distinct_types, project, unify, unify_mixed
+from recordlake.plans.medical_records import medical_records
 from recordlake.plans.specs import (
     CLINICAL_IMPRESSION,
     IMMUNIZATION,
     MEDICATION_ORDER,
     OBSERVATION,
     PRIORITY,
+    RECORD_COLUMNS,
     STAGING,
 )
-from recordlake.session import lake_session
+from recordlake.session import lake_session, scratch_dir
+from recordlake.sources import layout, ndjson, registry, tables
+from recordlake.streaming.incremental import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -195,3 +203,293 @@ def unify_first_match(spark, sf_dir):
 @query
 def distinct_resource_types(spark, sf_dir):
     return distinct_types(unify({t: staged(spark, sf_dir, t) for t in PRIORITY}))
+
+
+# ---- flattening ----
+
+
+@query
+def flatten_struct(spark, sf_dir):
+    return flatten(fixtures.nested_records(spark, sf_dir)).select(
+        "id",
+        "resource_type",
+        "meta__last_updated",
+        "subject__display_name",
+        "subject__address__nation_key",
+    )
+
+
+@query
+def flatten_arrays(spark, sf_dir):
+    return flatten(fixtures.nested_records(spark, sf_dir)).select(
+        "id",
+        listed("line_items__part_key"),
+        listed("line_items__qty"),
+        listed("line_items__note"),
+        listed("tags"),
+        listed("empty_list"),
+    )
+
+
+@query
+def flatten_arrays_aligned(spark, sf_dir):
+    flat = flatten(fixtures.nested_records(spark, sf_dir), aligned=True)
+    return flat.select(
+        "id",
+        listed("line_items__part_key"),
+        F.array_join("line_items__note", "|", "~").alias("line_items__note"),
+    )
+
+
+@query
+def flatten_nested_array(spark, sf_dir):
+    coding = F.col("line_items__coding")
+    return flatten(fixtures.nested_records(spark, sf_dir)).select(
+        "id",
+        F.when(coding.isNotNull(), F.size(coding)).cast("bigint").alias("n_lists"),
+        F.array_join(F.flatten(coding)["retFlag"], "|").alias("flags"),
+    )
+
+
+@query
+def flatten_collision(spark, sf_dir):
+    flat = flatten(fixtures.clashing_records(spark, sf_dir), on_collision="coalesce")
+    return flat.select("id", listed("parts__qty"))
+
+
+@query
+def explode_flatten_dunder(spark, sf_dir):
+    nested = fixtures.nested_records(spark, sf_dir).select("id", "subject", "lineItems")
+    return explode_flatten(nested, "__", rename=camel_to_snake).select(
+        "id",
+        "subject__display_name",
+        "subject__address__nation_key",
+        "line_items__part_key",
+        *text_of("line_items__qty"),
+        "line_items__note",
+        "line_items__coding__ret_flag",
+    )
+
+
+@query
+def explode_flatten_cross(spark, sf_dir):
+    nested = fixtures.nested_records(spark, sf_dir).select("id", "lineItems", "tags", "emptyList")
+    return explode_flatten(nested).select(
+        "id", "lineItems_partKey", "lineItems_coding_retFlag", "tags", "emptyList"
+    )
+
+
+# ---- names ----
+
+
+def _spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with single capitals, runs of capitals and none, and whole documents."""
+    parts = table(spark, sf_dir, "part").select(
+        F.concat("p_name", "p_type", "p_brand", F.lit("xYz")).alias("value")
+    )
+    texts = table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    return parts.unionByName(texts)
+
+
+@query
+def snake_case_values(spark, sf_dir):
+    return _spellings(spark, sf_dir).select(
+        "value", snake_case_value(F.col("value")).alias("snake")
+    )
+
+
+@query
+def camel_to_snake_values(spark, sf_dir):
+    return _spellings(spark, sf_dir).select(
+        "value", camel_to_snake_value(F.col("value")).alias("snake")
+    )
+
+
+# ---- NDJSON files ----
+
+
+def _audited(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    root = fixtures.write_event_files(spark, sf_dir)
+    lines = ndjson.read_lines(spark, root)
+    return root, ndjson.audit_files(lines, unit_pattern=fixtures.BUCKET_DIRECTORY)
+
+
+@query
+def quarantine_good(spark, sf_dir):
+    root, audit = _audited(spark, sf_dir)
+    records = ndjson.read_ndjson(spark, root, fixtures.EVENT_SCHEMA)
+    good = ndjson.keep_good(records, audit, unit_pattern=fixtures.BUCKET_DIRECTORY)
+    return good.select("bucket", *fixtures.EVENT_SCHEMA.names)
+
+
+@query
+def quarantine_bad(spark, sf_dir):
+    _, audit = _audited(spark, sf_dir)
+    return ndjson.rejected_files(audit).select(
+        F.regexp_extract("unit", "bucket=(.*)$", 1).alias("bucket"), "n_records", "n_bad"
+    )
+
+
+@query
+def file_counts(spark, sf_dir):
+    _, audit = _audited(spark, sf_dir)
+    return ndjson.count_files(audit)
+
+
+@query
+def missing_files(spark, sf_dir):
+    """Orders name the buckets they expect; some of those were never written."""
+    root = fixtures.write_event_files(spark, sf_dir)
+    bucket = F.regexp_extract("path", "bucket=([^/]+)/", 1).alias("bucket")
+    files = layout.list_files(spark, root, "*.txt").select(bucket)
+    expected = table(spark, sf_dir, "orders").groupBy(
+        (F.col("o_custkey") % 12).cast("string").alias("bucket")
+    )
+    control = expected.agg(F.count(F.lit(1)).alias("n_orders"))
+    return layout.mark_missing(control, files, "bucket").select("bucket", "n_orders", "found")
+
+
+@query
+def file_lineage(spark, sf_dir):
+    root = fixtures.write_landing(spark, sf_dir)
+    lines = ndjson.read_lines(spark, root, basePath=root)
+    audit = ndjson.audit_files(lines, unit_pattern="^(.*/model=[^/]+)/")
+    return layout.describe_files(audit).select(
+        F.regexp_extract("path", "/(source=.*)$", 1).alias("path"),
+        "source",
+        "user_id",
+        "version",
+        "model",
+        "n_records",
+    )
+
+
+@query
+def landing_roundtrip(spark, sf_dir):
+    root = fixtures.write_landing(spark, sf_dir)
+    records = ndjson.read_ndjson(spark, root, fixtures.LANDING_SCHEMA, basePath=root)
+    return records.select(*fixtures.LANDING_SCHEMA.names, *layout.LANDING_LEVELS, "model")
+
+
+@query
+def load_parquet(spark, sf_dir):
+    """Many landing files, schema inferred, to one partitioned Parquet dataset."""
+    root = fixtures.write_landing(spark, sf_dir)
+    out = scratch_dir(spark, "loaded")
+    loaded = tables.load_ndjson(spark, root, basePath=root)
+    tables.write_table(loaded, out, layout.LOADED_LEVELS, rebalance=True)
+    return tables.read_tables(spark, out, loaded.schema).select(
+        *fixtures.LANDING_SCHEMA.names, *layout.LOADED_LEVELS
+    )
+
+
+@query
+def ndjson_gz_roundtrip(spark, sf_dir):
+    out = scratch_dir(spark, "gz")
+    events = table(spark, sf_dir, "events")
+    events = events.withColumn("ts", F.date_format("ts", MILLIS_Z))
+    tables.write_ndjson(events, out, records_per_file=50_000)
+    return ndjson.read_ndjson(spark, out, fixtures.EVENT_SCHEMA).drop(ndjson.SOURCE_FILE)
+
+
+# ---- tables and schemas ----
+
+
+@query
+def parquet_overwrite_roundtrip(spark, sf_dir):
+    """Two of five partitions are replaced, the others stay."""
+    out = scratch_dir(spark, "overwrite")
+    events = table(spark, sf_dir, "events").select("event_id", "value", "event_type")
+    tables.write_table(events, out, ["event_type"])
+    changed = events.where(F.col("event_type").isin("click", "view"))
+    tables.write_table(changed.withColumn("value", F.lit(-1.0)), out, ["event_type"], rebalance=True)
+    return tables.read_tables(spark, out, events.schema)
+
+
+@query
+def parquet_merged_scan(spark, sf_dir):
+    """Two inputs with different columns, in one scan."""
+    first, second = scratch_dir(spark, "merge-a"), scratch_dir(spark, "merge-b")
+    events = table(spark, sf_dir, "events")
+    even = F.col("event_id") % 2 == 0
+    tables.write_table(events.where(even).select("event_id", "value"), first)
+    tables.write_table(events.where(~even).select("event_id", "event_type"), second)
+    return tables.read_tables(spark, [first, second]).select("event_id", "value", "event_type")
+
+
+@query
+def schema_registry(spark, sf_dir):
+    """Schemas inferred from all landing files, stored, and listed by column."""
+    landing = fixtures.write_landing(spark, sf_dir)
+    records = ndjson.read_ndjson(spark, landing, basePath=landing)
+    inferred = records.drop(*layout.LANDING_LEVELS, "model", ndjson.SOURCE_FILE).schema
+    root = scratch_dir(spark, "schemas")
+    registry.write_schemas(spark, root, {("events", "dstu2", OBSERVATION): inferred})
+    return registry.table_definitions(registry.read_schemas(spark, root))
+
+
+# ---- control ----
+
+
+@query
+def manifest_last_wins(spark, sf_dir):
+    exports = fixtures.manifests(spark, sf_dir)
+    return control.flatten_manifest(exports, ["user_id", "version"], "export_id")
+
+
+@query
+def manifest_all_entries(spark, sf_dir):
+    exports = fixtures.manifests(spark, sf_dir)
+    return control.flatten_manifest(exports, ["user_id", "version"], "export_id", keep="all")
+
+
+@query
+def route_status(spark, sf_dir):
+    return control.route(fixtures.control_rows(spark, sf_dir))
+
+
+@query
+def active_inputs(spark, sf_dir):
+    return control.active(fixtures.control_rows(spark, sf_dir))
+
+
+# ---- streaming, and everything together ----
+
+
+@query
+def incremental_ingest(spark, sf_dir):
+    """Files arrive in two waves, one gzipped; each is taken once."""
+    landing, out = scratch_dir(spark, "arrivals"), scratch_dir(spark, "ingested")
+    checkpoint = scratch_dir(spark, "ingest-checkpoint")
+    lines = fixtures.event_lines(spark, sf_dir)
+    late = F.col("bucket") == 5
+    waves = [(lines.where(~late), "none"), (lines.where(late), "gzip")]
+    for wave, compression in waves:
+        wave.write.mode("append").option("compression", compression).partitionBy("bucket").text(
+            landing
+        )
+        ingest_new_files(spark, landing, fixtures.EVENT_SCHEMA, out, checkpoint)
+    return tables.read_tables(spark, out).select("bucket", *fixtures.EVENT_SCHEMA.names)
+
+
+@query
+def medical_records_from_files(spark, sf_dir):
+    """Raw NDJSON with a rejected file, to the partitioned record table, read back."""
+    root = fixtures.write_record_files(spark, sf_dir)
+    catalog = scratch_dir(spark, "record-schemas")
+    registry.write_schemas(
+        spark,
+        catalog,
+        {("demo", "dstu2", t): raw_records(spark, sf_dir, t).schema for t in PRIORITY},
+    )
+    known = registry.read_schemas(spark, catalog)
+    records = medical_records(
+        spark,
+        {t: f"{root}/resource_type={t}" for t in PRIORITY},
+        {t: registry.schema_of(known, t) for t in PRIORITY},
+        as_of=AS_OF,
+        unit_pattern=fixtures.BUCKET_DIRECTORY,
+    )
+    out = scratch_dir(spark, "medical-records")
+    tables.write_table(records, out, ["resource_type"], rebalance=True)
+    return tables.read_tables(spark, out, records.schema).select(*RECORD_COLUMNS)
