@@ -14,6 +14,7 @@ from recordlake.functions.times import DATE_ONLY, MILLIS_Z, SECONDS_Z
 from recordlake.sources.layout import LANDING_LEVELS, landing_columns
 from recordlake.sources.ndjson import parse_record
 from recordlake.session import scratch_dir
+from recordlake.sources.tables import spread
 from recordlake.plans.specs import (
     CLINICAL_IMPRESSION,
     IMMUNIZATION,
@@ -32,7 +33,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _text(column: str) -> Column:
@@ -222,13 +223,11 @@ def nested_json(lineitem: DataFrame) -> DataFrame:
             ).alias("subject"),
             items.alias("lineItems"),
             F.array(flag, status).alias("tags"),
+            F.array().cast("array<string>").alias("emptyList"),
+            F.create_map().cast("map<string,string>").alias("emptyObj"),
         )
     )
-    return lineitem.select(with_members(body, '"emptyList":[],"emptyObj":{}').alias("value"))
-
-
-def with_members(json_object: Column, members: str) -> Column:
-    return F.concat(F.regexp_replace(json_object, r"\}$", ""), F.lit("," + members + "}"))
+    return lineitem.select(body.alias("value"))
 
 
 def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,7 +287,7 @@ def write_event_files(spark: SparkSession, sf_dir: str) -> str:
         F.lit(3).cast("bigint").alias("bucket"), F.lit(BROKEN_LINE).alias("value")
     )
     lines = event_lines(spark, sf_dir).unionByName(broken)
-    lines.write.partitionBy("bucket").text(root)
+    lines.hint("rebalance", "bucket").write.partitionBy("bucket").text(root)
     return root
 
 
@@ -308,7 +307,8 @@ def write_landing(spark: SparkSession, sf_dir: str) -> str:
     lines = table(spark, sf_dir, "events").select(
         F.to_json(event).alias("value"), *[c.alias(n) for n, c in levels.items()]
     )
-    lines.write.partitionBy(*LANDING_LEVELS, "model").text(root)
+    levels = (*LANDING_LEVELS, "model")
+    lines.hint("rebalance", *levels).write.partitionBy(*levels).text(root)
     return root
 
 
@@ -339,7 +339,8 @@ def write_record_files(spark: SparkSession, sf_dir: str) -> str:
     lines = parts[0]
     for part in parts[1:]:
         lines = lines.unionByName(part)
-    lines.write.partitionBy("resource_type", "bucket").text(root)
+    levels = ("resource_type", "bucket")
+    lines.hint("rebalance", *levels).write.partitionBy(*levels).text(root)
     return root
 
 

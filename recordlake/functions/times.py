@@ -13,13 +13,31 @@ SECONDS_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 DATE_ONLY = "yyyy-MM-dd"
 MIDNIGHT_SUFFIX = "T00:00:00.000Z"
 
+# The shape a text must have to match each pattern, as SQL LIKE: the fixed-width
+# part that follows the year. Letters match in either case, hence the blanks.
+_SHAPES = {
+    MILLIS_Z: "%-__-_____:__:__.____",
+    SECONDS_Z: "%-__-_____:__:___",
+    DATE_ONLY: "%-__-__",
+}
+
 
 def parse_timestamp(text: Column, *patterns: str) -> Column:
-    """The first pattern that parses wins; null when none does (also under ANSI)."""
-    parsed = [F.try_to_timestamp(text, F.lit(pattern)) for pattern in patterns]
+    """The first pattern that parses wins; null when none does (also under ANSI).
+
+    Where a pattern's shape is known it is tested first: a failed parse costs
+    an exception per row, and trying patterns in turn means many of them.
+    """
+    parsed = [_parse(text, pattern) for pattern in patterns]
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
 
 
+def _parse(text: Column, pattern: str) -> Column:
+    parsed = F.try_to_timestamp(text, F.lit(pattern))
+    shape = _SHAPES.get(pattern)
+    return parsed if shape is None else F.when(text.like(shape), parsed)
+
+
 def format_timestamp(moment: Column, pattern: str = MILLIS_Z) -> Column:
     return F.date_format(moment, pattern)
 

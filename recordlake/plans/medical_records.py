@@ -16,15 +16,6 @@ from recordlake.plans.specs import STAGING
 from recordlake.sources.ndjson import audit_files, keep_good, read_lines, read_ndjson
 
 
-def flattened_records(
-    spark: SparkSession, path: str, schema: T.StructType, *, unit_pattern: str | None = None
-) -> DataFrame:
-    """Flat records of the files below ``path`` that hold no bad line."""
-    audit = audit_files(read_lines(spark, path), unit_pattern=unit_pattern)
-    raw = read_ndjson(spark, path, schema)
-    return flatten(keep_good(raw, audit, unit_pattern=unit_pattern).select(*schema.names))
-
-
 def medical_records(
     spark: SparkSession,
     paths: Mapping[str, str],
@@ -34,14 +25,22 @@ def medical_records(
     as_of: str | datetime.datetime | None = None,
     unit_pattern: str | None = None,
 ) -> DataFrame:
-    """The record table from one raw path and one schema per record type."""
-    staged = {
-        resource_type: stage(
-            flattened_records(spark, path, schemas[resource_type], unit_pattern=unit_pattern),
+    """The record table from one raw path and one schema per record type.
+
+    All files are judged in one job; the files that hold a bad line are then
+    left out of the scan of each type.
+    """
+    lines = read_lines(spark, list(paths.values()), recursiveFileLookup="true")
+    audit = audit_files(lines, unit_pattern=unit_pattern)
+    staged = {}
+    for resource_type, path in paths.items():
+        schema = schemas[resource_type]
+        records = read_ndjson(spark, path, schema)
+        good = keep_good(records, audit, unit_pattern=unit_pattern)
+        staged[resource_type] = stage(
+            flatten(good.select(*schema.names)),
             STAGING[resource_type],
             participant=F.col(participant),
             as_of=as_of,
         )
-        for resource_type, path in paths.items()
-    }
     return unify(staged)

@@ -21,8 +21,10 @@ SOURCE_FILE = "source_file"
 BLOCK = "source_block"
 STRICT_JSON = {"allowSingleQuotes": "false"}
 
-# no record holds this key, so finding it proves the line ended where it should
+# keys no record holds: one proves the line ended where it should, the other
+# stands for content that is checked but not kept
 _END = "end_of_line_7f3a9c51"
+_SKIPPED = "skipped_7f3a9c51"
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], **options: str) -> DataFrame:
@@ -63,11 +65,10 @@ def read_ndjson(
 def is_record(line: Column) -> Column:
     """Whether the whole line is exactly one JSON object."""
     wrapped = F.concat(F.lit('{"r":['), line, F.lit(f'],"{_END}":true}}'))
-    parsed = F.from_json(wrapped, f"r array<struct<_unread:string>>, {_END} boolean", STRICT_JSON)
-    return F.coalesce(
-        parsed[_END] & (F.size(parsed["r"]) == 1) & F.get(parsed["r"], F.lit(0)).isNotNull(),
-        F.lit(False),
-    )
+    # one comparison, so that the line is parsed once
+    one_object = F.struct(F.array(F.struct(F.lit(None))), F.lit(True))
+    type_ = f"struct<r:array<struct<{_SKIPPED}:string>>,{_END}:boolean>"
+    return F.from_json(wrapped, type_, STRICT_JSON).eqNullSafe(one_object.cast(type_))
 
 
 def parse_record(line: Column, schema: T.StructType) -> Column:
@@ -91,15 +92,20 @@ def audit_files(lines: DataFrame, *, unit_pattern: str | None = None) -> DataFra
     table, small next to the data: aggregation starts in the scan and only one
     row per file block is shuffled.
     """
-    filled = F.trim(F.translate("value", "\r\t", "  ")) != ""
-    position = F.col("_position")
+    filled, position = F.col("_is_filled"), F.col("_position")
     blocks = (
-        lines.select(SOURCE_FILE, BLOCK, "value", F.monotonically_increasing_id().alias("_position"))
+        lines.select(
+            SOURCE_FILE,
+            BLOCK,
+            "value",
+            F.col("value").rlike(r"\S").alias("_is_filled"),
+            F.monotonically_increasing_id().alias("_position"),
+        )
         .groupBy(SOURCE_FILE, BLOCK)
         .agg(
             F.count(F.lit(1)).alias("_lines"),
-            F.count_if(filled).alias("_filled"),
-            F.count_if(filled & ~is_record(F.col("value"))).alias("_broken"),
+            F.count(F.when(filled, 1)).alias("_filled"),
+            F.count(F.when(filled & ~is_record(F.col("value")), 1)).alias("_broken"),
             F.min(position).alias("_start"),
             F.min(F.when(filled, position)).alias("_first"),
             F.max(F.when(filled, position)).alias("_last"),
@@ -159,7 +165,7 @@ def count_files(audit: DataFrame) -> DataFrame:
     kept = ~F.col("rejected")
     return audit.agg(
         F.count(F.lit(1)).alias("n_files"),
-        F.count_if(kept).alias("n_files_kept"),
+        F.count(F.when(kept, 1)).alias("n_files_kept"),
         F.coalesce(F.sum("n_records"), F.lit(0)).alias("n_records"),
         F.coalesce(F.sum(F.when(kept, F.col("n_records"))), F.lit(0)).alias("n_records_kept"),
     )

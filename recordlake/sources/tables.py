@@ -29,6 +29,16 @@ def read_tables(
     return reader.parquet(*paths)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an input too small to be split: one file, one row group.
+
+    A scan with at least as many tasks as the cluster has cores comes back as
+    it is, so large inputs are never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def write_table(
     df: DataFrame,
     path: str,
