@@ -13,12 +13,14 @@ SECONDS_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 DATE_ONLY = "yyyy-MM-dd"
 MIDNIGHT_SUFFIX = "T00:00:00.000Z"
 
-# The shape a text must have to match each pattern, as SQL LIKE: the fixed-width
-# part that follows the year. Letters match in either case, hence the blanks.
+# The shape a text must have to match each pattern. Letters match in either
+# case. Years beyond 99999 are left out: they can overflow a timestamp, which
+# raises even where a failed parse gives null.
+_DAY = r"(\d{4}|\+\d{5}|-\d{4,5})-\d{2}-\d{2}"
 _SHAPES = {
-    MILLIS_Z: "%-__-_____:__:__.____",
-    SECONDS_Z: "%-__-_____:__:___",
-    DATE_ONLY: "%-__-__",
+    MILLIS_Z: rf"^{_DAY}[Tt]\d{{2}}:\d{{2}}:\d{{2}}\.\d{{1,3}}[Zz]$",
+    SECONDS_Z: rf"^{_DAY}[Tt]\d{{2}}:\d{{2}}:\d{{2}}[Zz]$",
+    DATE_ONLY: rf"^{_DAY}$",
 }
 
 
@@ -26,7 +28,8 @@ def parse_timestamp(text: Column, *patterns: str) -> Column:
     """The first pattern that parses wins; null when none does (also under ANSI).
 
     Where a pattern's shape is known it is tested first: a failed parse costs
-    an exception per row, and trying patterns in turn means many of them.
+    an exception per row, and trying patterns in turn means many of them. The
+    session must use the CORRECTED time parser policy, as ``lake_session`` does.
     """
     parsed = [_parse(text, pattern) for pattern in patterns]
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
@@ -35,7 +38,7 @@ def parse_timestamp(text: Column, *patterns: str) -> Column:
 def _parse(text: Column, pattern: str) -> Column:
     parsed = F.try_to_timestamp(text, F.lit(pattern))
     shape = _SHAPES.get(pattern)
-    return parsed if shape is None else F.when(text.like(shape), parsed)
+    return parsed if shape is None else F.when(text.rlike(shape), parsed)
 
 
 def format_timestamp(moment: Column, pattern: str = MILLIS_Z) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     # a quoted 'Z' in a pattern is read as wall-clock time of the session zone
     "spark.sql.session.timeZone": "UTC",
+    # text the parser of old Spark versions would accept is null, not an error
+    "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     # raw records may hold keys that differ only in case
     "spark.sql.caseSensitive": "true",
     # user_id=007 must stay the text "007"
