@@ -58,7 +58,7 @@ def read_schemas(spark: SparkSession, root: str) -> DataFrame:
 def read_schema_files(spark: SparkSession, root: str) -> DataFrame:
     """``model, schema_json`` from files named ``<model>_schema.json``; others are skipped."""
     name = F.col("_metadata.file_name")
-    texts = spark.read.options(wholetext="true", recursiveFileLookup="true").text(root)
+    texts = spark.read.text(root, wholetext=True, recursiveFileLookup=True)
     model = F.regexp_replace(name, SCHEMA_SUFFIX + "$", "")
     return texts.where(name.endswith(SCHEMA_SUFFIX)).select(
         model.alias("model"), F.col("value").alias("schema_json")

@@ -52,7 +52,8 @@ def write_table(
     ``rebalance`` shuffles rows by partition first, so that each directory gets
     few files of the advised size; adaptive execution splits large partitions
     over several tasks. Without it every task writes into every partition it
-    meets: no shuffle, more files.
+    meets: no shuffle, more files. ``path`` must not be one that ``df`` reads:
+    an overwrite deletes old files before their rows are read.
     """
     if rebalance and partition_by:
         df = df.hint("rebalance", *partition_by)
