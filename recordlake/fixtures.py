@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from recordlake.functions.times import DATE_ONLY, MILLIS_Z, SECONDS_Z
 from recordlake.sources.layout import LANDING_LEVELS, landing_columns
-from recordlake.sources.ndjson import parse_record
+from recordlake.sources.ndjson import parse_lines
 from recordlake.session import scratch_dir
 from recordlake.sources.tables import spread
 from recordlake.plans.specs import (
@@ -232,7 +232,29 @@ def nested_json(lineitem: DataFrame) -> DataFrame:
 
 def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = nested_json(table(spark, sf_dir, "lineitem"))
-    return texts.select(parse_record(F.col("value"), NESTED_SCHEMA).alias("r")).select("r.*")
+    return parse_lines(texts, NESTED_SCHEMA)
+
+
+WRITTEN_SCHEMA = _struct(id=_TEXT, items=T.ArrayType(_struct(qty=_DOUBLE, note=_TEXT)))
+
+
+def written_null_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``text`` and parsed columns; every other order writes its nulls out."""
+    line = F.col("l_linenumber")
+    note = F.concat(F.lit("note "), F.col("l_returnflag"))
+    record = F.struct(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), line.cast("string")).alias("id"),
+        F.array(
+            F.struct(F.col("l_quantity").alias("qty"), F.when(line > 1, note).alias("note")),
+            F.struct(F.col("l_extendedprice").alias("qty"), F.lit(None).cast("string").alias("note")),
+            F.struct(F.col("l_quantity").alias("qty"), note.alias("note")),
+        ).alias("items"),
+    )
+    text = F.when(F.col("l_orderkey") % 2 == 0, F.to_json(record)).otherwise(
+        F.to_json(record, {"ignoreNullFields": "false"})
+    )
+    lines = table(spark, sf_dir, "lineitem").select(text.alias("value"))
+    return parse_lines(lines, WRITTEN_SCHEMA, text="text")
 
 
 CLASHING_SCHEMA = _struct(
@@ -256,7 +278,7 @@ def clashing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     lines = table(spark, sf_dir, "lineitem").select(body.alias("value"))
-    return lines.select(parse_record(F.col("value"), CLASHING_SCHEMA).alias("r")).select("r.*")
+    return parse_lines(lines, CLASHING_SCHEMA)
 
 
 # ---- NDJSON files of events ----

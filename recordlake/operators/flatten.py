@@ -12,6 +12,10 @@ Rules:
 * nothing below a list is flattened further: inner objects and lists stay
   nested and keep their raw key names;
 * empty lists and empty objects become null.
+
+A parsed record no longer tells a null that was written out from a key that
+was absent: both are dropped from such a list. Where the text of the record is
+at hand, ``text`` keeps the written nulls as entries.
 """
 
 from __future__ import annotations
@@ -27,6 +31,9 @@ from pyspark.sql import types as T
 from recordlake.functions.names import quoted, snake_case
 
 
+_WRITTEN = "_written_record"
+
+
 @dataclass(frozen=True)
 class Leaf:
     """One output column before name collisions are settled."""
@@ -44,6 +51,7 @@ def flatten(
     aligned: bool = False,
     on_collision: str = "error",
     null_elements: str = "skip",
+    text: str | None = None,
 ) -> DataFrame:
     """Flatten every column of ``df``; output columns are sorted by name.
 
@@ -54,14 +62,24 @@ def flatten(
     A list holding nulls among its objects is not a list of objects. With
     ``null_elements="skip"`` the nulls are ignored; with ``"keep"`` such a
     list stays whole under its own name and yields no per-key lists.
+
+    ``text`` names the column with each record's JSON text. It is not part of
+    the output; nulls written out in it stay in the per-key lists.
     """
     if on_collision not in ("error", "coalesce"):
         raise ValueError(f"on_collision must be 'error' or 'coalesce', not {on_collision!r}")
     if null_elements not in ("skip", "keep"):
         raise ValueError(f"null_elements must be 'skip' or 'keep', not {null_elements!r}")
 
+    written = None
+    schema = df.schema
+    if text is not None:
+        schema = T.StructType([f for f in schema.fields if f.name != text])
+        df = df.withColumn(_WRITTEN, F.try_parse_json(F.col(quoted(text))))
+        written = F.col(_WRITTEN)
+    walk = _Walk(sep, aligned, null_elements, written)
     leaves: dict[str, list[Leaf]] = defaultdict(list)
-    for leaf in _object_leaves(df.schema, (), "", sep, aligned, null_elements):
+    for leaf in walk.object_leaves(schema, (), ""):
         leaves[leaf.name].append(leaf)
 
     clashes = {n: [leaf.source for leaf in found] for n, found in leaves.items() if len(found) > 1}
@@ -70,52 +88,60 @@ def flatten(
     return df.select(*[_settle(name, leaves[name]) for name in sorted(leaves)])
 
 
-def _object_leaves(struct, path, prefix, sep, aligned, null_elements) -> Iterator[Leaf]:
-    for field in struct.fields:
-        raw = (*path, field.name)
-        name = prefix + snake_case(field.name)
-        column = F.col(quoted(*raw))
-        if isinstance(field.dataType, T.StructType):
-            yield from _object_leaves(
-                field.dataType, raw, name + sep, sep, aligned, null_elements
-            )
-        elif not isinstance(field.dataType, T.ArrayType):
-            yield Leaf(name, ".".join(raw), column, field.dataType)
-        elif isinstance(field.dataType.elementType, T.StructType):
-            yield from _list_leaves(field.dataType, raw, name, sep, aligned, null_elements)
-        else:
-            yield Leaf(
-                name, ".".join(raw), F.when(F.size(column) > 0, column), field.dataType
-            )
-
-
-def _list_leaves(list_type, raw, name, sep, aligned, null_elements) -> Iterator[Leaf]:
-    items = F.col(quoted(*raw))
-    has_null = F.exists(items, lambda item: item.isNull())
-    if null_elements == "keep":
-        yield Leaf(name, ".".join(raw), F.when(has_null, items), list_type)
-
-    keys: dict[str, list[T.StructField]] = defaultdict(list)
-    for field in list_type.elementType.fields:
-        keys[snake_case(field.name)].append(field)
-    for key, fields in keys.items():
-        if len({f.dataType for f in fields}) > 1:
-            raise ValueError(f"raw keys of {'.'.join(raw)} share {key!r} but not a type")
-        values = _values_of(items, fields)
-        if aligned:
-            found = F.when(F.size(items) > 0, values)
-        else:
-            found = F.when(
-                F.exists(values, lambda v: v.isNotNull()),
-                F.filter(values, lambda v: v.isNotNull()),
-            )
-        if null_elements == "keep":
-            found = F.when(~F.coalesce(has_null, F.lit(False)), found)
-        leaf_type = T.ArrayType(fields[0].dataType)
-        # raw keys of one element append: they are one leaf, but still a clash
-        yield Leaf(name + sep + key, ".".join((*raw, fields[0].name)), found, leaf_type)
-        for extra in fields[1:]:
-            yield Leaf(name + sep + key, ".".join((*raw, extra.name)), None, leaf_type)
+@dataclass(frozen=True)
+class _Walk:
+    sep: str
+    aligned: bool
+    null_elements: str
+    written: Column | None
+
+    def object_leaves(self, struct, path, prefix) -> Iterator[Leaf]:
+        for field in struct.fields:
+            raw = (*path, field.name)
+            name = prefix + snake_case(field.name)
+            column = F.col(quoted(*raw))
+            if isinstance(field.dataType, T.StructType):
+                yield from self.object_leaves(field.dataType, raw, name + self.sep)
+            elif not isinstance(field.dataType, T.ArrayType):
+                yield Leaf(name, ".".join(raw), column, field.dataType)
+            elif isinstance(field.dataType.elementType, T.StructType):
+                yield from self.list_leaves(field.dataType, raw, name)
+            else:
+                filled = F.when(F.size(column) > 0, column)
+                yield Leaf(name, ".".join(raw), filled, field.dataType)
+
+    def list_leaves(self, list_type, raw, name) -> Iterator[Leaf]:
+        items = F.col(quoted(*raw))
+        has_null = F.exists(items, lambda item: item.isNull())
+        if self.null_elements == "keep":
+            yield Leaf(name, ".".join(raw), F.when(has_null, items), list_type)
+
+        keys: dict[str, list[T.StructField]] = defaultdict(list)
+        for field in list_type.elementType.fields:
+            keys[snake_case(field.name)].append(field)
+        for key, fields in keys.items():
+            if len({f.dataType for f in fields}) > 1:
+                raise ValueError(f"raw keys of {'.'.join(raw)} share {key!r} but not a type")
+            found = self.values(items, raw, fields)
+            if self.null_elements == "keep":
+                found = F.when(~F.coalesce(has_null, F.lit(False)), found)
+            leaf_type = T.ArrayType(fields[0].dataType)
+            # raw keys of one element append: they are one leaf, but still a clash
+            yield Leaf(name + self.sep + key, ".".join((*raw, fields[0].name)), found, leaf_type)
+            for extra in fields[1:]:
+                yield Leaf(name + self.sep + key, ".".join((*raw, extra.name)), None, leaf_type)
+
+    def values(self, items, raw, fields) -> Column:
+        parsed = _values_of(items, fields)
+        if self.aligned:
+            return F.when(F.size(items) > 0, parsed)
+        found = F.when(
+            F.exists(parsed, lambda v: v.isNotNull()), F.filter(parsed, lambda v: v.isNotNull())
+        )
+        if self.written is None:
+            return found
+        kept = _written_values(self.written, raw, fields)
+        return F.when(self.written.isNull(), found).otherwise(F.when(F.size(kept) > 0, kept))
 
 
 def _values_of(items: Column, fields: list[T.StructField]) -> Column:
@@ -131,6 +157,25 @@ def _values_of(items: Column, fields: list[T.StructField]) -> Column:
     )
 
 
+def _written_values(record: Column, raw, fields: list[T.StructField]) -> Column:
+    """The values of the keys that are there, written nulls included."""
+    items = F.try_variant_get(record, _json_path(*raw), "array<variant>")
+    per_item = F.transform(
+        items,
+        lambda item: F.filter(
+            F.array(*[F.try_variant_get(item, _json_path(f.name), "variant") for f in fields]),
+            lambda v: v.isNotNull(),
+        ),
+    )
+    to_type = fields[0].dataType.simpleString()
+    return F.transform(F.flatten(per_item), lambda v: F.try_variant_get(v, "$", to_type))
+
+
+def _json_path(*keys: str) -> str:
+    quotes = ["'" if '"' in key else '"' for key in keys]
+    return "$" + "".join(f"[{quote}{key}{quote}]" for key, quote in zip(keys, quotes))
+
+
 def _settle(name: str, found: list[Leaf]) -> Column:
     values = [leaf for leaf in found if leaf.value is not None]
     if len(values) == 1:

@@ -248,6 +248,14 @@ ORACLES |= {
     "flatten_collision": """
   select l_orderkey || '-' || l_linenumber as id,
     l_quantity || '|' || l_extendedprice as parts__qty
+  from lineitem""",
+    "flatten_written_nulls": """
+  select l_orderkey || '-' || l_linenumber as id,
+    l_quantity || '|' || l_extendedprice || '|' || l_quantity as items__qty,
+    case when l_linenumber > 1 then 'note ' || l_returnflag || '|'
+      when l_orderkey % 2 = 1 then '~|' else '' end
+    || case when l_orderkey % 2 = 1 then '~|' else '' end
+    || 'note ' || l_returnflag as items__note
   from lineitem""",
     "explode_flatten_dunder": f"""with {NESTED}, exploded as (
   select *, cast(null as bigint) as part_key, cast(null as double) as item_qty,

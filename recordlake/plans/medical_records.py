@@ -13,7 +13,10 @@ from recordlake.operators.flatten import flatten
 from recordlake.operators.staging import stage
 from recordlake.operators.unify import unify
 from recordlake.plans.specs import STAGING
-from recordlake.sources.ndjson import audit_files, keep_good, read_lines, read_ndjson
+from recordlake.sources.ndjson import audit_files, keep_good, parse_lines, read_lines
+
+
+_TEXT = "_record_text"
 
 
 def medical_records(
@@ -28,17 +31,17 @@ def medical_records(
     """The record table from one raw path and one schema per record type.
 
     All files are judged in one job; the files that hold a bad line are then
-    left out of the scan of each type.
+    left out of the scan of each type. Nulls written out in lists are kept.
     """
     lines = read_lines(spark, list(paths.values()), recursiveFileLookup="true")
     audit = audit_files(lines, unit_pattern=unit_pattern)
     staged = {}
     for resource_type, path in paths.items():
-        schema = schemas[resource_type]
-        records = read_ndjson(spark, path, schema)
-        good = keep_good(records, audit, unit_pattern=unit_pattern)
+        lines = read_lines(spark, path, recursiveFileLookup="true")
+        good = keep_good(lines, audit, unit_pattern=unit_pattern).select("value")
+        records = parse_lines(good, schemas[resource_type], text=_TEXT)
         staged[resource_type] = stage(
-            flatten(good.select(*schema.names)),
+            flatten(records, text=_TEXT),
             STAGING[resource_type],
             participant=F.col(participant),
             as_of=as_of,

@@ -257,6 +257,12 @@ def flatten_collision(spark, sf_dir):
     return flat.select("id", listed("parts__qty"))
 
 
+@query
+def flatten_written_nulls(spark, sf_dir):
+    flat = flatten(fixtures.written_null_records(spark, sf_dir), text="text")
+    return flat.select("id", listed("items__qty"), F.array_join("items__note", "|", "~").alias("items__note"))
+
+
 @query
 def explode_flatten_dunder(spark, sf_dir):
     nested = fixtures.nested_records(spark, sf_dir).select("id", "subject", "lineItems")

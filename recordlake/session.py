@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     # raw records may hold keys that differ only in case
     "spark.sql.caseSensitive": "true",
+    # of a key written twice in one object, the last value counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # user_id=007 must stay the text "007"
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # an overwrite replaces only the partitions it writes

@@ -71,8 +71,25 @@ def is_record(line: Column) -> Column:
     return F.from_json(wrapped, type_, STRICT_JSON).eqNullSafe(one_object.cast(type_))
 
 
-def parse_record(line: Column, schema: T.StructType) -> Column:
-    return F.from_json(line, schema, STRICT_JSON)
+def is_filled(line: Column) -> Column:
+    return line.rlike(r"\S")
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType, *, text: str | None = None) -> DataFrame:
+    """The records of lines, one column per field, next to the other columns.
+
+    Blank lines, which may surround the content of a good file, hold no record.
+    ``text`` keeps the line itself under that name.
+    """
+    others = [c for c in lines.columns if c not in ("value", BLOCK, *schema.names)]
+    kept = [F.col(quoted(c)) for c in others]
+    if text is not None:
+        kept.append(F.col("value").alias(text))
+    record = F.from_json("value", schema, STRICT_JSON).alias("_record")
+    # the test is on the text: a filter on the record would parse it twice
+    filled = lines.where(is_filled(F.col("value")))
+    names = [text] if text is not None else []
+    return filled.select(*kept, record).select(*[quoted(c) for c in [*others, *names]], "_record.*")
 
 
 def unit_of(unit_pattern: str | None) -> Column:
@@ -98,7 +115,7 @@ def audit_files(lines: DataFrame, *, unit_pattern: str | None = None) -> DataFra
             SOURCE_FILE,
             BLOCK,
             "value",
-            F.col("value").rlike(r"\S").alias("_is_filled"),
+            is_filled(F.col("value")).alias("_is_filled"),
             F.monotonically_increasing_id().alias("_position"),
         )
         .groupBy(SOURCE_FILE, BLOCK)

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordlake.sources.ndjson import (
-    BLOCK,
     audit_files,
     keep_good,
-    parse_record,
+    parse_lines,
     rejected_files,
     with_origin,
 )
@@ -45,11 +44,7 @@ def ingest_new_files(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         audit = audit_files(batch)
         good = keep_good(batch, audit)
-        levels = [c for c in batch.columns if c not in ("value", BLOCK, *schema.names)]
-        record = parse_record(F.col("value"), schema)
-        # the lines around the content of a file are blank and hold no record
-        records = good.select(*levels, record.alias("record")).where(F.col("record").isNotNull())
-        _write(records.select(*levels, "record.*"), output, batch_id)
+        _write(parse_lines(good, schema), output, batch_id)
         if rejects is not None:
             _write(rejected_files(audit), rejects, batch_id)
 

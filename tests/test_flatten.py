@@ -1,6 +1,8 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordlake.operators.explode import explode_flatten
 from recordlake.functions.names import camel_to_snake
@@ -123,6 +125,27 @@ def test_null_elements(json_df):
     assert kept[2].x is None and kept[2].x__a == [2]
 
 
+def test_written_nulls_stay_where_the_text_is_known(spark):
+    schema = T.StructType.fromDDL("k int, x array<struct<a:int,b:struct<c:string>,d:array<int>>>, p struct<ys:array<struct<`e f`:string>>>")
+    texts = [
+        '{"k":1,"x":[{"a":null},{"a":2},{"b":{"c":"s"}}]}',
+        '{"k":2,"x":[{"a":null}],"p":{"ys":[{"e f":null},{"e f":"v"},{}]}}',
+        '{"k":3,"x":[{"d":[]},{"d":null},{"d":[1]}]}',
+        '{"k":4,"x":[]}',
+        '{"k":5,"x":[{"a":1,"a":7}]}',
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "line string")
+    parsed = df.select("line", F.from_json("line", schema).alias("r")).select("line", "r.*")
+    flat = flatten(parsed, text="line")
+    assert flat.columns == ["k", "p__ys__e f", "x__a", "x__b", "x__d"]
+    rows = {r.k: r for r in flat.collect()}
+    assert rows[1].x__a == [None, 2] and rows[1].x__b == [("s",)]
+    assert rows[2].x__a == [None] and rows[2]["p__ys__e f"] == [None, "v"]
+    assert rows[3].x__d == [[], None, [1]] and rows[3].x__a is None
+    assert rows[4].x__a is None
+    assert rows[5].x__a == [7]
+
+
 def test_only_needed_fields_are_read(json_df, spark, tmp_path):
     json_df(IMMUNIZATION).write.parquet(str(tmp_path / "p"))
     flat = flatten(spark.read.parquet(str(tmp_path / "p"))).select("vaccine_code__coding__code")
