@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from recordlake.functions.times import DATE_ONLY, MILLIS_Z, SECONDS_Z
 from recordlake.sources.layout import LANDING_LEVELS, landing_columns
-from recordlake.sources.ndjson import parse_lines
+from recordlake.sources.ndjson import parse_record
 from recordlake.session import scratch_dir
 from recordlake.sources.tables import spread
 from recordlake.plans.specs import (
@@ -232,7 +232,7 @@ def nested_json(lineitem: DataFrame) -> DataFrame:
 
 def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = nested_json(table(spark, sf_dir, "lineitem"))
-    return parse_lines(texts, NESTED_SCHEMA)
+    return texts.select(parse_record(F.col("value"), NESTED_SCHEMA).alias("r")).select("r.*")
 
 
 WRITTEN_SCHEMA = _struct(id=_TEXT, items=T.ArrayType(_struct(qty=_DOUBLE, note=_TEXT)))
@@ -253,8 +253,10 @@ def written_null_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("l_orderkey") % 2 == 0, F.to_json(record)).otherwise(
         F.to_json(record, {"ignoreNullFields": "false"})
     )
-    lines = table(spark, sf_dir, "lineitem").select(text.alias("value"))
-    return parse_lines(lines, WRITTEN_SCHEMA, text="text")
+    lines = table(spark, sf_dir, "lineitem").select(text.alias("text"))
+    return lines.select("text", parse_record(F.col("text"), WRITTEN_SCHEMA).alias("r")).select(
+        "text", "r.*"
+    )
 
 
 CLASHING_SCHEMA = _struct(
@@ -278,7 +280,7 @@ def clashing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     lines = table(spark, sf_dir, "lineitem").select(body.alias("value"))
-    return parse_lines(lines, CLASHING_SCHEMA)
+    return lines.select(parse_record(F.col("value"), CLASHING_SCHEMA).alias("r")).select("r.*")
 
 
 # ---- NDJSON files of events ----

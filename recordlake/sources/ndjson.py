@@ -75,6 +75,10 @@ def is_filled(line: Column) -> Column:
     return line.rlike(r"\S")
 
 
+def parse_record(line: Column, schema: T.StructType) -> Column:
+    return F.from_json(line, schema, STRICT_JSON)
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType, *, text: str | None = None) -> DataFrame:
     """The records of lines, one column per field, next to the other columns.
 
@@ -85,7 +89,7 @@ def parse_lines(lines: DataFrame, schema: T.StructType, *, text: str | None = No
     kept = [F.col(quoted(c)) for c in others]
     if text is not None:
         kept.append(F.col("value").alias(text))
-    record = F.from_json("value", schema, STRICT_JSON).alias("_record")
+    record = parse_record(F.col("value"), schema).alias("_record")
     # the test is on the text: a filter on the record would parse it twice
     filled = lines.where(is_filled(F.col("value")))
     names = [text] if text is not None else []
