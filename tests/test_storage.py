@@ -82,6 +82,23 @@ def test_listing_and_missing_files(spark, tmp_path):
     assert {(r.user_id, r.n_files, r.found) for r in rows} == {("007", 1, True), ("008", 0, False)}
 
 
+def test_listed_files_that_are_gone_are_skipped(spark, tmp_path):
+    one = landing_file(tmp_path, "007", "Observation", [{"a": 1}])
+    two = landing_file(tmp_path, "010", "MedicationOrder", [{"a": 2}])
+    gone = one.replace("007", "008")
+    names = [path.removeprefix(f"{tmp_path}/") for path in (one, gone, two)]
+
+    def read(names):
+        path = layout.skip_missing(str(tmp_path), names)
+        return ndjson.read_lines(spark, path, recursiveFileLookup="true")
+
+    assert sorted(r.value for r in read(names).collect()) == ['{"a": 1}', '{"a": 2}']
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read([names[1]])
+    with pytest.raises(ValueError, match="pattern characters"):
+        read(["a*"])
+
+
 def test_load_many_files_in_one_job(spark, tmp_path):
     root, out = tmp_path / "raw", str(tmp_path / "loaded")
     a = landing_file(root, "007", "Observation", [{"a": 1}])
