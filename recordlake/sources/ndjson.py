@@ -89,11 +89,10 @@ def parse_lines(lines: DataFrame, schema: T.StructType, *, text: str | None = No
     kept = [F.col(quoted(c)) for c in others]
     if text is not None:
         kept.append(F.col("value").alias(text))
-    record = parse_record(F.col("value"), schema).alias("_record")
-    # the test is on the text: a filter on the record would parse it twice
-    filled = lines.where(is_filled(F.col("value")))
-    names = [text] if text is not None else []
-    return filled.select(*kept, record).select(*[quoted(c) for c in [*others, *names]], "_record.*")
+    # as a generator the record is parsed once: filters on its fields, which
+    # would repeat the parse below a projection, stay above
+    fields = F.inline_outer(F.array(parse_record(F.col("value"), schema)))
+    return lines.where(is_filled(F.col("value"))).select(*kept, fields)
 
 
 def unit_of(unit_pattern: str | None) -> Column:

@@ -61,3 +61,13 @@ def test_files_to_records(spark, tmp_path, schemas):
     assert rows["b"].upper_bound == "3.5"
     assert (rows["i"].date, rows["i"].summary) == ("2024-01-05 00:00:00", "flu")
     assert {r.last_updated for r in rows.values()} == {"2024-01-02T03:04:05.006Z"}
+
+
+def test_each_line_is_parsed_once_and_only_as_far_as_needed(spark, tmp_path, schemas):
+    for resource_type, variants in ((OBSERVATION, 1), (IMMUNIZATION, 0)):
+        path = write(tmp_path / resource_type, one=[observation("a")])
+        df = medical_records(spark, {resource_type: path}, schemas, as_of=AS_OF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") == 1
+        assert plan.count("parseJson(") == variants  # only where written nulls can matter
+        assert "Exchange hashpartitioning" not in plan and "Python" not in plan
