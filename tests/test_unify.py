@@ -34,6 +34,11 @@ IMPRESSED = (
 )
 
 
+def set_for_test(spark, key, value, request):
+    spark.conf.set(key, value)
+    request.addfinalizer(lambda: spark.conf.unset(key))
+
+
 def observed(spark, **values):
     names = [part.split()[0] for part in OBSERVED.replace(BOUND, "x").split(", ")]
     base = dict.fromkeys(names) | {"participant_id": "1", "id": "o", "resource_type": OBSERVATION}
@@ -134,7 +139,7 @@ def test_first_match_needs_an_input_id(spark):
 
 
 @pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
-def test_attach_with_a_third_of_rows_on_one_key(spark, broadcast_bytes):
+def test_attach_with_a_third_of_rows_on_one_key(spark, broadcast_bytes, request):
     df = spark.range(9000).select(
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 300 == 1, None)
         .otherwise(F.concat(F.lit("k"), (F.col("id") % 2000).cast("string"))).alias("key"),
@@ -142,8 +147,12 @@ def test_attach_with_a_third_of_rows_on_one_key(spark, broadcast_bytes):
     )
     keys = df.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"), F.max("id").alias("top"))
     keys = keys.withColumn("flag", F.col("top") % 2 == 0)
+    # without Spark's own small-table broadcast, so that the shuffle is the one tested
+    set_for_test(spark, "spark.sql.autoBroadcastJoinThreshold", "-1", request)
     for needed in (F.col("flag"), ~F.col("flag")):
         out = attach(df, keys, "key", needed, broadcast_bytes=broadcast_bytes)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert ("SortMergeJoin" in plan) == (broadcast_bytes == 0)
         assert out.columns == ["key", "id", "top", "flag"]
         plain = df.join(keys.where(needed).drop("n_rows"), "key", "left").select(out.columns)
         assert out.exceptAll(plain).count() == 0 and plain.exceptAll(out).count() == 0
