@@ -6,7 +6,8 @@ from oracle_check import connect, difference
 
 import __spark_entry__ as entry
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from recordlake.oracles import ORACLES
+from recordlake.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
