@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordlake.llm.license_rules import scan_licenses
 from recordlake.llm.packing import pack
+from recordlake.llm.piece_sampling import sample_pieces
 from recordlake.llm.quality import judge_quality
 from recordlake.llm.secret_scan import scan_secrets
 from recordlake.llm.simhash import near_duplicates
@@ -30,6 +32,14 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_pieces(table(spark, sf_dir, "documents"), digest_only=True, keep=["doc_id"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -37,5 +47,7 @@ QUERIES = {
         op5_secret_scan,
         op6_simhash_near_dedup,
         op7_best_fit_packing,
+        op8_license_scan,
+        op10_piece_sampling,
     )
 }
