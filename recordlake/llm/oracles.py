@@ -42,4 +42,19 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
-ORACLES = {"op2_quality_rules": QUALITY}
+# what SQL can tell of the archives: the pages they hold, not how they are written
+ARCHIVES = """
+with payloads as (
+  select page_id, url, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes
+  from pages),
+marked as (
+  select *, sha256(html) as payload_digest,
+         min(page_id) over (partition by sha256(html)) as first_id from payloads)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end
+         as record_type,
+       case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
+from marked
+"""
+
+ORACLES = {"op2_quality_rules": QUALITY, "op4_arc_to_warc": ARCHIVES}

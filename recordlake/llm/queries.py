@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from recordlake.llm.license_rules import scan_licenses
+from recordlake.llm.lm_score import score_texts
 from recordlake.llm.packing import pack
 from recordlake.llm.piece_sampling import sample_pieces
 from recordlake.llm.quality import judge_quality
 from recordlake.llm.secret_scan import scan_secrets
 from recordlake.llm.simhash import near_duplicates
+from recordlake.llm.warc import pages_through_warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +22,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_through_warc(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -36,6 +44,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_pieces(table(spark, sf_dir, "documents"), digest_only=True, keep=["doc_id"])
 
@@ -44,10 +56,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_quality_rules,
+        op4_arc_to_warc,
         op5_secret_scan,
         op6_simhash_near_dedup,
         op7_best_fit_packing,
         op8_license_scan,
+        op9_lm_score,
         op10_piece_sampling,
     )
 }
