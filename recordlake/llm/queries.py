@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from recordlake.llm.ann import nearest
 from recordlake.llm.license_rules import scan_licenses
 from recordlake.llm.lm_score import score_texts
 from recordlake.llm.packing import pack
 from recordlake.llm.piece_sampling import sample_pieces
+from recordlake.llm.pii import find_personal_data
 from recordlake.llm.quality import judge_quality
 from recordlake.llm.secret_scan import scan_secrets
 from recordlake.llm.simhash import near_duplicates
@@ -18,10 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asks = F.pmod("vec_id", F.lit(20)) == 0
+    return nearest(table(spark, sf_dir, "embeddings"), is_query=asks)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_through_warc(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -55,7 +67,9 @@ def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_nearest_neighbours,
         op2_quality_rules,
+        op3_personal_data,
         op4_arc_to_warc,
         op5_secret_scan,
         op6_simhash_near_dedup,
