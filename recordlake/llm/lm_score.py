@@ -14,7 +14,7 @@ from recordlake.llm.frames import written
 
 FOLDS = 10
 HELD_OUT, DELETED = 0, 1  # folds: not learned from; learned from, but left out of the weights' counts
-CHUNK_TOKENS = 1 << 22
+CHUNK_TOKENS = 1 << 21
 SLICE_ENTRIES = 1 << 22
 GRID = 8  # steps to an octave, on which held-out probabilities are counted for the weights
 ABSENT = -(1 << 20)
@@ -29,11 +29,16 @@ CHUNK_FIELDS = (
 
 
 def pack_array(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+    """Compressed byte plane by byte plane: those of small numbers are mostly zero."""
+    values = np.ascontiguousarray(values)
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unpack_array(raw: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
 
 
 class ChunkBuilder:
@@ -158,10 +163,12 @@ class Chunk:
         self.slices = slices
 
     def entries(self, kind: int):
-        """(order by slice, bounds of the slices) of the words (0) or word pairs (1)."""
-        of = (self.hashes, self.pair_hashes)[kind] % np.uint64(self.slices)
-        order = np.argsort(of, kind="stable")
-        return order, np.searchsorted(of[order], np.arange(self.slices + 1, dtype=np.uint64))
+        """(order by hash, bounds of the slices) of the words (0) or word pairs (1)."""
+        hashes = (self.hashes, self.pair_hashes)[kind]
+        order = np.argsort(hashes)
+        cuts = [-(-(s << 64) // self.slices) for s in range(1, self.slices)]
+        inner = np.searchsorted(hashes[order], np.array(cuts, np.uint64))
+        return order, np.concatenate(([0], inner, [len(order)]))
 
     def counts(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
         """Of each word or pair: how often learned from, and that without the deleted fold."""
@@ -203,7 +210,7 @@ def requests(chunks: DataFrame, slices: int) -> DataFrame:
                                     row["chunk"],
                                     kind,
                                     s,
-                                    hashes[own].tobytes(),
+                                    pack_array(np.diff(hashes[own], prepend=np.uint64(0))),
                                     pack_array(learned[own].astype(np.uint32)),
                                     pack_array(used[own].astype(np.uint32)),
                                 )
@@ -219,7 +226,7 @@ REPLY = "chunk bigint, kind int, slice bigint, learned binary, used binary, n_le
 def summed(group: pa.Table) -> pa.Table:
     """The corpus counts of one slice, handed back to every chunk that asked, in its order."""
     rows = group.to_pylist()
-    parts = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
+    parts = [np.cumsum(unpack_array(r["hashes"], np.uint64), dtype=np.uint64) for r in rows]
     bounds = np.cumsum([0] + [len(p) for p in parts])
     distinct, of = np.unique(np.concatenate(parts), return_inverse=True)
     totals = []
