@@ -14,7 +14,8 @@ from recordlake.llm.frames import written
 
 FOLDS = 10
 HELD_OUT, DELETED = 0, 1  # folds: not learned from; learned from, but left out of the weights' counts
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 3 << 19
+STEP_TOKENS = 1 << 17  # tokens whose probabilities are held at once
 SLICE_ENTRIES = 1 << 22
 GRID = 8  # steps to an octave, on which held-out probabilities are counted for the weights
 ABSENT = -(1 << 20)
@@ -154,11 +155,13 @@ class Chunk:
         self.before = np.concatenate(([0], self.ids[:-1])).astype(np.uint32)
         self.before[starts] = before
         self.fold = np.repeat(np.array(folds, np.int32), lengths)
-        self.starts = starts
+        self.starts, self.lengths = starts, lengths
         pairs = (self.before.astype(np.uint64) << np.uint64(32)) | self.ids
-        self.pairs, self.pair_of = np.unique(pairs, return_inverse=True)
-        first = self.hashes[(self.pairs >> np.uint64(32)).astype(np.int64)]
-        second = self.hashes[(self.pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+        pairs, of = np.unique(pairs, return_inverse=True)
+        self.pair_of = of.astype(np.uint32)
+        del of
+        first = self.hashes[(pairs >> np.uint64(32)).astype(np.uint32)]
+        second = self.hashes[(pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)]
         self.pair_hashes = mixed(first, second)
         self.slices = slices
 
@@ -172,7 +175,7 @@ class Chunk:
 
     def counts(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
         """Of each word or pair: how often learned from, and that without the deleted fold."""
-        of, n = ((self.ids, len(self.hashes)), (self.pair_of, len(self.pairs)))[kind]
+        of, n = ((self.ids, len(self.hashes)), (self.pair_of, len(self.pair_hashes)))[kind]
         learned = self.fold != HELD_OUT
         used = learned & (self.fold != DELETED)
         return np.bincount(of[learned], minlength=n), np.bincount(of[used], minlength=n)
@@ -186,6 +189,13 @@ def mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def rows_of(batches):
+    """Rows one at a time, so that a task unpacks one chunk at once."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 CHUNK_INPUTS = ["hashes", "low", "high", "lengths", "before", "folds"]
 
 
@@ -195,27 +205,26 @@ def requests(chunks: DataFrame, slices: int) -> DataFrame:
     kinds = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 3]
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                chunk = Chunk(*[row[c] for c in CHUNK_INPUTS], slices)
-                for kind, hashes in enumerate((chunk.hashes, chunk.pair_hashes)):
-                    order, bounds = chunk.entries(kind)
-                    learned, used = chunk.counts(kind)
-                    rows = []
-                    for s in range(slices):
-                        own = order[bounds[s] : bounds[s + 1]]
-                        if len(own):
-                            rows.append(
-                                (
-                                    row["chunk"],
-                                    kind,
-                                    s,
-                                    pack_array(np.diff(hashes[own], prepend=np.uint64(0))),
-                                    pack_array(learned[own].astype(np.uint32)),
-                                    pack_array(used[own].astype(np.uint32)),
-                                )
+        for row in rows_of(batches):
+            chunk = Chunk(*[row[c] for c in CHUNK_INPUTS], slices)
+            for kind, hashes in enumerate((chunk.hashes, chunk.pair_hashes)):
+                order, bounds = chunk.entries(kind)
+                learned, used = chunk.counts(kind)
+                rows = []
+                for s in range(slices):
+                    own = order[bounds[s] : bounds[s + 1]]
+                    if len(own):
+                        rows.append(
+                            (
+                                row["chunk"],
+                                kind,
+                                s,
+                                pack_array(np.diff(hashes[own], prepend=np.uint64(0))),
+                                pack_array(learned[own].astype(np.uint32)),
+                                pack_array(used[own].astype(np.uint32)),
                             )
-                    yield batch_of(rows, [f.split()[0] for f in fields.split(", ")], kinds)
+                        )
+                yield batch_of(rows, [f.split()[0] for f in fields.split(", ")], kinds)
 
     return chunks.select("chunk", *CHUNK_INPUTS).mapInArrow(run, fields)
 
@@ -254,7 +263,7 @@ class Model:
         for kind in (0, 1):
             order, bounds = chunk.entries(kind)
             for name, into in (("learned", self.learned), ("used", self.used)):
-                counts = np.zeros(len(order), np.float64)
+                counts = np.zeros(len(order), np.uint64)
                 for reply in row["replies"]:
                     if reply["kind"] == kind:
                         s = reply["slice"]
@@ -265,17 +274,21 @@ class Model:
         self.sizes = sizes
 
     def parts(self, name: str):
-        """Bucket of the context, and ML estimates by pair, word and uniformly, of each token."""
+        """A few tokens at a time: their slice, the bucket of the context, and the ML
+        estimates by pair, by word and uniformly."""
         chunk, counts = self.chunk, getattr(self, name)
         n, v = self.sizes[name]
-        context = counts[0][chunk.before]
         # every learned text has one start, as it has one end
+        contexts = counts[0].copy()
         ends = counts[0][chunk.hashes == np.uint64(END)].sum()
-        context[chunk.hashes[chunk.before] == np.uint64(START)] = ends
-        pair = counts[1][chunk.pair_of] / np.maximum(context, 1)
-        word = counts[0][chunk.ids] / max(n, 1)
-        bucket = np.frexp(context)[1]  # 0 for none, then one bucket an octave
-        return bucket, pair, word, 1 / (v + 1)
+        contexts[chunk.hashes == np.uint64(START)] = ends
+        for at in range(0, len(chunk.ids), STEP_TOKENS):
+            own = slice(at, at + STEP_TOKENS)
+            context = contexts[chunk.before[own]].astype(np.float64)
+            pair = counts[1][chunk.pair_of[own]] / np.maximum(context, 1)
+            word = counts[0][chunk.ids[own]] / max(n, 1)
+            bucket = np.frexp(context)[1]  # 0 for none, then one bucket an octave
+            yield own, bucket, pair, word, 1 / (v + 1)
 
 
 def on_grid(p: np.ndarray, unit: float) -> np.ndarray:
@@ -363,11 +376,10 @@ def score_texts(
     known = chunks.join(gathered, "chunk")
 
     def held_out_counts(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                model = Model(row, slices, sizes)
-                mine = model.chunk.fold == DELETED
-                bucket, pair, word, unit = model.parts("used")
+        for row in rows_of(batches):
+            model = Model(row, slices, sizes)
+            for own, bucket, pair, word, unit in model.parts("used"):
+                mine = model.chunk.fold[own] == DELETED
                 keys = np.column_stack(
                     (bucket[mine], on_grid(pair[mine], unit), on_grid(word[mine], unit))
                 )
@@ -398,25 +410,28 @@ def score_texts(
     n, v = sizes["learned"]
 
     def scores(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                model = Model(row, slices, sizes)
-                starts = model.chunk.starts
-                bucket, pair, word, unit = model.parts("learned")
+        for row in rows_of(batches):
+            model = Model(row, slices, sizes)
+            lengths = model.chunk.lengths
+            doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+            sums = np.zeros((3, len(lengths)))
+            for own, bucket, pair, word, unit in model.parts("learned"):
                 w = by_bucket[bucket]
                 p = w[:, 0] * pair + w[:, 1] * word + w[:, 2] * unit
-                counts = model.learned[0][model.chunk.ids]
+                counts = model.learned[0][model.chunk.ids[own]]
                 base = np.log10((counts + 0.1) / (n + 0.1 * (v + 1)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row["rids"], pa.int64()),
-                        pa.array(row["lengths"], pa.int64()),
-                        pa.array(np.add.reduceat((counts > 0).astype(np.int64), starts)),
-                        pa.array(np.add.reduceat(base, starts)),
-                        pa.array(np.add.reduceat(np.log10(p), starts)),
-                    ],
-                    names=["rid", "n_tokens", "n_known", "base_score", "score"],
-                )
+                for total, values in zip(sums, (counts > 0, base, np.log10(p))):
+                    total += np.bincount(doc[own], weights=values, minlength=len(lengths))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(row["rids"], pa.int64()),
+                    pa.array(lengths),
+                    pa.array(sums[0].astype(np.int64)),
+                    pa.array(sums[1]),
+                    pa.array(sums[2]),
+                ],
+                names=["rid", "n_tokens", "n_known", "base_score", "score"],
+            )
 
     sums = known.select(*CHUNK_INPUTS, "rids", "replies").mapInArrow(
         scores, "rid bigint, n_tokens bigint, n_known bigint, base_score double, score double"
