@@ -14,9 +14,12 @@ DATE_ONLY = "yyyy-MM-dd"
 MIDNIGHT_SUFFIX = "T00:00:00.000Z"
 
 # The shape a text must have to match each pattern. Letters match in either
-# case. Years beyond 99999 are left out: they can overflow a timestamp, which
-# raises even where a failed parse gives null.
-_DAY = r"(\d{4}|\+\d{5}|-\d{4,5})-\d{2}-\d{2}"
+# case. Only years that a timestamp holds from end to end are let in, -290307 to
+# 294246: others can overflow it, which raises even where a failed parse gives
+# null.
+_LATE = r"\+(?:\d{5}|1\d{5}|2[0-8]\d{4}|29[0-3]\d{3}|294[01]\d{2}|2942[0-3]\d|29424[0-6])"
+_EARLY = r"-(?:\d{4,5}|1\d{5}|2[0-8]\d{4}|290[0-2]\d{2}|29030[0-7])"
+_DAY = rf"(?:\d{{4}}|{_LATE}|{_EARLY})-\d{{2}}-\d{{2}}"
 _SHAPES = {
     MILLIS_Z: rf"^{_DAY}[Tt]\d{{2}}:\d{{2}}:\d{{2}}\.\d{{1,3}}[Zz]$",
     SECONDS_Z: rf"^{_DAY}[Tt]\d{{2}}:\d{{2}}:\d{{2}}[Zz]$",

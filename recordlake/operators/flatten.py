@@ -64,7 +64,9 @@ def flatten(
     list stays whole under its own name and yields no per-key lists.
 
     ``text`` names the column with each record's JSON text. It is not part of
-    the output; nulls written out in it stay in the per-key lists.
+    the output; nulls written out in it stay in the per-key lists. A text that
+    cannot be read as a whole, such as one beyond the size of a VARIANT, fails
+    the job rather than losing them.
     """
     if on_collision not in ("error", "coalesce"):
         raise ValueError(f"on_collision must be 'error' or 'coalesce', not {on_collision!r}")
@@ -75,7 +77,7 @@ def flatten(
     schema = df.schema
     if text is not None:
         schema = T.StructType([f for f in schema.fields if f.name != text])
-        df = df.withColumn(_WRITTEN, F.try_parse_json(F.col(quoted(text))))
+        df = df.withColumn(_WRITTEN, F.parse_json(F.col(quoted(text))))
         written = F.col(_WRITTEN)
     walk = _Walk(sep, aligned, null_elements, written)
     leaves: dict[str, list[Leaf]] = defaultdict(list)

@@ -474,7 +474,7 @@ def incremental_ingest(spark, sf_dir):
         wave.write.mode("append").option("compression", compression).partitionBy("bucket").text(
             landing
         )
-        ingest_new_files(spark, landing, fixtures.EVENT_SCHEMA, out, checkpoint)
+        ingest_new_files(spark, landing, fixtures.EVENT_SCHEMA, out, checkpoint, f"{out}-rejects")
     return tables.read_tables(spark, out).select("bucket", *fixtures.EVENT_SCHEMA.names)
 
 

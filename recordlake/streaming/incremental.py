@@ -23,8 +23,8 @@ def ingest_new_files(
     schema: T.StructType,
     output: str,
     checkpoint: str,
+    rejects: str,
     *,
-    rejects: str | None = None,
     files_per_batch: int | None = None,
 ) -> None:
     """Process all files that arrived since the last call, then return.
@@ -45,8 +45,7 @@ def ingest_new_files(
         audit = audit_files(batch)
         good = keep_good(batch, audit)
         _write(parse_lines(good, schema), output, batch_id)
-        if rejects is not None:
-            _write(rejected_files(audit), rejects, batch_id)
+        _write(rejected_files(audit), rejects, batch_id)
 
     query = (
         lines.writeStream.foreachBatch(write_batch)

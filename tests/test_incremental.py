@@ -11,7 +11,7 @@ def test_each_file_once_and_bad_files_set_aside(spark, tmp_path):
     landing.mkdir()
 
     def run(**options):
-        ingest_new_files(spark, str(landing), SCHEMA, out, str(tmp_path / "cp"), rejects=rejects, **options)
+        ingest_new_files(spark, str(landing), SCHEMA, out, str(tmp_path / "cp"), rejects, **options)
 
     (landing / "one").write_text('{"a":1}\n{"a":2}\n\n')
     (landing / "bad").write_text('{"a":3}\n{"a"\n')
@@ -34,5 +34,7 @@ def test_a_repeated_batch_replaces_its_own_output(spark, tmp_path):
     landing.mkdir()
     (landing / "one").write_text('{"a":1}\n')
     for checkpoint in ("cp1", "cp2"):  # a lost checkpoint starts over at batch 0
-        ingest_new_files(spark, str(landing), SCHEMA, out, str(tmp_path / checkpoint))
+        ingest_new_files(
+            spark, str(landing), SCHEMA, out, str(tmp_path / checkpoint), str(tmp_path / "bad")
+        )
     assert read_tables(spark, out).count() == 1

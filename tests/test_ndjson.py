@@ -146,3 +146,16 @@ def test_inferred_schema(spark, tmp_path):
     df = ndjson.read_ndjson(spark, path)
     assert df.columns == ["key1", "key2", "source_file"]
     assert df.count() == 2
+
+
+def test_a_very_long_text_is_read_as_it_is_judged(spark, tmp_path):
+    long = 21_000_000
+    (tmp_path / "big").write_text('{"id":1,"b":"x"}\n{"id":2,"b":"' + "y" * long + '"}\n')
+    lines = ndjson.read_lines(spark, str(tmp_path / "big"))
+    audit = ndjson.audit_files(lines).first()
+    assert (audit.n_records, audit.n_bad, audit.rejected) == (2, 0, False)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("b", T.StringType())])
+    parsed = ndjson.parse_lines(lines, schema).selectExpr("id", "length(b) as n").collect()
+    assert sorted((r.id, r.n) for r in parsed) == [(1, 1), (2, long)]
+    read = ndjson.read_ndjson(spark, str(tmp_path / "big"), schema).selectExpr("id", "length(b) as n")
+    assert sorted((r.id, r.n) for r in read.collect()) == [(1, 1), (2, long)]

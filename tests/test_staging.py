@@ -64,6 +64,18 @@ def test_absurd_years_are_null(spark):
     assert [r[0] for r in got] == [None, None]
 
 
+def test_late_and_early_years_are_kept(spark):
+    texts = ["+123456-01-01", "+294246-12-31", "+294247-01-01", "+294250-06-01", "-0044-03-15"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(F.year(times.parse_timestamp(F.col("t"), times.DATE_ONLY))).collect()
+    plain = df.where("t not like '+29425%'").select(
+        F.year(F.try_to_timestamp("t", F.lit(times.DATE_ONLY)))
+    )
+    assert [r[0] for r in got][:2] == [123456, 294246]
+    assert [r[0] for r in got][2:4] == [None, None]
+    assert got[4][0] == plain.collect()[3][0]
+
+
 def test_observation(spark):
     df = spark.createDataFrame(
         [("2024-01-02T03:04:05Z", "2024-01-02T03:04:05.006Z", "nope")],
