@@ -16,7 +16,7 @@ from recordlake.llm.frames import written
 
 LIMIT = 4096
 END_ID = 1
-CACHED_WORDS = 3 << 19
+CACHED_WORDS = 3 << 18
 
 PIECE = (
     "piece int, start bigint, length bigint, ids_crc32 bigint, task bigint, local_rank bigint"
