@@ -22,6 +22,15 @@ ARROW = {
 }
 
 
+ROWS = 128  # taken from an Arrow batch at once, so that few texts are unpacked at a time
+
+
+def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns whose names clash with ``names``, in any case."""
     clash = {n.casefold() for n in names}
@@ -40,8 +49,8 @@ def annotate(
     ``make`` runs once per task and returns the row function: column values
     in, one tuple in the order of ``fields`` out. ``keep`` lists the input
     columns to carry along (all of them if None); a kept column whose name
-    equals a new field in any case is replaced by it. Rows stream through in
-    Arrow batches, so memory is one batch, whatever the partition holds.
+    equals a new field in any case is replaced by it. Rows stream through a few
+    at a time, so memory is one Arrow batch, whatever the partition holds.
     """
     clash = {n.casefold() for n in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.casefold() not in clash]
@@ -59,7 +68,7 @@ def annotate(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = make()
-        for batch in batches:
+        for batch in pieces_of(batches):
             values = [batch.column(n_kept + i).to_pylist() for i in range(n_reads)]
             results = [row(*v) for v in zip(*values)]
             columns = list(zip(*results)) if results else [()] * len(types)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordlake.llm.frames import written
+from recordlake.llm.frames import pieces_of, written
 
 FOLDS = 10
 HELD_OUT, DELETED = 0, 1  # folds: not learned from; learned from, but left out of the weights' counts
@@ -120,7 +120,7 @@ def chunked(df: DataFrame, id_column: str, text: str, size: int) -> DataFrame:
 
     def run(batches):
         builder = None
-        for batch in batches:
+        for batch in pieces_of(batches):
             kinds = [pa.int64(), *[pa.binary()] * 3, *[pa.list_(pa.int64())] * 3]
             kinds += [pa.list_(pa.int32()), pa.list_(batch.column(3).type)]
             full = []

@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordlake.llm.frames import written
+from recordlake.llm.frames import pieces_of, written
 
 LIMIT = 4096
 END_ID = 1
-CACHED_WORDS = 3 << 18
+CACHED_WORDS = 3 << 17
 
 PIECE = (
     "piece int, start bigint, length bigint, ids_crc32 bigint, task bigint, local_rank bigint"
@@ -126,7 +126,7 @@ def tokenized(
         encoder = make_encoder(path)
         ranks = [0] * (limit + 1)
         end = struct.pack("<I", END_ID)
-        for batch in batches:
+        for batch in pieces_of(batches):
             rows, pieces, starts, lengths, sums, places = [], [], [], [], [], []
             for row, value in enumerate(batch.column(2).to_pylist()):
                 ids = encoder.encode(value or "") + end

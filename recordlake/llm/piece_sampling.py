@@ -20,7 +20,7 @@ from recordlake.llm.frames import annotate, without
 SPACE = "▁"
 TEMPERATURE = 1.0
 BYTE_RANK = 100_000  # bytes are ranked behind every piece
-CACHED_WAYS = 600_000
+CACHED_WAYS = 250_000
 CACHED_LENGTH = 32
 # spaces, then letters and all that is not ASCII, or other ASCII characters; or a line end
 CHUNK = re.compile(
