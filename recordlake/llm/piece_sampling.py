@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import random
 import re
 import struct
@@ -20,7 +21,7 @@ from recordlake.llm.frames import annotate, without
 SPACE = "▁"
 TEMPERATURE = 1.0
 BYTE_RANK = 100_000  # bytes are ranked behind every piece
-CACHED_WAYS = 250_000
+CACHED_WAYS = 700_000
 CACHED_LENGTH = 32
 # spaces, then letters and all that is not ASCII, or other ASCII characters; or a line end
 CHUNK = re.compile(
@@ -214,6 +215,9 @@ def sample_pieces(
 
     def make():
         lattice = Lattice(path, temperature)
+        # what is remembered holds no cycles; looking for some at every few
+        # hundred new tuples costs a good part of the time
+        gc.set_threshold(200_000, 50, 100)
 
         def row(row_key, value):
             value = value or ""
