@@ -130,14 +130,16 @@ def clinical_impressions(documents: DataFrame) -> DataFrame:
     )
 
 
-def medication_orders(orders: DataFrame, *, refills: bool = False) -> DataFrame:
-    """With ``refills``, only some participants carry a prior prescription."""
+def medication_orders(orders: DataFrame, *, refills: bool = True) -> DataFrame:
+    """With ``refills``, some participants carry a prior prescription, some a unit."""
     key, day = F.col("o_orderkey"), F.col("o_orderdate")
     prior = F.when(
         (F.col("o_custkey") % 3 == 0) & (key % 2 == 0),
         F.concat(F.lit("prior "), F.col("o_orderpriority")),
     )
+    unit = F.when((F.col("o_custkey") % 5 == 0) & (key % 2 == 1), F.lit("tab"))
     extra = [F.struct(prior.alias("display")).alias("priorPrescription")] if refills else []
+    amount = [F.struct(unit.alias("unit")).alias("quantity")] if refills else []
     return orders.select(
         _text("o_custkey").alias("user_id"),
         F.lit(MEDICATION_ORDER).alias("resourceType"),
@@ -148,7 +150,8 @@ def medication_orders(orders: DataFrame, *, refills: bool = False) -> DataFrame:
                 F.when(key % 8 == 0, _millis(day))
                 .otherwise(F.date_format(day, DATE_ONLY))
                 .alias("start")
-            ).alias("validityPeriod")
+            ).alias("validityPeriod"),
+            *amount,
         ).alias("dispenseRequest"),
         F.struct(
             F.col("o_orderpriority").alias("display"),
@@ -259,6 +262,32 @@ def written_null_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MIXED_SCHEMA = _struct(
+    id=_TEXT, parts=T.ArrayType(_struct(partKey=_LONG)), mixed=T.ArrayType(_TEXT)
+)
+
+
+def mixed_list_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of objects, every third with a null among them; lists of objects and scalars."""
+    line, part = F.col("l_linenumber"), F.col("l_partkey").cast("string")
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), line.cast("string"))
+    body = F.concat(
+        F.lit('{"id":"'),
+        key,
+        F.lit('","parts":['),
+        F.when(line % 3 == 0, F.lit("null,")).otherwise(F.lit("")),
+        F.lit('{"partKey":'),
+        part,
+        F.lit('}],"mixed":[{"flag":"'),
+        F.col("l_returnflag"),
+        F.lit('"},"text",'),
+        part,
+        F.lit("]}"),
+    )
+    lines = table(spark, sf_dir, "lineitem").select(body.alias("value"))
+    return lines.select(parse_record(F.col("value"), MIXED_SCHEMA).alias("r")).select("r.*")
+
+
 CLASHING_SCHEMA = _struct(
     id=_TEXT, Id=_TEXT, parts=T.ArrayType(_struct(qty=_DOUBLE, Qty=_DOUBLE))
 )
@@ -292,25 +321,27 @@ BUCKET_DIRECTORY = r"^(.*/bucket=[^/]+)/"
 BROKEN_LINE = '{"event_id": 1, "event_type": "cli'
 
 
-def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``bucket, value``: one JSON text per event; eight buckets of users."""
+def event_lines(spark: SparkSession, sf_dir: str, *, broken: bool = False) -> DataFrame:
+    """``bucket, value``: one JSON text per event; eight buckets of users.
+
+    With ``broken``, bucket 3 gets a malformed line.
+    """
     event = F.struct(
         "event_id",
         F.date_format("ts", MILLIS_Z).alias("ts"),
         *["user_id", "event_type", "value", "props"],
     )
-    return table(spark, sf_dir, "events").select(
+    lines = table(spark, sf_dir, "events").select(
         (F.col("user_id") % 8).alias("bucket"), F.to_json(event).alias("value")
     )
+    bad = F.lit(3).cast("bigint").alias("bucket"), F.lit(BROKEN_LINE).alias("value")
+    return lines.unionByName(spark.range(1).select(*bad)) if broken else lines
 
 
 def write_event_files(spark: SparkSession, sf_dir: str) -> str:
     """One directory of NDJSON per bucket; bucket 3 gets a malformed line."""
     root = scratch_dir(spark, "event-files")
-    broken = spark.range(1).select(
-        F.lit(3).cast("bigint").alias("bucket"), F.lit(BROKEN_LINE).alias("value")
-    )
-    lines = event_lines(spark, sf_dir).unionByName(broken)
+    lines = event_lines(spark, sf_dir, broken=True)
     lines.hint("rebalance", "bucket").write.partitionBy("bucket").text(root)
     return root
 
@@ -339,32 +370,45 @@ def write_landing(spark: SparkSession, sf_dir: str) -> str:
 LANDING_SCHEMA = _struct(event_id=_LONG, ts=_TEXT, event_type=_TEXT, value=_DOUBLE)
 
 
+RECORD_LEVELS = ("source", "user_id", "version", "year", "month", "day", "model")
+RECORD_DIRECTORY = r"^(.*/model=[^/]+)/"
+
+
+def record_schema(spark: SparkSession, sf_dir: str, resource_type: str) -> T.StructType:
+    """The schema of the records in files, where only the path names the participant."""
+    return raw_records(spark, sf_dir, resource_type).drop("user_id").schema
+
+
 def write_record_files(spark: SparkSession, sf_dir: str) -> str:
-    """All four record types as NDJSON; one bucket of observations has a malformed line."""
+    """All four record types in the landing layout, under 15 participants such as ``007``.
+
+    The observations of participant ``003`` have a malformed line.
+    """
     root = scratch_dir(spark, "record-files")
-    bucket = F.col("user_id").cast("bigint") % 8
-    parts = []
+    user = F.col("user_id").cast("bigint") % 15
+    rows = None
     for resource_type in BUILDERS:
         raw = raw_records(spark, sf_dir, resource_type)
-        parts.append(
-            raw.select(
-                F.lit(resource_type).alias("resource_type"),
-                bucket.alias("bucket"),
-                F.to_json(F.struct(*raw.columns)).alias("value"),
-            )
-        )
-    parts.append(
-        spark.range(1).select(
-            F.lit(OBSERVATION).alias("resource_type"),
-            F.lit(3).cast("bigint").alias("bucket"),
-            F.lit(BROKEN_LINE).alias("value"),
+        part = raw.select(
+            user.alias("user"),
+            F.lit(resource_type).alias("model"),
+            F.to_json(F.struct(*[c for c in raw.columns if c != "user_id"])).alias("value"),
         )
+        rows = part if rows is None else rows.unionByName(part)
+    broken = spark.range(1).select(
+        F.lit(3).cast("bigint").alias("user"),
+        F.lit(OBSERVATION).alias("model"),
+        F.lit(BROKEN_LINE).alias("value"),
     )
-    lines = parts[0]
-    for part in parts[1:]:
-        lines = lines.unionByName(part)
-    levels = ("resource_type", "bucket")
-    lines.hint("rebalance", *levels).write.partitionBy(*levels).text(root)
+    levels = landing_columns(
+        F.lit("2024-01-02").cast("timestamp"),
+        source="demo",
+        user_id=F.format_string("%03d", F.col("user")),
+        version=F.lit("dstu2"),
+        model=F.col("model"),
+    )
+    lines = rows.unionByName(broken).select("value", *[c.alias(n) for n, c in levels.items()])
+    lines.hint("rebalance", *RECORD_LEVELS).write.partitionBy(*RECORD_LEVELS).text(root)
     return root
 
 
@@ -399,7 +443,7 @@ def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     version = F.element_at(F.array(*[F.lit(v) for v in VERSIONS]), (key % 3 + 1).cast("int"))
     return table(spark, sf_dir, "orders").select(
         key.alias("input_key"),
-        F.lit("orders").alias("source"),
+        F.when(key % 7 == 0, "archive").otherwise("orders").alias("source"),
         version.alias("version"),
         model.alias("model"),
         F.when(status == "F", "skip").when(status == "O", "proceed").alias("status"),

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.plans.specs import KNOWN_MODELS
+from recordlake.functions.names import quoted
 
 SKIP = "skip"
 PROCEED = "proceed"
@@ -34,15 +34,21 @@ def flatten_manifest(exports: DataFrame, keys: list[str], order: str, *, keep: s
     )
 
 
-def route(
-    control: DataFrame, known: Iterable[tuple[str, str]] = KNOWN_MODELS
-) -> DataFrame:
-    """Set ``status``: ``proceed`` where (version, model) has a transformation, else ``skip``."""
-    is_known = F.lit(False)
-    for version, model in known:
-        is_known = is_known | ((F.col("version") == version) & (F.col("model") == model))
-    status = F.when(F.coalesce(is_known, F.lit(False)), PROCEED).otherwise(SKIP)
-    return control.withColumn("status", status)
+def route(control: DataFrame, known: Iterable[tuple[str, str, str]]) -> DataFrame:
+    """Set ``status``: ``proceed`` where (source, version, model) is in ``known``, else ``skip``.
+
+    ``known`` is what transformations exist, a short list. A row already marked
+    ``skip`` stays so; a null in any of the three is known to no transformation.
+    """
+    keys = ["source", "version", "model"]
+    rows = sorted({(*triple, True) for triple in known})
+    schema = "source string, version string, model string, _known boolean"
+    joined = control.join(F.broadcast(control.sparkSession.createDataFrame(rows, schema)), keys, "left")
+    proceed = F.col("_known").eqNullSafe(F.lit(True))
+    if "status" in control.columns:
+        proceed &= ~F.col("status").eqNullSafe(F.lit(SKIP))
+    others = [F.col(quoted(c)) for c in control.columns if c != "status"]
+    return joined.select(*others, F.when(proceed, PROCEED).otherwise(SKIP).alias("status"))
 
 
 def active(control: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ at hand, ``text`` keeps the written nulls as entries.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -50,8 +50,9 @@ def flatten(
     *,
     aligned: bool = False,
     on_collision: str = "error",
-    null_elements: str = "skip",
+    null_elements: str = "keep",
     text: str | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Flatten every column of ``df``; output columns are sorted by name.
 
@@ -59,14 +60,17 @@ def flatten(
     is ``"error"``, or ``"coalesce"``: the later key in schema order wins
     where it is present, and keys of one list of objects are all appended.
 
-    A list holding nulls among its objects is not a list of objects. With
-    ``null_elements="skip"`` the nulls are ignored; with ``"keep"`` such a
-    list stays whole under its own name and yields no per-key lists.
+    A list holding nulls among its objects is not a list of objects: it stays
+    whole under its own name and yields no per-key lists. With
+    ``null_elements="skip"`` the nulls are ignored instead; where lists are known
+    to hold none, that lets a scan read single fields of their objects.
 
     ``text`` names the column with each record's JSON text. It is not part of
     the output; nulls written out in it stay in the per-key lists. A text that
     cannot be read as a whole, such as one beyond the size of a VARIANT, fails
-    the job rather than losing them.
+    the job rather than losing them. ``carry`` names columns that are no part of
+    the record; they come first, as they are, and should start with ``_``, which
+    no flattened name does.
     """
     if on_collision not in ("error", "coalesce"):
         raise ValueError(f"on_collision must be 'error' or 'coalesce', not {on_collision!r}")
@@ -74,9 +78,8 @@ def flatten(
         raise ValueError(f"null_elements must be 'skip' or 'keep', not {null_elements!r}")
 
     written = None
-    schema = df.schema
+    schema = T.StructType([f for f in df.schema.fields if f.name not in (text, *carry)])
     if text is not None:
-        schema = T.StructType([f for f in schema.fields if f.name != text])
         df = df.withColumn(_WRITTEN, F.parse_json(F.col(quoted(text))))
         written = F.col(_WRITTEN)
     walk = _Walk(sep, aligned, null_elements, written)
@@ -87,7 +90,8 @@ def flatten(
     clashes = {n: [leaf.source for leaf in found] for n, found in leaves.items() if len(found) > 1}
     if clashes and on_collision == "error":
         raise ValueError(f"raw keys share a column name: {clashes}")
-    return df.select(*[_settle(name, leaves[name]) for name in sorted(leaves)])
+    carried = [F.col(quoted(c)) for c in carry]
+    return df.select(*carried, *[_settle(name, leaves[name]) for name in sorted(leaves)])
 
 
 @dataclass(frozen=True)

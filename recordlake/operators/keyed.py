@@ -26,7 +26,8 @@ def attach(
     ``keys`` has one row per key value of ``df`` with the number of rows it
     stands for; read it from a written table, since it is scanned up to four
     times. Only rows matching ``needed`` carry a fact, so only they are
-    joined; every other row of ``df`` gets nulls.
+    joined; every other row of ``df`` gets nulls. A null
+    key is a key like others.
 
     The needed rows are broadcast when their measured size fits. Beyond that
     they are shuffle-joined, except for hot keys: a key holding more than
@@ -39,18 +40,20 @@ def attach(
     size = wanted.agg(
         F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(key, *facts)))), F.lit(0))
     ).first()[0]
+    same = F.col(key).eqNullSafe(F.col("_key"))
     if size <= broadcast_bytes:
-        joined = df.join(F.broadcast(wanted.select(key, *facts)), key, "left")
+        small = wanted.select(F.col(key).alias("_key"), *facts)
+        joined = df.join(F.broadcast(small), same, "left")
         return joined.select(*[F.col(f"`{c}`") for c in df.columns], *facts)
 
     total = keys.agg(F.sum(rows)).first()[0]
     is_hot = F.col(rows) * HOT_SHARE > F.lit(total)
     fact = F.struct(*facts)
     hot = keys.where(is_hot).select(
-        key, F.lit(True).alias("_is_hot"), F.when(needed, fact).alias("_hot")
+        F.col(key).alias("_key"), F.lit(True).alias("_is_hot"), F.when(needed, fact).alias("_hot")
     )
     cold = keys.where(needed & ~is_hot).select(
-        key, F.lit(0).cast("bigint").alias("_slot"), fact.alias("_cold")
+        F.col(key).alias("_cold_key"), F.lit(0).cast("bigint").alias("_cold_slot"), fact.alias("_cold")
     )
     # the slot follows from row values, so a recomputed task repeats it
     plain = [
@@ -60,9 +63,13 @@ def attach(
     ]
     slot = F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*plain), F.lit(spread)) + 1).otherwise(0)
     joined = (
-        df.join(F.broadcast(hot), key, "left")
+        df.join(F.broadcast(hot), same, "left")
         .withColumn("_slot", slot.cast("bigint"))
-        .join(cold, [key, "_slot"], "left")
+        .join(
+            cold,
+            F.col(key).eqNullSafe(F.col("_cold_key")) & (F.col("_slot") == F.col("_cold_slot")),
+            "left",
+        )
         .withColumn("_fact", F.coalesce("_hot", "_cold"))
     )
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], "_fact.*")

@@ -62,7 +62,7 @@ impression as (
     lang as summary
   from documents)"""
 
-MEDICATION = """
+DECLARED_MEDICATION = """
 medication as (
   select cast(o_custkey as varchar) as participant_id,
     cast(o_orderkey as varchar) as id,
@@ -74,6 +74,34 @@ medication as (
     cast(date_trunc('millisecond', o_orderdate) as varchar) as updated
   from orders)"""
 
+def medication(who: str) -> str:
+    """Orders of the participants ``who`` names; a column one never fills is marked."""
+    return f"""
+filled as (
+  select {who} as participant_id, cast(o_orderkey as varchar) as id,
+    cast(date_trunc('day', o_orderdate) as timestamp)::varchar as written,
+    case when o_orderkey % 8 <> 0
+      then cast(date_trunc('day', o_orderdate) as timestamp)::varchar end as start,
+    o_orderpriority as display,
+    case when o_custkey % 3 = 0 and o_orderkey % 2 = 0 then 'prior ' || o_orderpriority end as prior,
+    case when o_orderkey % 4 <> 0 then o_orderstatus end as reference,
+    case when o_custkey % 5 = 0 and o_orderkey % 2 = 1 then 'tab' end as unit,
+    cast(date_trunc('millisecond', o_orderdate) as varchar) as updated
+  from orders),
+presence as (
+  select participant_id, count(prior) > 0 as has_prior, count(reference) > 0 as has_reference,
+    count(unit) > 0 as has_unit
+  from filled group by participant_id),
+medication as (
+  select participant_id, id, written, start, display, updated,
+    case when has_prior then prior else '----' end as prior,
+    case when has_reference then reference else '----' end as reference,
+    case when has_unit then unit else '----' end as unit
+  from filled join presence using (participant_id))"""
+
+
+MEDICATION = medication("cast(o_custkey as varchar)")
+
 RECORD_OBSERVATION = f"""
   select participant_id, id, coalesce(issued, effective_date_time) as date,
     'Observation' as resource_type, code_text as name,
@@ -103,7 +131,7 @@ RECORD_IMPRESSION = f"""
 RECORD_MEDICATION = f"""
   select participant_id, id, start as date, 'MedicationOrder' as resource_type, display as name,
     {NO_BOUNDS},
-    case when reference is null then '---- ----' else '---- ' || reference || ' ----' end as summary,
+    concat_ws(' ', prior, reference, unit) as summary,
     updated as ouh_last_updated, '{AS_OF}' as last_updated
   from medication"""
 
@@ -113,6 +141,22 @@ records as ({RECORD_OBSERVATION}
   union all {RECORD_IMPRESSION}
   union all {RECORD_MEDICATION})"""
 
+FIRST_MATCH = f"""with {OBSERVATION}, {IMMUNIZATION}, {IMPRESSION}, {MEDICATION}, {ALL_RECORDS},
+placed as (
+  select *, list_position(
+      ['Observation', 'Immunization', 'ClinicalImpression', 'MedicationOrder'], resource_type) as place,
+    case resource_type
+      when 'Observation' then 3 * cast(participant_id as bigint)
+      when 'Immunization' then case when cast(split_part(id, '-', 2) as bigint) % 3 <> 0
+        then 2 * cast(participant_id as bigint) end
+      when 'MedicationOrder' then case when cast(id as bigint) % 3 <> 0
+        then cast(participant_id as bigint) end
+      else cast(participant_id as bigint) end as input
+  from records),
+chosen as (select input, min(place) as first from placed group by input)
+  select placed.* exclude (place, input)
+  from placed join chosen on placed.input is not distinct from chosen.input and place = first"""
+
 ORACLES: dict[str, str] = {
     "stage_observation": f"""with {OBSERVATION}
   select participant_id, id, issued, effective_date_time,
@@ -135,44 +179,25 @@ ORACLES: dict[str, str] = {
     "stage_clinical_impression": f"""with {IMPRESSION}
   select participant_id, id, date, date as meta__last_updated, description, summary
   from impression""",
-    "stage_medication_order": f"""with {MEDICATION}
+    "stage_medication_order": f"""with {DECLARED_MEDICATION}
   select participant_id, id, written as date_written,
     start as dispense_request__validity_period__start, updated as meta__last_updated,
     '----' as prior_prescription__display, reference as medication_reference__reference,
     '----' as dispense_request__quantity__unit
   from medication""",
-    "stage_medication_order_per_input": """
-with refill as (
-  select *, case when o_custkey % 3 = 0 and o_orderkey % 2 = 0
-      then 'prior ' || o_orderpriority end as prior,
-    case when o_orderkey % 4 <> 0 then o_orderstatus end as reference,
-    cast(date_trunc('day', o_orderdate) as timestamp)::varchar as day_text
-  from orders),
-presence as (
-  select o_custkey as who, count(prior) > 0 as has_prior, count(reference) > 0 as has_reference
-  from refill group by o_custkey)
-  select cast(o_custkey as varchar) as participant_id, cast(o_orderkey as varchar) as id,
-    day_text as date_written,
-    case when o_orderkey % 8 <> 0 then day_text end as dispense_request__validity_period__start,
-    case when has_prior then prior else '----' end as prior_prescription__display,
-    case when has_reference then reference else '----' end as medication_reference__reference,
-    '----' as dispense_request__quantity__unit
-  from refill join presence on who = o_custkey""",
+    "stage_medication_order_per_input": f"""with {MEDICATION}
+  select participant_id, id, written as date_written,
+    start as dispense_request__validity_period__start, prior as prior_prescription__display,
+    reference as medication_reference__reference, unit as dispense_request__quantity__unit
+  from medication""",
     "unify_observation": f"with {OBSERVATION} {RECORD_OBSERVATION}",
     "unify_immunization": f"with {IMMUNIZATION} {RECORD_IMMUNIZATION}",
     "unify_clinical_impression": f"with {IMPRESSION} {RECORD_IMPRESSION}",
     "unify_medication_order": f"with {MEDICATION} {RECORD_MEDICATION}",
     "unify_all": f"with {OBSERVATION}, {IMMUNIZATION}, {IMPRESSION}, {MEDICATION}, {ALL_RECORDS} "
     "select * from records",
-    "unify_mixed_input": f"with {OBSERVATION}, {IMMUNIZATION} "
-    f"{RECORD_OBSERVATION} union all {RECORD_IMMUNIZATION}",
-    "unify_first_match": f"""with {OBSERVATION}, {IMMUNIZATION},
-both_types as ({RECORD_OBSERVATION} union all {RECORD_IMMUNIZATION}),
-ranked as (
-  select *, case resource_type when 'Observation' then 1 else 2 end as priority from both_types),
-chosen as (select participant_id as who, min(priority) as first from ranked group by 1)
-  select ranked.* exclude (priority)
-  from ranked join chosen on who = participant_id and first = priority""",
+    "unify_mixed_input": f"with {OBSERVATION}, {IMMUNIZATION}, {IMPRESSION}, {MEDICATION}, "
+    f"{ALL_RECORDS} select * from records",
     "distinct_resource_types": f"""with {OBSERVATION}, {IMMUNIZATION}, {IMPRESSION}, {MEDICATION},
 {ALL_RECORDS} select distinct resource_type from records""",
 }
@@ -207,7 +232,7 @@ entries as (
 
 CONTROL = f"""
 control_rows as (
-  select o_orderkey as input_key, 'orders' as source, {VERSION.format('o_orderkey')} as version,
+  select o_orderkey as input_key, case when o_orderkey % 7 = 0 then 'archive' else 'orders' end as source, {VERSION.format('o_orderkey')} as version,
     case o_orderpriority when '1-URGENT' then 'Observation' when '2-HIGH' then 'Immunization'
       when '3-MEDIUM' then 'ClinicalImpression' when '4-NOT SPECIFIED' then 'MedicationOrder'
       else 'Patient' end as model,
@@ -329,14 +354,32 @@ ORACLES |= {
     "manifest_all_entries": f"with {ENTRIES} select user_id, version, type, url from entries",
     "route_status": f"""with {CONTROL}
   select input_key, source, version, model,
-    case when version = 'dstu2' and model <> 'Patient' then 'proceed' else 'skip' end as status
+    case when status is distinct from 'skip' and source = 'orders' and version = 'dstu2'
+      and model <> 'Patient' then 'proceed' else 'skip' end as status
   from control_rows""",
     "active_inputs": f"""with {CONTROL}
   select * from control_rows where status is distinct from 'skip'""",
     "incremental_ingest": f"""
-  select cast(user_id % 8 as varchar) as bucket, {EVENT_COLUMNS} from events""",
-    "medical_records_from_files": f"""with {OBSERVATION}, {IMMUNIZATION}, {IMPRESSION}, {MEDICATION},
-{ALL_RECORDS}
-  select * from records
-  where not (resource_type = 'Observation' and cast(participant_id as bigint) % 8 = 3)""",
+  select cast(user_id % 8 as varchar) as bucket, {EVENT_COLUMNS}
+  from events where user_id % 8 <> 3""",
+    "incremental_rejects": """
+  select '3' as bucket, count(*) + 1 as n_records, cast(1 as bigint) as n_bad
+  from events where user_id % 8 = 3""",
+    "flatten_mixed_lists": """
+  select l_orderkey || '-' || l_linenumber as id,
+    case when l_linenumber % 3 = 0 then '[null,{"partKey":' || l_partkey || '}]' end as parts,
+    case when l_linenumber % 3 <> 0 then cast(l_partkey as varchar) end as parts__part_key,
+    '{"flag":"' || l_returnflag || '"}|text|' || l_partkey as mixed
+  from lineitem""",
+    "listed_files": f"""
+  select cast(user_id % 8 as varchar) as bucket, {EVENT_COLUMNS}
+  from events where user_id % 8 in (select r_regionkey * 2 from region)""",
+    "medical_records_from_files": f"""with {OBSERVATION}, {IMMUNIZATION}, {IMPRESSION},
+{medication("printf('%03d', o_custkey % 15)")}, {ALL_RECORDS}
+  select * exclude (participant_id), case when resource_type = 'MedicationOrder' then participant_id
+      else printf('%03d', cast(participant_id as bigint) % 15) end as participant_id
+  from records
+  where not (resource_type = 'Observation' and cast(participant_id as bigint) % 15 = 3)""",
+    "unify_first_match": FIRST_MATCH,
+    "unify_first_match_shuffled": FIRST_MATCH,
 }

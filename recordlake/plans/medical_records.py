@@ -1,22 +1,33 @@
-"""The whole way from raw NDJSON to the record table, as one plan."""
+"""The whole way from raw NDJSON to the record table."""
 
 from __future__ import annotations
 
 import datetime
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordlake.functions.names import quoted
 from recordlake.operators.flatten import flatten
 from recordlake.operators.staging import stage
 from recordlake.operators.unify import unify
-from recordlake.plans.specs import STAGING
-from recordlake.sources.ndjson import audit_files, keep_good, parse_lines, read_lines
-
+from recordlake.plans.specs import STAGING, used_columns
+from recordlake.session import materialize
+from recordlake.sources.layout import lineage
+from recordlake.sources.ndjson import (
+    FILLED,
+    ORIGIN,
+    audit_files,
+    keep_good,
+    parse_and_judge,
+    read_lines,
+)
 
 _TEXT = "_record_text"
+_PARTICIPANT, _INPUT = "_participant", "_input"
 
 
 def medical_records(
@@ -24,26 +35,50 @@ def medical_records(
     paths: Mapping[str, str],
     schemas: Mapping[str, T.StructType],
     *,
-    participant: str = "user_id",
     as_of: str | datetime.datetime | None = None,
     unit_pattern: str | None = None,
 ) -> DataFrame:
     """The record table from one raw path and one schema per record type.
 
-    All files are judged in one job; the files that hold a bad line are then
-    left out of the scan of each type. Nulls written out in lists are kept.
+    ``paths`` lie in the landing layout: the participant is the ``user_id``
+    level of a file's path, null where there is none. Source, version and
+    participant together are one input, and each input of a type is staged as
+    if alone. Files that hold a bad line are left out. Nulls written out in
+    lists are kept.
+
+    The text is read once: flattened records are stored in scratch with their
+    file, and files and inputs are judged from a few stored columns.
     """
-    lines = read_lines(spark, list(paths.values()), recursiveFileLookup="true")
-    audit = audit_files(lines, unit_pattern=unit_pattern)
+    stored = {t: _stored(spark, path, t, schemas[t]) for t, path in paths.items()}
+    origins = functools.reduce(
+        DataFrame.unionByName, [df.select(*ORIGIN) for df in stored.values()]
+    )
+    audit = audit_files(origins, unit_pattern=unit_pattern)
     staged = {}
-    for resource_type, path in paths.items():
-        lines = read_lines(spark, path, recursiveFileLookup="true")
-        good = keep_good(lines, audit, unit_pattern=unit_pattern).select("value")
-        records = parse_lines(good, schemas[resource_type], text=_TEXT)
+    for resource_type, flat in stored.items():
         staged[resource_type] = stage(
-            flatten(records, text=_TEXT),
+            keep_good(flat.where(FILLED), audit, unit_pattern=unit_pattern),
             STAGING[resource_type],
-            participant=F.col(participant),
+            participant=F.col(_PARTICIPANT),
             as_of=as_of,
+            input_id=_INPUT,
         )
     return unify(staged)
+
+
+def _stored(spark, path, resource_type, schema) -> DataFrame:
+    lines = read_lines(spark, path, recursiveFileLookup="true")
+    records = parse_and_judge(lines, schema, text=_TEXT)
+    flat = flatten(records, text=_TEXT, carry=ORIGIN)
+    level = lineage()
+    of_input = F.struct(*[level[c].alias(c) for c in ("source", "version", "user_id")])
+    used = used_columns(resource_type)
+    return materialize(
+        flat.select(
+            *ORIGIN,
+            level["user_id"].alias(_PARTICIPANT),
+            F.to_json(of_input).alias(_INPUT),
+            *[F.col(quoted(c)) for c in flat.columns if c in used],
+        ),
+        f"flat-{resource_type}",
+    )

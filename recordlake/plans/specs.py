@@ -99,6 +99,21 @@ STAGING = {
 KNOWN_MODELS = tuple(("dstu2", model) for model in PRIORITY)
 
 
+# ---- Fixed values: the columns that records take and that no rule names. ----
+_TAKEN = {
+    OBSERVATION: ("code__text", "reference_range__low", "reference_range__high"),
+    IMMUNIZATION: ("vaccine_code__text",),
+    CLINICAL_IMPRESSION: ("description", "summary"),
+    MEDICATION_ORDER: ("medication_reference__display",),
+}
+
+
+def used_columns(resource_type: str) -> set[str]:
+    """The flattened columns that staging and the record table look at."""
+    rules = {rule.column for rule in STAGING[resource_type].rules}
+    return {"id", "resource_type", *_TAKEN[resource_type]} | rules
+
+
 def projection(resource_type: str) -> dict[str, Column]:
     """The record columns of one staged type, by output name."""
     own = {

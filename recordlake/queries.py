@@ -20,6 +20,7 @@ from recordlake.plans.medical_records import medical_records
 from recordlake.plans.specs import (
     CLINICAL_IMPRESSION,
     IMMUNIZATION,
+    KNOWN_MODELS,
     MEDICATION_ORDER,
     OBSERVATION,
     PRIORITY,
@@ -59,6 +60,7 @@ def staged(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
         STAGING[resource_type],
         participant=F.col("user_id"),
         as_of=AS_OF,
+        input_id="user_id",
     )
 
 
@@ -115,7 +117,12 @@ def stage_clinical_impression(spark, sf_dir):
 
 @query
 def stage_medication_order(spark, sf_dir):
-    return staged(spark, sf_dir, MEDICATION_ORDER).select(
+    """One input: the declared schema alone decides on markers."""
+    raw = fixtures.medication_orders(table(spark, sf_dir, "orders"), refills=False)
+    out = stage(
+        flatten(raw), STAGING[MEDICATION_ORDER], participant=F.col("user_id"), as_of=AS_OF
+    )
+    return out.select(
         "participant_id",
         "id",
         *text_of("date_written", "dispense_request__validity_period__start", "meta__last_updated"),
@@ -127,15 +134,7 @@ def stage_medication_order(spark, sf_dir):
 
 @query
 def stage_medication_order_per_input(spark, sf_dir):
-    raw = fixtures.medication_orders(table(spark, sf_dir, "orders"), refills=True)
-    out = stage(
-        flatten(raw),
-        STAGING[MEDICATION_ORDER],
-        participant=F.col("user_id"),
-        as_of=AS_OF,
-        input_id="user_id",
-    )
-    return out.select(
+    return staged(spark, sf_dir, MEDICATION_ORDER).select(
         "participant_id",
         "id",
         *text_of("date_written", "dispense_request__validity_period__start"),
@@ -174,29 +173,46 @@ def unify_all(spark, sf_dir):
 
 
 def mixed_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations and immunizations in one input table, many inputs each.
+    """All four types in one input table; every type occurs alone in some inputs.
 
-    Inputs are participants; both kinds occur in some, one kind in others.
+    One hot input holds a third of the immunizations and of the orders.
     """
-    both = [
-        staged(spark, sf_dir, t).withColumn("input_id", F.concat(F.lit("in-"), "participant_id"))
-        for t in (OBSERVATION, IMMUNIZATION)
-    ]
-    return both[0].unionByName(both[1], allowMissingColumns=True)
+    who = F.col("participant_id").cast("bigint")
+    line = F.split_part("id", F.lit("-"), F.lit(2)).cast("bigint")
+    number = {
+        OBSERVATION: who * 3,
+        IMMUNIZATION: F.when(line % 3 != 0, who * 2),
+        CLINICAL_IMPRESSION: who,
+        MEDICATION_ORDER: F.when(F.col("id").cast("bigint") % 3 != 0, who),
+    }
+    rows = None
+    for resource_type, n in number.items():
+        part = staged(spark, sf_dir, resource_type).withColumns(
+            {
+                "input_id": F.concat(F.lit("in-"), F.coalesce(n.cast("string"), F.lit("hot"))),
+                # text where an input got the marker
+                "meta__last_updated": F.col("meta__last_updated").cast("string"),
+            }
+        )
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    return rows
 
 
 @query
 def unify_mixed_input(spark, sf_dir):
-    return unify_mixed(mixed_staged(spark, sf_dir), (OBSERVATION, IMMUNIZATION))
+    return unify_mixed(mixed_staged(spark, sf_dir))
 
 
 @query
 def unify_first_match(spark, sf_dir):
+    return unify_mixed(mixed_staged(spark, sf_dir), mode="first_match", input_id="input_id")
+
+
+@query
+def unify_first_match_shuffled(spark, sf_dir):
+    """As for inputs too many to broadcast."""
     return unify_mixed(
-        mixed_staged(spark, sf_dir),
-        (OBSERVATION, IMMUNIZATION),
-        mode="first_match",
-        input_id="input_id",
+        mixed_staged(spark, sf_dir), mode="first_match", input_id="input_id", broadcast_bytes=0
     )
 
 
@@ -251,6 +267,14 @@ def flatten_nested_array(spark, sf_dir):
     )
 
 
+@query
+def flatten_mixed_lists(spark, sf_dir):
+    """A list with a null among its objects, or of objects and scalars, stays whole."""
+    return flatten(fixtures.mixed_list_records(spark, sf_dir)).select(
+        "id", F.to_json("parts").alias("parts"), listed("parts__part_key"), listed("mixed")
+    )
+
+
 @query
 def flatten_collision(spark, sf_dir):
     flat = flatten(fixtures.clashing_records(spark, sf_dir), on_collision="coalesce")
@@ -355,6 +379,20 @@ def missing_files(spark, sf_dir):
     return layout.mark_missing(control, files, "bucket").select("bucket", "n_orders", "found")
 
 
+@query
+def listed_files(spark, sf_dir):
+    """Events of the buckets a control table lists; one of those was never written."""
+    root = fixtures.write_event_files(spark, sf_dir)
+    bucket = (F.col("r_regionkey") * 2).cast("string").alias("bucket")
+    control_table = spark.read.parquet(f"{sf_dir}/region.parquet").select(bucket)
+    events = ndjson.read_ndjson(
+        spark, root, fixtures.EVENT_SCHEMA, basePath=root, ignoreMissingFiles="true"
+    )
+    return layout.listed_only(events, control_table, "bucket").select(
+        "bucket", *fixtures.EVENT_SCHEMA.names
+    )
+
+
 @query
 def file_lineage(spark, sf_dir):
     root = fixtures.write_landing(spark, sf_dir)
@@ -451,7 +489,8 @@ def manifest_all_entries(spark, sf_dir):
 
 @query
 def route_status(spark, sf_dir):
-    return control.route(fixtures.control_rows(spark, sf_dir))
+    known = [("orders", *model) for model in KNOWN_MODELS]
+    return control.route(fixtures.control_rows(spark, sf_dir), known)
 
 
 @query
@@ -462,22 +501,44 @@ def active_inputs(spark, sf_dir):
 # ---- streaming, and everything together ----
 
 
-@query
-def incremental_ingest(spark, sf_dir):
-    """Files arrive in two waves, one gzipped; each is taken once."""
+def _ingested(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Records and rejects of files that arrive in two waves, one gzipped."""
     landing, out = scratch_dir(spark, "arrivals"), scratch_dir(spark, "ingested")
     checkpoint = scratch_dir(spark, "ingest-checkpoint")
-    lines = fixtures.event_lines(spark, sf_dir)
+    lines = fixtures.event_lines(spark, sf_dir, broken=True)
     late = F.col("bucket") == 5
     waves = [(lines.where(~late), "none"), (lines.where(late), "gzip")]
     for wave, compression in waves:
         wave.write.mode("append").option("compression", compression).partitionBy("bucket").text(
             landing
         )
-        ingest_new_files(spark, landing, fixtures.EVENT_SCHEMA, out, checkpoint, f"{out}-rejects")
+        ingest_new_files(
+            spark,
+            landing,
+            fixtures.EVENT_SCHEMA,
+            out,
+            checkpoint,
+            f"{out}-rejects",
+            unit_pattern=fixtures.BUCKET_DIRECTORY,
+        )
+    return out, f"{out}-rejects"
+
+
+@query
+def incremental_ingest(spark, sf_dir):
+    """Each file is taken once, or its bucket rejected."""
+    out, _ = _ingested(spark, sf_dir)
     return tables.read_tables(spark, out).select("bucket", *fixtures.EVENT_SCHEMA.names)
 
 
+@query
+def incremental_rejects(spark, sf_dir):
+    _, rejects = _ingested(spark, sf_dir)
+    return tables.read_tables(spark, rejects).select(
+        F.regexp_extract("unit", "bucket=(.*)$", 1).alias("bucket"), "n_records", "n_bad"
+    )
+
+
 @query
 def medical_records_from_files(spark, sf_dir):
     """Raw NDJSON with a rejected file, to the partitioned record table, read back."""
@@ -486,15 +547,16 @@ def medical_records_from_files(spark, sf_dir):
     registry.write_schemas(
         spark,
         catalog,
-        {("demo", "dstu2", t): raw_records(spark, sf_dir, t).schema for t in PRIORITY},
+        {("demo", "dstu2", t): fixtures.record_schema(spark, sf_dir, t) for t in PRIORITY},
     )
     known = registry.read_schemas(spark, catalog)
+    days = "/".join(f"{level}=*" for level in layout.LANDING_LEVELS)
     records = medical_records(
         spark,
-        {t: f"{root}/resource_type={t}" for t in PRIORITY},
+        {t: f"{root}/{days}/model={t}" for t in PRIORITY},
         {t: registry.schema_of(known, t) for t in PRIORITY},
         as_of=AS_OF,
-        unit_pattern=fixtures.BUCKET_DIRECTORY,
+        unit_pattern=fixtures.RECORD_DIRECTORY,
     )
     out = scratch_dir(spark, "medical-records")
     tables.write_table(records, out, ["resource_type"], rebalance=True)

@@ -1,8 +1,8 @@
 """Newline-delimited JSON: scans, and rejection of whole bad files.
 
-One line that is not a JSON object rejects the file it is in. The scan that
-judges lines and the scan that reads records are separate passes over
-splittable text, so no file, however large, has to pass through one task.
+One line that is not a JSON object rejects the file it is in. Text is split, so
+no file, however large, has to pass through one task. ``parse_and_judge`` reads
+it once: store what it gives, audit the narrow columns, filter the rest by file.
 """
 
 from __future__ import annotations
@@ -17,8 +17,10 @@ from recordlake.functions.names import quoted
 from recordlake.operators.keyed import BROADCAST_BYTES, attach
 from recordlake.session import materialize
 
-SOURCE_FILE = "source_file"
-BLOCK = "source_block"
+SOURCE_FILE = "_source_file"
+BLOCK = "_source_block"
+FILLED, BAD, POSITION = "_line_filled", "_line_bad", "_line_position"
+ORIGIN = (SOURCE_FILE, BLOCK, FILLED, BAD, POSITION)
 # judge and parse use one map, so that no line passes the one and fails the other;
 # the parser's own limits on texts, numbers and nesting would make nulls of records
 STRICT_JSON = {
@@ -102,6 +104,33 @@ def parse_lines(lines: DataFrame, schema: T.StructType, *, text: str | None = No
     return lines.where(is_filled(F.col("value"))).select(*kept, fields)
 
 
+def judge_lines(lines: DataFrame) -> DataFrame:
+    """Add what ``audit_files`` has to know of each line."""
+    filled = is_filled(F.col("value"))
+    return lines.select(
+        "*",
+        filled.alias(FILLED),
+        (filled & ~is_record(F.col("value"))).alias(BAD),
+        F.monotonically_increasing_id().alias(POSITION),
+    )
+
+
+def parse_and_judge(
+    lines: DataFrame, schema: T.StructType, *, text: str | None = None
+) -> DataFrame:
+    """Records and verdicts of all lines in one pass over the text.
+
+    Blank and bad lines stay, as rows of nulls, for ``audit_files`` to count;
+    take the records from the filled rows of good files. ``text`` keeps the
+    line of a record under that name.
+    """
+    judged = judge_lines(lines)
+    value = F.when(F.col(FILLED) & ~F.col(BAD), F.col("value"))
+    others = [F.col(quoted(c)) for c in judged.columns if c not in ("value", *schema.names)]
+    kept = [] if text is None else [value.alias(text)]
+    return judged.select(*others, *kept, F.inline_outer(F.array(parse_record(value, schema))))
+
+
 def unit_of(unit_pattern: str | None) -> Column:
     """What counts as one file: the path, or the part a pattern captures.
 
@@ -117,22 +146,18 @@ def audit_files(lines: DataFrame, *, unit_pattern: str | None = None) -> DataFra
     Blank lines around the content are ignored; a blank line inside it is a
     bad line, and a file without content is rejected. The result is a written
     table, small next to the data: aggregation starts in the scan and only one
-    row per file block is shuffled.
+    row per file block is shuffled. ``lines`` may be judged already.
     """
-    filled, position = F.col("_is_filled"), F.col("_position")
+    filled, position = F.col(FILLED), F.col(POSITION)
+    if FILLED not in lines.columns:
+        lines = judge_lines(lines)
     blocks = (
-        lines.select(
-            SOURCE_FILE,
-            BLOCK,
-            "value",
-            is_filled(F.col("value")).alias("_is_filled"),
-            F.monotonically_increasing_id().alias("_position"),
-        )
+        lines.select(*ORIGIN)
         .groupBy(SOURCE_FILE, BLOCK)
         .agg(
             F.count(F.lit(1)).alias("_lines"),
             F.count(F.when(filled, 1)).alias("_filled"),
-            F.count(F.when(filled & ~is_record(F.col("value")), 1)).alias("_broken"),
+            F.count_if(BAD).alias("_broken"),
             F.min(position).alias("_start"),
             F.min(F.when(filled, position)).alias("_first"),
             F.max(F.when(filled, position)).alias("_last"),

@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordlake.session import materialize
 from recordlake.sources.ndjson import (
+    FILLED,
+    ORIGIN,
+    SOURCE_FILE,
     audit_files,
     keep_good,
-    parse_lines,
+    parse_and_judge,
     rejected_files,
     with_origin,
 )
@@ -26,6 +30,7 @@ def ingest_new_files(
     rejects: str,
     *,
     files_per_batch: int | None = None,
+    unit_pattern: str | None = None,
 ) -> None:
     """Process all files that arrived since the last call, then return.
 
@@ -34,7 +39,8 @@ def ingest_new_files(
     own output; use one checkpoint per ``output``. A file is never split over
     batches, so a bad line rejects its whole file here too; rejected files are
     listed under ``rejects``. ``files_per_batch`` bounds a batch when many
-    files wait.
+    files wait. ``unit_pattern`` makes a directory one file, as in ``audit_files``;
+    it must then arrive in one batch.
     """
     reader = spark.readStream.option("lineSep", "\n")
     if files_per_batch:
@@ -42,9 +48,11 @@ def ingest_new_files(
     lines = with_origin(reader.text(landing))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        audit = audit_files(batch)
-        good = keep_good(batch, audit)
-        _write(parse_lines(good, schema), output, batch_id)
+        # the text is read once: what was parsed is stored, judged and filtered
+        stored = materialize(parse_and_judge(batch, schema), "arrivals")
+        audit = audit_files(stored, unit_pattern=unit_pattern)
+        good = keep_good(stored.where(FILLED), audit, unit_pattern=unit_pattern)
+        _write(good.drop(*[c for c in ORIGIN if c != SOURCE_FILE]), output, batch_id)
         _write(rejected_files(audit), rejects, batch_id)
 
     query = (

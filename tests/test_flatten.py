@@ -21,7 +21,7 @@ BOAT = {
 def only_row(df):
     rows = df.collect()
     assert len(rows) == 1
-    return rows[0].asDict()
+    return {name: value for name, value in rows[0].asDict().items() if value is not None}
 
 
 def test_objects_and_lists_of_objects(json_df):
@@ -63,8 +63,8 @@ def test_empty_values_become_null(json_df):
         {"id": 2, "x": ["v"], "y": {"k": 1}, "z": [], "w": []},
     )
     rows = {r.id: r.asDict() for r in flatten(df).collect()}
-    assert rows[1] == {"id": 1, "x": None, "y__k": None, "z__a": [1], "w": [1]}
-    assert rows[2] == {"id": 2, "x": ["v"], "y__k": 1, "z__a": None, "w": None}
+    assert rows[1] == {"id": 1, "x": None, "y__k": None, "z": None, "z__a": [1], "w": [1]}
+    assert rows[2] == {"id": 2, "x": ["v"], "y__k": 1, "z": None, "z__a": None, "w": None}
 
 
 def test_nothing_below_a_list_is_flattened(json_df):
@@ -95,9 +95,9 @@ def test_collisions(json_df):
 
 def test_null_elements(json_df):
     df = json_df({"k": 1, "x": [None, {"a": 1}]}, {"k": 2, "x": [{"a": 2}]})
-    skipped = {r.k: r.x__a for r in flatten(df).collect()}
+    skipped = {r.k: r.x__a for r in flatten(df, null_elements="skip").collect()}
     assert skipped == {1: [1], 2: [2]}
-    kept = {r.k: r for r in flatten(df, null_elements="keep").collect()}
+    kept = {r.k: r for r in flatten(df).collect()}
     assert kept[1].x == [None, (1,)] and kept[1].x__a is None
     assert kept[2].x is None and kept[2].x__a == [2]
 
@@ -114,7 +114,7 @@ def test_written_nulls_stay_where_the_text_is_known(spark):
     df = spark.createDataFrame([(t,) for t in texts], "line string")
     parsed = df.select("line", F.from_json("line", schema).alias("r")).select("line", "r.*")
     flat = flatten(parsed, text="line")
-    assert flat.columns == ["k", "p__ys__e f", "x__a", "x__b", "x__d"]
+    assert flat.columns == ["k", "p__ys", "p__ys__e f", "x", "x__a", "x__b", "x__d"]
     rows = {r.k: r for r in flat.collect()}
     assert rows[1].x__a == [None, 2] and rows[1].x__b == [("s",)]
     assert rows[2].x__a == [None] and rows[2]["p__ys__e f"] == [None, "v"]
@@ -125,7 +125,9 @@ def test_written_nulls_stay_where_the_text_is_known(spark):
 
 def test_only_needed_fields_are_read(json_df, spark, tmp_path):
     json_df(BOAT).write.parquet(str(tmp_path / "p"))
-    flat = flatten(spark.read.parquet(str(tmp_path / "p"))).select("log_book__entry__text")
+    flat = flatten(spark.read.parquet(str(tmp_path / "p")), null_elements="skip").select(
+        "log_book__entry__text"
+    )
     plan = flat._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<logBook:struct<entry:array<struct<text:string>>>>" in plan
 

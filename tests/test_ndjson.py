@@ -112,7 +112,7 @@ def test_good_rows_are_kept_whole(spark, tmp_path, broadcast_bytes):
     rows = ndjson.read_ndjson(spark, path, SCHEMA)
     good = ndjson.keep_good(rows, audit, broadcast_bytes=broadcast_bytes)
     assert good.columns == rows.columns
-    names = good.groupBy(F.regexp_extract("source_file", "([^/]+)$", 1).alias("n")).count()
+    names = good.groupBy(F.regexp_extract(ndjson.SOURCE_FILE, "([^/]+)$", 1).alias("n")).count()
     wanted = {
         name: sum(1 for line in content.decode().strip().split("\n"))
         for name, content in LINES.items()
@@ -144,7 +144,7 @@ def test_directories_can_count_as_files(spark, tmp_path):
 def test_inferred_schema(spark, tmp_path):
     path = write_files(tmp_path / "in", {"x": b'{"key1":"a","key2":"b"}\n{"key1":"c"}\n'})
     df = ndjson.read_ndjson(spark, path)
-    assert df.columns == ["key1", "key2", "source_file"]
+    assert df.columns == ["key1", "key2", ndjson.SOURCE_FILE]
     assert df.count() == 2
 
 
@@ -159,3 +159,17 @@ def test_a_very_long_text_is_read_as_it_is_judged(spark, tmp_path):
     assert sorted((r.id, r.n) for r in parsed) == [(1, 1), (2, long)]
     read = ndjson.read_ndjson(spark, str(tmp_path / "big"), schema).selectExpr("id", "length(b) as n")
     assert sorted((r.id, r.n) for r in read.collect()) == [(1, 1), (2, long)]
+
+
+def test_one_pass_judges_and_parses(spark, tmp_path):
+    (tmp_path / "good").write_text('\n{"a":1}\n{"a":2,"b":"x"}\n\n')
+    (tmp_path / "bad").write_text('{"a":3}\n{"a":4}}\n')
+    (tmp_path / "gap").write_text('{"a":5}\n\n{"a":6}\n')
+    lines = ndjson.read_lines(spark, str(tmp_path))
+    schema = T.StructType.fromDDL("a long, b string")
+    judged = ndjson.parse_and_judge(lines, schema, text="t")
+    assert sorted(r.a for r in judged.where("a is not null").collect()) == [1, 2, 3, 5, 6]
+    apart = {tuple(r) for r in ndjson.audit_files(lines).collect()}
+    assert {tuple(r) for r in ndjson.audit_files(judged).collect()} == apart
+    good = ndjson.keep_good(judged.where(ndjson.FILLED), ndjson.audit_files(judged))
+    assert sorted((r.a, r.t) for r in good.collect()) == [(1, '{"a":1}'), (2, '{"a":2,"b":"x"}')]

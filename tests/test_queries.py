@@ -48,4 +48,11 @@ def test_narrow_queries_do_not_shuffle(base_spark, spark):
         df = unify({t: staged(spark, SF_DIR, t) for t in PRIORITY})
     finally:
         fixtures.table = spread
-    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # what inputs lack is broadcast; nothing else moves
+    assert plan.count("Exchange") == plan.count("BroadcastExchange")
+
+
+def test_first_match_leaves_every_type_somewhere(base_spark):
+    types = QUERIES["unify_first_match"](base_spark, SF_DIR).select("resource_type").distinct()
+    assert types.count() == 4

@@ -197,9 +197,20 @@ def test_manifest_last_entry_wins(spark):
 
 
 def test_routing_and_skipping(spark):
-    rows = [("dstu2", "Observation"), ("r4", "Observation"), ("dstu2", "Patient"), (None, None)]
-    df = control.route(spark.createDataFrame(rows, "version string, model string"))
-    assert [r.status for r in df.collect()] == ["proceed", "skip", "skip", "skip"]
+    rows = [
+        ("a", "dstu2", "Observation", None, "proceed"),
+        ("a", "dstu2", "Observation", "skip", "skip"),
+        ("b", "dstu2", "Observation", "proceed", "skip"),
+        ("a", "r4", "Observation", None, "skip"),
+        ("a", None, "Observation", None, "skip"),
+        (None, None, None, None, "skip"),
+    ]
+    names = "source string, version string, model string, status string, wanted string"
+    df = spark.createDataFrame(rows, names)
+    known = [("a", "dstu2", "Observation"), ("a", "dstu2", "Observation")]
+    routed = control.route(df, known).collect()
+    assert len(routed) == len(rows) and all(r.status == r.wanted for r in routed)
+    assert {r.status for r in control.route(df.drop("status"), []).collect()} == {"skip"}
     status = spark.createDataFrame([("skip",), ("proceed",), (None,)], "status string")
     assert [r.status for r in control.active(status).collect()] == ["proceed", None]
     assert control.active(status.where("status = 'skip'")).count() == 0

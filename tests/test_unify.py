@@ -154,5 +154,6 @@ def test_attach_with_a_third_of_rows_on_one_key(spark, broadcast_bytes, request)
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert ("SortMergeJoin" in plan) == (broadcast_bytes == 0)
         assert out.columns == ["key", "id", "top", "flag"]
-        plain = df.join(keys.where(needed).drop("n_rows"), "key", "left").select(out.columns)
+        small = keys.where(needed).drop("n_rows").withColumnRenamed("key", "k")
+        plain = df.join(small, F.col("key").eqNullSafe(F.col("k")), "left").select(out.columns)
         assert out.exceptAll(plain).count() == 0 and plain.exceptAll(out).count() == 0
