@@ -43,11 +43,13 @@ def annotate(
     fields: dict[str, str],
     reads: list[str],
     keep: list[str] | None = None,
+    batched: bool = False,
 ) -> DataFrame:
     """Add ``fields`` (name to type) computed from the columns ``reads``.
 
     ``make`` runs once per task and returns the row function: column values
-    in, one tuple in the order of ``fields`` out. ``keep`` lists the input
+    in, one tuple in the order of ``fields`` out; if ``batched``, it takes lists
+    of some rows' values and gives a list of tuples. ``keep`` lists the input
     columns to carry along (all of them if None); a kept column whose name
     equals a new field in any case is replaced by it. Rows stream through a few
     at a time, so memory is one Arrow batch, whatever the partition holds.
@@ -70,7 +72,7 @@ def annotate(
         row = make()
         for batch in pieces_of(batches):
             values = [batch.column(n_kept + i).to_pylist() for i in range(n_reads)]
-            results = [row(*v) for v in zip(*values)]
+            results = row(*values) if batched else [row(*v) for v in zip(*values)]
             columns = list(zip(*results)) if results else [()] * len(types)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(n_kept)]

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-import gc
 import random
 import re
 import struct
+import sys
 import zlib
 from array import array
 from bisect import bisect
+from collections import Counter
+from collections.abc import Iterator
 from itertools import accumulate
 from math import exp, log
 
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +24,10 @@ from recordlake.llm.frames import annotate, without
 SPACE = "▁"
 TEMPERATURE = 1.0
 BYTE_RANK = 100_000  # bytes are ranked behind every piece
-CACHED_WAYS = 700_000
-CACHED_LENGTH = 32
+TABLE_KINDS = 256
+SHORT_LENGTH = 32
+LARGEST_LOG = 690.0
+BLOCK_CHARS = 300_000
 # spaces, then letters and all that is not ASCII, or other ASCII characters; or a line end
 CHUNK = re.compile(
     r" *(?:[A-Za-z\u0080-\U0010FFFF]+|[\x00-\x09\x0b-\x1f!-@\[-`{-\x7f]+)| +|\n"
@@ -43,17 +48,26 @@ class Lattice:
     model's score gives. A character that no piece spells alone is spelt in
     bytes. A text is first cut into the chunks of ``CHUNK``; pieces that would
     cross a cut are not used, so each chunk is filtered and sampled by itself.
+
+    Texts are taken in blocks of chunks, and both passes run over a whole block
+    at once: forward over its distinct chunks, one character further at a time;
+    backward over all its chunks, one piece at a time. Forward weights are
+    relative to spelling each character alone, so they are 1 or more. A draw is
+    a hash of the row's seed and the place in the text, so it does not depend
+    on the blocks.
     """
 
-    def __init__(self, path: str, temperature: float = TEMPERATURE, cached: int = CACHED_WAYS):
+    def __init__(self, path: str, temperature: float = TEMPERATURE):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        # every ending of a piece, with the weight and ids of the piece it is, if any
-        self.endings: dict[str, tuple[float, bytes] | None] = {}
-        self.bytes_of: dict[int, bytes] = {}
+        self.size = model.get_piece_size()
+        # every ending of a piece, with the log weight and ids of the piece it is, if any
+        self.endings: dict[str, tuple[float, list[int]] | None] = {}
+        self.bytes_of = [b""] * self.size
         self.byte_ids = [0] * 256
-        for i in range(model.get_piece_size()):
+        pieces = []
+        for i in range(self.size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 self.byte_ids[int(piece[3:5], 16)] = i
@@ -64,120 +78,279 @@ class Lattice:
                     continue
                 rank = min(-model.get_score(i), BYTE_RANK)
                 self.bytes_of[i] = plain.encode()
-                self.endings[plain] = ((rank + 1.0) ** (-1 / temperature), struct.pack("<I", i))
+                self.endings[plain] = (-log(rank + 1.0) / temperature, [i])
+                pieces.append(plain)
                 for at in range(1, len(plain)):
                     self.endings.setdefault(plain[at:], None)
-        self.byte_weight = (BYTE_RANK + 1.0) ** (-1 / temperature)
-        self.ways: dict[str, tuple] = {"": (1.0,)}
-        self.cached = cached
-
-    def edges(self, chunk: str, end: int) -> list[tuple[int, float, bytes]]:
-        """(start, weight, ids) of the pieces that may stand last in ``chunk[:end]``."""
-        endings, found = self.endings, []
-        for start in range(end - 1, -1, -1):
-            part = chunk[start:end]
-            if part in endings:
-                edge = endings[part]
-                if edge is not None:
-                    found.append((start, *edge))
-                elif start == end - 1:
-                    found.append((start, *self.spell(part)))
-            elif start == end - 1:
-                found.append((start, *self.spell(part)))
-                break
-            else:
-                break
-        return found
-
-    def spell(self, char: str) -> tuple[float, bytes]:
-        """The weight and ids of a character that is no piece, spelt in bytes; remembered."""
-        ids = [self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")]
-        edge = (self.byte_weight ** len(ids), struct.pack(f"<{len(ids)}I", *ids))
-        self.endings[char] = edge
+        self.byte_weight = -log(BYTE_RANK + 1.0) / temperature
+        self.plant(pieces)
+
+    def plant(self, pieces: list[str]) -> None:
+        """Lay the pieces out as a trie in arrays; state 0 is its root, and no way on."""
+        children: list[dict[str, int]] = [{}]
+        found = []
+        for piece in pieces:
+            state = 0
+            for char in piece:
+                if char not in children[state]:
+                    children[state][char] = len(children)
+                    children.append({})
+                state = children[state][char]
+            found.append(state)
+        uses = Counter(char for ways in children for char in ways)
+        kinds = {char: n for n, (char, _) in enumerate(uses.most_common(), 1)}
+        self.kind_of = np.zeros(sys.maxunicode + 1, np.int64)
+        for char, kind in kinds.items():
+            self.kind_of[ord(char)] = kind
+        # states that lead on come first; their ways by the common characters are a table
+        inner = [s for s, ways in enumerate(children) if ways or not s]
+        leaves = [s for s, ways in enumerate(children) if s and not ways]
+        new = {s: n for n, s in enumerate(inner + leaves)}
+        self.n_inner = len(inner)
+        self.ways = np.zeros((self.n_inner + 1, TABLE_KINDS), np.int32)
+        rare = {}
+        for state in inner:
+            for char, child in children[state].items():
+                if kinds[char] < TABLE_KINDS:
+                    self.ways[new[state], kinds[char]] = new[child]
+                else:
+                    rare[new[state] * len(self.kind_of) + kinds[char]] = new[child]
+        self.rare_keys = np.array(sorted(rare), np.int64)
+        self.rare_ways = np.array([rare[k] for k in sorted(rare)], np.int64)
+        # what a state's piece weighs relative to its characters alone; 0 if it is no piece
+        self.piece = np.zeros(len(children), np.int64)
+        self.ratio = np.zeros(len(children))
+        steepest = 1e-9
+        for piece, state in zip(pieces, found):
+            gain = self.endings[piece][0] - sum([self.alone(char)[0] for char in piece])
+            steepest = max(steepest, gain / len(piece))
+            self.piece[new[state]] = self.endings[piece][1][0]
+            self.ratio[new[state]] = 1.0 if len(piece) == 1 else exp(gain)
+        self.longest = min(SHORT_LENGTH, int(LARGEST_LOG / steepest))
+
+    def alone(self, char: str) -> tuple[float, list[int]]:
+        """The log weight and ids of a character by itself, spelt in bytes if it is no piece."""
+        edge = self.endings.get(char)
+        if edge is None:
+            ids = [self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")]
+            edge = (self.byte_weight * len(ids), ids)
         return edge
 
-    def way_back(self, prefix: str) -> tuple:
-        """The weight of all segmentations of ``prefix``, and its possible last edges.
+    def step(self, states: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """The states reached from ``states`` by characters of ``kinds``, 0 for none."""
+        common = kinds < TABLE_KINDS
+        to = self.ways[np.minimum(states, self.n_inner), np.where(common, kinds, 0)].astype(np.int64)
+        rare = np.flatnonzero(~common)
+        if len(rare) and len(self.rare_keys):
+            keys = states[rare] * len(self.kind_of) + kinds[rare]
+            at = np.minimum(np.searchsorted(self.rare_keys, keys), len(self.rare_keys) - 1)
+            to[rare] = np.where(self.rare_keys[at] == keys, self.rare_ways[at], 0)
+        return to
+
+    def edges(self, chunk: str, end: int) -> list[tuple[int, float, list[int]]]:
+        """(start, log weight, ids) of the pieces that may stand last in ``chunk[:end]``."""
+        endings, found = self.endings, [(end - 1, *self.alone(chunk[end - 1]))]
+        for start in range(end - 2, -1, -1):
+            edge = endings.get(chunk[start:end], False)
+            if edge:
+                found.append((start, *edge))
+            elif edge is False:
+                break
+        return found if chunk[end - 1] in endings else found[:1]
 
-        Either an only edge, or the running sums of the weights beside their
-        starts and ids. Words share most of their beginnings, so these are
-        remembered by prefix.
-        """
-        ways = self.ways
-        missing = len(prefix)
-        while missing > 1 and prefix[: missing - 1] not in ways:
-            missing -= 1
-        for end in range(missing, len(prefix) + 1):
-            edges = self.edges(prefix, end)
-            if len(edges) == 1:
-                start, weight, ids = edges[0]
-                way = (ways[prefix[:start]][0] * weight, None, start, ids)
-            else:
-                total, sums = 0.0, []
-                for start, weight, _ in edges:
-                    total += ways[prefix[:start]][0] * weight
-                    sums.append(total)
-                way = (total, tuple(sums), tuple([e[0] for e in edges]), tuple([e[2] for e in edges]))
-            ways[prefix[:end]] = way
-        return way
-
-    def sample_long(self, chunk: str, draw) -> list[bytes]:
-        """As ``sample``, in logarithms, keeping one number a character and no edges."""
+    def sample_long(self, chunk: str, draw) -> list[int]:
+        """Ids of one segmentation of a long chunk, in logarithms, keeping a number a character."""
         forward = array("d", [0.0])
         for end in range(1, len(chunk) + 1):
-            logs = [forward[start] + log(weight) for start, weight, _ in self.edges(chunk, end)]
+            logs = [forward[start] + weight for start, weight, _ in self.edges(chunk, end)]
             top = max(logs)
             forward.append(top + log(sum([exp(x - top) for x in logs])))
-        parts, end = [], len(chunk)
+        parts, end = array("I"), len(chunk)
         while end:
             edges = self.edges(chunk, end)
             sums = list(
-                accumulate([exp(forward[start] - forward[end]) * weight for start, weight, _ in edges])
+                accumulate([exp(forward[start] + weight - forward[end]) for start, weight, _ in edges])
             )
             end, _, ids = edges[min(bisect(sums, draw() * sums[-1]), len(edges) - 1)]
-            parts.append(ids)
+            parts.extend(reversed(ids))
+        parts.reverse()
         return parts
 
-    def sample(self, chunk: str, draw) -> list[bytes]:
-        """Ids of one segmentation, drawn backward, last piece first."""
-        ways = self.ways
-        way = ways.get(chunk)
-        if way is None:
-            if len(chunk) > CACHED_LENGTH:
-                return self.sample_long(chunk, draw)
-            way = self.way_back(chunk)
-        parts = []
+    def filter_forward(self, chunks: list[str], lengths: np.ndarray, spelt: list):
+        """All edges of the chunks, by their ends, with running shares of the forward weights.
+
+        A chunk of n characters has n + 1 nodes, chunk after chunk. Gives each
+        node's first edge, and of the edges the share, the node before and the
+        spelling: a piece, or ``size`` and more for an entry of ``spelt``.
+        """
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
+        kinds = self.kind_of[codes]
+        owner = np.repeat(np.arange(len(chunks)), lengths)
+        first_char = np.cumsum(lengths) - lengths
+        last = (first_char + lengths)[owner]  # the character behind the chunk
+        start = np.arange(len(codes))
+        states = self.step(np.zeros(len(codes), np.int64), kinds)
+        # one character alone: its piece, or its bytes
+        spelling = self.piece[states]
+        no_piece = np.flatnonzero(self.ratio[states] == 0)
+        if len(no_piece):
+            chars, which = np.unique(codes[no_piece], return_inverse=True)
+            spelling[no_piece] = self.size + len(spelt) + which
+            spelt += [self.alone(chr(c))[1] for c in chars.tolist()]
+        starts, ends, ratios, spellings = [start], [start + 1], [np.ones(len(start))], [spelling]
+        end = start + 1
         while True:
-            total, sums, start, ids = way
-            if sums is not None:
-                at = bisect(sums, draw() * total, 0, len(sums) - 1)
-                start, ids = start[at], ids[at]
-            parts.append(ids)
-            if not start:
-                return parts
-            way = ways[chunk[:start]]
-
-    def encode(self, text: str, key: str) -> bytes:
-        """Sampled ids of ``text``, as little-endian 32-bit integers."""
-        if not text:
-            return b""
-        if len(self.ways) > self.cached:
-            self.ways = {"": (1.0,)}
-        draw = random.Random(xxhash.xxh64_intdigest(key.encode())).random
-        parts: list[bytes] = []
-        # chunks from the last to the first, so that all pieces come last first
-        for chunk in reversed(CHUNK.findall(" " + text)):
-            parts += self.sample(chunk, draw)
-        parts.reverse()
-        return b"".join(parts)
+            go = np.flatnonzero((states > 0) & (states < self.n_inner) & (end < last[start]))
+            start, end, states = start[go], end[go], states[go]
+            if not len(go):
+                break
+            states = self.step(states, kinds[end])
+            end = end + 1
+            found = np.flatnonzero(self.ratio[states])
+            starts.append(start[found])
+            ends.append(end[found])
+            ratios.append(self.ratio[states[found]])
+            spellings.append(self.piece[states[found]])
+        # long pieces first, as they are the likely ones
+        start, end, ratio, spelling = (
+            np.concatenate(parts[::-1]) for parts in (starts, ends, ratios, spellings)
+        )
+        of = owner[start]
+        before, behind, inside = start + of, end + of, start - first_char[of]
+        forward = np.zeros(len(codes) + len(chunks))
+        forward[first_char + np.arange(len(chunks))] = 1.0
+        order = np.argsort(inside.astype(np.int16), kind="stable")
+        bounds = np.searchsorted(inside[order], np.arange(self.longest + 1))
+        for low, high in zip(bounds, bounds[1:]):
+            # edges that begin equally far inside their chunks all end at different nodes
+            edge = order[low:high]
+            forward[behind[edge]] += forward[before[edge]] * ratio[edge]
+        order = np.argsort(behind, kind="stable")
+        before, behind = before[order], behind[order]
+        sums = np.cumsum(forward[before] * ratio[order] / forward[behind])
+        first_edge = np.concatenate(([0], np.cumsum(np.bincount(behind, minlength=len(forward)))))
+        sums -= np.concatenate(([0.0], sums))[first_edge[behind]]
+        sums[first_edge[1:][behind] - 1] = 2.0  # the last edge takes what rounding leaves
+        return first_edge, sums, before, spelling[order]
+
+    def sample_block(self, chunks: list[str], begins: np.ndarray, seeds: np.ndarray):
+        """Sampled ids of all chunks, and how many ids each has."""
+        number = {c: n for n, c in enumerate(dict.fromkeys(chunks))}
+        which = np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
+        distinct = [c if len(c) <= self.longest else "" for c in number]
+        lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))
+        spelt: list = []
+        first_edge, share, before, spelling = self.filter_forward(distinct, lengths, spelt)
+        first_node = np.cumsum(lengths + 1) - lengths - 1
+        root = first_node[which]
+        node = root + lengths[which]
+        counts = np.zeros(len(chunks), np.int64)
+        steps = []
+        long = np.flatnonzero(lengths[which] == 0)
+        for i in long.tolist():
+            draw = random.Random(int(seeds[i]) ^ int(begins[i])).random
+            spelt.append(self.sample_long(chunks[i], draw))
+        whole = self.size + len(spelt) - len(long) + np.arange(len(long))
+        counts[long] = 1
+        chunk = np.flatnonzero(node > root)
+        node, root = node[chunk], root[chunk]
+        while len(chunk):
+            u = uniform(seeds[chunk], begins[chunk] + node - root)
+            edge = first_edge[node]
+            beyond = np.flatnonzero(u >= share[edge])
+            while len(beyond):
+                edge[beyond] += 1
+                beyond = beyond[u[beyond] >= share[edge[beyond]]]
+            counts[chunk] += 1
+            steps.append((chunk, spelling[edge]))
+            node = before[edge]
+            left = np.flatnonzero(node > root)
+            chunk, node, root = chunk[left], node[left], root[left]
+        ends = np.cumsum(counts)
+        drawn = np.empty(int(ends[-1]), np.int64)
+        for back, (chunk, pieces) in enumerate(steps, 1):
+            drawn[ends[chunk] - back] = pieces
+        drawn[ends[long] - 1] = whole
+        return self.spell(drawn, spelt), ends
+
+    def spell(self, drawn: np.ndarray, spelt: list) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of successive spellings, and where those of each end."""
+        width = np.ones(len(drawn), np.int64)
+        other = np.flatnonzero(drawn >= self.size)
+        if not len(other):
+            return drawn.astype("<u4"), np.cumsum(width)
+        width[other] = [len(spelt[i]) for i in (drawn[other] - self.size).tolist()]
+        ends = np.cumsum(width)
+        ids = np.repeat(drawn, width).astype("<u4")
+        for end, i in zip(ends[other].tolist(), (drawn[other] - self.size).tolist()):
+            ids[end - len(spelt[i]) : end] = spelt[i]
+        return ids, ends
+
+    def encode_all(self, texts: list[str], keys: list[str]) -> list[bytes]:
+        """Sampled ids of each text, as little-endian 32-bit integers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        block, held = [], 0
+
+        def flush() -> None:
+            if not block:
+                return
+            chunks = [c for _, _, _, part in block for c in part]
+            sizes = [len(part) for _, _, _, part in block]
+            lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+            ends = np.cumsum(lengths)
+            bounds = np.cumsum([0, *sizes])
+            # places count from the start of each text
+            shift = [at - int(ends[low] - lengths[low]) for (_, _, at, _), low in zip(block, bounds)]
+            begins = ends - lengths + np.repeat(np.array(shift, np.int64), sizes)
+            seeds = np.repeat(np.array([s for _, s, _, _ in block], np.uint64), sizes)
+            (ids, id_ends), piece_ends = self.sample_block(chunks, begins, seeds)
+            stops = id_ends[piece_ends[bounds[1:] - 1] - 1]
+            for (row, _, _, _), low, high in zip(block, [0, *stops[:-1]], stops):
+                out[row].append(ids[low:high].tobytes())
+            block.clear()
+
+        for row, (text, key) in enumerate(zip(texts, keys)):
+            if not text:
+                continue
+            seed = xxhash.xxh64_intdigest(key.encode())
+            for begin, part in parts_of(" " + text):
+                block.append((row, seed, begin, part))
+                held += sum(map(len, part))
+                if held >= BLOCK_CHARS:
+                    flush()
+                    held = 0
+        flush()
+        return [b"".join(parts) for parts in out]
 
     def decode(self, ids: bytes) -> str:
         """The text that ``ids`` spell, without the space put before every text."""
-        numbers = struct.unpack(f"<{len(ids) // 4}I", ids)
+        numbers = np.frombuffer(ids, "<u4").tolist()
         raw = b"".join(map(self.bytes_of.__getitem__, numbers))
         return raw[1:].decode("utf-8", "surrogatepass")
 
 
+def parts_of(text: str) -> Iterator[tuple[int, list[str]]]:
+    """The chunks of a text, some at a time, each time with the place of the first."""
+    begin, size = 0, BLOCK_CHARS
+    while begin < len(text):
+        chunks = CHUNK.findall(text[begin : begin + size])
+        if begin + size < len(text):
+            chunks.pop()  # it may go on
+            if not chunks:
+                size *= 2
+                continue
+        yield begin, chunks
+        begin, size = begin + sum(map(len, chunks)), BLOCK_CHARS
+
+
+def uniform(seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Uniform draws in [0, 1), one for each seed and place: the finalizer of SplitMix64."""
+    z = seeds + places.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)) * 2.0**-53
+
+
 def sample_pieces(
     df: DataFrame,
     key: str = "doc_id",
@@ -215,20 +388,19 @@ def sample_pieces(
 
     def make():
         lattice = Lattice(path, temperature)
-        # what is remembered holds no cycles; looking for some at every few
-        # hundred new tuples costs a good part of the time
-        gc.set_threshold(200_000, 50, 100)
 
-        def row(row_key, value):
-            value = value or ""
-            ids = lattice.encode(value, f"{seed}:{row_key}")
-            count = len(ids) // 4
-            result = count, zlib.crc32(ids), lattice.decode(ids) == value
-            return result if digest_only else (struct.unpack(f"<{count}i", ids), *result)
+        def rows(row_keys, values):
+            values = [v or "" for v in values]
+            results = []
+            for value, ids in zip(values, lattice.encode_all(values, [f"{seed}:{k}" for k in row_keys])):
+                count = len(ids) // 4
+                result = count, zlib.crc32(ids), lattice.decode(ids) == value
+                results.append(result if digest_only else (struct.unpack(f"<{count}i", ids), *result))
+            return results
 
-        return row
+        return rows
 
-    return annotate(sent, make, fields, ["__key", "__text"], kept)
+    return annotate(sent, make, fields, ["__key", "__text"], kept, batched=True)
 
 
 def decode_pieces(

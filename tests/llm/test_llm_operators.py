@@ -245,16 +245,28 @@ def test_samples_follow_the_lattice():
             weights[ids] = weight
         else:
             for start, w, piece in lattice.edges(" thesi", end):
-                walk(start, piece + ids, weight * w)
+                walk(start, (*piece, *ids), weight * math.exp(w))
 
-    walk(6, b"", 1.0)
+    walk(6, (), 1.0)
     total, draw, n = sum(weights.values()), random.Random(3).random, 20_000
-    for sample in (lattice.sample, lattice.sample_long):
-        seen = Counter(b"".join(sample(" thesi", draw)[::-1]) for _ in range(n))
+    together = lattice.encode_all(["thesi"] * n, list(map(str, range(n))))
+    alone = [lattice.sample_long(" thesi", draw) for _ in range(n)]
+    for samples in ([struct.unpack(f"<{len(b) // 4}I", b) for b in together], map(tuple, alone)):
+        seen = Counter(samples)
         assert set(seen) <= set(weights)
         assert all(abs(seen[k] / n - w / total) < 0.02 for k, w in weights.items())
 
 
+def test_samples_do_not_depend_on_blocks(monkeypatch):
+    lattice = piece_sampling.Lattice(piece_sampling.piece_path())
+    texts = ["", "x" * 5000 + " \u6f22\U0001f600 end", "a b\nc  d\x00\u2581 " * 300, "\u6f22" * 40]
+    whole = lattice.encode_all(texts, ["k"] * 4)
+    assert [lattice.decode(b) for b in whole] == texts
+    monkeypatch.setattr(piece_sampling, "BLOCK_CHARS", 64)
+    assert lattice.encode_all(texts, ["k"] * 4) == whole
+    assert [lattice.encode_all([t], ["k"])[0] for t in texts] == whole
+
+
 # archives
 
 
