@@ -383,3 +383,32 @@ ORACLES |= {
     "unify_first_match": FIRST_MATCH,
     "unify_first_match_shuffled": FIRST_MATCH,
 }
+
+# the same table, whichever way it is made
+ORACLES["medical_records_stored_chain"] = ORACLES["medical_records_from_files"]
+
+_LIST = '{"containsNull":true,"elementType":%s,"type":"array"}'
+_FIELD = '{"metadata":{},"name":"%s","nullable":true,"type":%s}'
+
+
+def _object(**fields: str) -> str:
+    """A struct type as Spark's schema JSON writes it."""
+    inner = ",".join(_FIELD % field for field in fields.items())
+    return '{"fields":[%s],"type":"struct"}' % inner
+
+
+_ITEM = _object(
+    coding=_LIST % _object(retFlag='"string"'), note='"string"', partKey='"long"', qty='"double"'
+)
+_SUBJECT = _object(address=_object(nationKey='"long"'), displayName='"string"')
+
+ORACLES["schema_files"] = f"""
+  select model, position, "column", type, true as nullable
+  from (values
+    ('Nested', 0, 'emptyList', '{_LIST % '"string"'}'), ('Nested', 1, 'id', 'string'),
+    ('Nested', 2, 'lineItems', '{_LIST % _ITEM}'),
+    ('Nested', 3, 'meta', '{_object(lastUpdated='"string"')}'),
+    ('Nested', 4, 'resourceType', 'string'), ('Nested', 5, 'subject', '{_SUBJECT}'),
+    ('Nested', 6, 'tags', '{_LIST % '"string"'}'),
+    ('Order', 0, 'o_orderkey', 'long'), ('Order', 1, 'o_orderstatus', 'string')
+  ) as t(model, position, "column", type)"""

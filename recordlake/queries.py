@@ -27,6 +27,7 @@ from recordlake.plans.specs import (
     RECORD_COLUMNS,
     STAGING,
 )
+from recordlake.plans.stored_chain import medical_records_stored
 from recordlake.session import lake_session, scratch_dir
 from recordlake.sources import layout, ndjson, registry, tables
 from recordlake.streaming.incremental import ingest_new_files
@@ -472,6 +473,20 @@ def schema_registry(spark, sf_dir):
     return registry.table_definitions(registry.read_schemas(spark, root))
 
 
+@query
+def schema_files(spark, sf_dir):
+    """Schemas in files named by record type, one with nested types; other files are skipped."""
+    records, root = scratch_dir(spark, "nested"), scratch_dir(spark, "schema-files")
+    fixtures.nested_json(table(spark, sf_dir, "lineitem")).select("value").write.text(records)
+    inferred = {
+        "Nested": ndjson.read_ndjson(spark, records).drop(ndjson.SOURCE_FILE).schema,
+        "orders/Order": table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").schema,
+    }
+    registry.write_schema_files(spark, root, inferred)
+    table(spark, sf_dir, "region").write.json(f"{root}/other")
+    return registry.table_definitions(registry.read_schema_files(spark, root))
+
+
 # ---- control ----
 
 
@@ -561,3 +576,21 @@ def medical_records_from_files(spark, sf_dir):
     out = scratch_dir(spark, "medical-records")
     tables.write_table(records, out, ["resource_type"], rebalance=True)
     return tables.read_tables(spark, out, records.schema).select(*RECORD_COLUMNS)
+
+
+@query
+def medical_records_stored_chain(spark, sf_dir):
+    """The same table by way of stored NDJSON, loaded Parquet and stored staging."""
+    root = fixtures.write_record_files(spark, sf_dir)
+    days = "/".join(f"{level}=*" for level in layout.LANDING_LEVELS)
+    records = medical_records_stored(
+        spark,
+        {t: f"{root}/{days}/model={t}" for t in PRIORITY},
+        {t: fixtures.record_schema(spark, sf_dir, t) for t in PRIORITY},
+        scratch_dir(spark, "chain"),
+        source="demo",
+        version="dstu2",
+        as_of=AS_OF,
+        unit_pattern=fixtures.RECORD_DIRECTORY,
+    )
+    return records.select(*RECORD_COLUMNS)

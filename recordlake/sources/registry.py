@@ -65,6 +65,24 @@ def read_schema_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def write_schema_files(
+    spark: SparkSession, root: str, schemas: Mapping[str, T.StructType]
+) -> None:
+    """Store schemas as ``<model>_schema.json`` below ``root``, for ``read_schema_files``.
+
+    Spark names its own part files, so these few small files go through the
+    file system that holds ``root``.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for model, schema in schemas.items():
+        path = hadoop.Path(f"{root}/{model}{SCHEMA_SUFFIX}")
+        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            out.write(bytearray(schema.json().encode()))
+        finally:
+            out.close()
+
+
 def table_definitions(schemas: DataFrame) -> DataFrame:
     """One row per column of each schema; a nested type comes as JSON text."""
     keys = [c for c in schemas.columns if c != "schema_json"]
