@@ -11,6 +11,8 @@ from recordlake.functions.names import quoted
 from recordlake.sources.layout import LOADED_LEVELS, lineage
 from recordlake.sources.ndjson import SOURCE_FILE, read_ndjson
 
+SMALL_SCAN = 8
+
 
 def read_tables(
     spark: SparkSession,
@@ -30,13 +32,14 @@ def read_tables(
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input too small to be split: one file, one row group.
+    """Use more cores on an input too small to be split: one file, one row group.
 
-    A scan with at least as many tasks as the cluster has cores comes back as
-    it is, so large inputs are never shuffled here.
+    Only a scan with fewer than ``SMALL_SCAN`` tasks is dealt out, about 1 GB at
+    the usual split size; anything larger is never shuffled here, however many
+    cores there are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    wanted = min(SMALL_SCAN, df.sparkSession.sparkContext.defaultParallelism)
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
 
 
 def write_table(
