@@ -92,11 +92,16 @@ class Novelty:
         return len(self.compressor.compress(text.encode("utf-8", "surrogatepass")))
 
     def share(self, text: str, start: int, end: int) -> float:
-        """Compressed bytes the candidate adds, over its own length."""
-        before = text[max(0, start - self.window) : start]
-        after = text[end : end + self.window]
-        added = self.size(before + after + text[start:end]) - self.size(before + after)
-        return added / (end - start)
+        """Compressed bytes the candidate adds, over its own length.
+
+        Equal copies are taken out of what stands around it, also those that
+        the window's edge would cut, so that a secret does not hide its like.
+        """
+        found, reach = text[start:end], self.window + end - start
+        before = text[max(0, start - reach) : start].replace(found, " ")
+        after = text[end : end + reach].replace(found, " ")
+        around = before[max(0, len(before) - self.window) :] + after[: self.window]
+        return (self.size(around + found) - self.size(around)) / (end - start)
 
     def spans(self, text: str, near: int) -> list[tuple[int, int, int]]:
         """Candidates in a sensitive context that do not compress."""

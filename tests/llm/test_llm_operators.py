@@ -110,6 +110,20 @@ def test_secrets(base_spark, odd, none):
     assert marked.endswith("; [SECRET]")
 
 
+def test_secrets_written_twice(base_spark):
+    rng = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    prose = "The service reads it when the host starts and keeps it in memory for as long as it runs there. " * 4
+    texts = []
+    for gap in (1, 40, 150, 240, 252):
+        for _ in range(20):
+            key = "".join(rng.choice(letters) for _ in range(32))
+            texts.append(f"the api key {key} {prose[:gap]} and the api key {key} {prose[:100]}")
+    df = base_spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in redact(scan_secrets(df)).collect():
+        assert r.n_novel == 2 and r.text.count("[SECRET]") == 2
+
+
 # near-duplicates
 
 
