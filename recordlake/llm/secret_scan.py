@@ -22,7 +22,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 CONTEXT = re.compile(
-    r"passw|pwd|secret|token|api.?key|credential|private|auth|bearer|access.?key|signature",
+    r"passw|pwd|secret|token|api.?key|credential|private|bearer|access.?key|signature"
+    r"|(?:(?<![a-z])o?|(?-i:(?<=[a-z])(?=A)))auth(?:ori[sz]ation|enticat(?:ion|e))?(?:(?![a-z])|(?-i:(?=[A-Z])))",
     re.IGNORECASE | re.ASCII,
 )
 
@@ -43,7 +44,86 @@ IDENTIFIERS = (
     "logger long main manager map mask master match max member memory message metadata method "
     "min mode model module name namespace native network new next node none null number object "
     "offset open option order output override package page panel parameter parent parse password "
-    "path pattern payload pending"
+    "path pattern payload pending permission phone platform plugin point policy pool port position "
+    "prefix previous primary print priority private process processor product profile program "
+    "progress project property protected protocol provider proxy public publish query queue random "
+    "range raw read reader ready record redirect reference refresh region register registry "
+    "release remote remove render replace reply report repository request require reset resource "
+    "response result retry return role root route router row rule run sample scan schedule schema "
+    "scope script search second secret section security select send sequence serial server service "
+    "session set setting shared signature single size socket sort source space span split stack "
+    "stage standard start state static status step stop storage store stream string style subject "
+    "submit success suffix summary switch sync system table tag target task template temp test "
+    "text thread threshold time timeout timestamp title token tool total trace track transaction "
+    "transfer transform trigger true type undefined union unique unit unknown unlock update upload "
+    "url user username util valid validate value variable vector verify version view visible "
+    "volume wait warning watch web weight width window word work worker wrapper write writer xml "
+    "year yes zero zip zone "
+    # words of prose that are written together with hyphens, and endings of long words
+    "about above after again against all almost also always among and another any around assured "
+    "available aware away back based because become been before being below best better between "
+    "big both bottom bound brand bring build built business but by call can care career center "
+    "century change cold come company complete computer computing consuming cost could country "
+    "cross current customer cut daily day decade decision deep defined dependent design detail "
+    "determined developed different dimensional direct distance down driven duty each early earth "
+    "easy economic effective eight else end energy engineer English environment equal established "
+    "even ever every example experience face fact fair family far fast few field five forward four "
+    "free friendly from front full function functional further future general generated given good "
+    "government grade great green ground grown growing had half hand hard have head health heart "
+    "heavy held help here high highly him his home hour house how hundred important independent "
+    "industrial industry initial inside international interest into just keep kind known labor "
+    "land large last late law lead learning least left less letter level life light like line "
+    "little live living local long look low made make making man management many market matter "
+    "maintained mean measure media medium mid middle million mind minute money month more most "
+    "mother much multi must national nature near need never next night nine non nor not nothing "
+    "now number occasion off office often old once one only open operated or order organized other our "
+    "out over own paid part party past pay people per performance person place plan play political "
+    "power present pressure price private produced profit proof public purpose put quality quick "
+    "quite rate rather reaching real reason recent red related relationship religious research "
+    "right rich risk river road same saving say scale school science see seen self semi sense "
+    "separate series serious seven several short should show side simple since six slow small so "
+    "social society some soon sound speaking special speed spread stated still strength strong "
+    "structure student study such sudden super support sure take team technology ten term than "
+    "that the their them then there these they thing think third this those though thought "
+    "thousand three through thus to together top toward trade traditional training tree turn twenty "
+    "two under understanding university until up use used using usual very vice war was water way "
+    "week well went were what when where which while white who whole why wide will winning wise "
+    "with within without woman wonder world worth would written wrong young your "
+    "ability able ably acknowledgement action ade ally ament ance ancy ant arian aries arity ary "
+    "ately ation ational ations ative ature bility cation certificate cesses charact cial cially "
+    "cious city cognit commun compat conduct configuration connectivity consequence construct "
+    "contra counter credential cular cury decrypt dential dependency deployment descriptor dict "
+    "digital diction director discipl dispro duction electro encourage encrypted ency enhance "
+    "ential entially equival erence eristic ering erous essor establish etically exception expected "
+    "expiration expiry fication formation fulness graph graphic guidance hydro hyper iality "
+    "ibility ication ience ification iness inform ing ingly instruct inter interactive interrupt "
+    "ionally isation istic istically ities ition ity ival ivity ization ization keyboard lessness "
+    "lication linary logical logically luminous manufact mater maximum ment mentally mentation "
+    "ments micro minimum mission multiple nationalization ness nesses neuro nificant ograph ological ology "
+    "operation ordinary organization osity ously partic payment philosoph photo physi poly port "
+    "portion portionate possibilities pre predict professional pseudo psycho public publication "
+    "punct qualification quantit recogn recommend repres respons responsibilities rious "
+    "satisf scientific semantic sion sional spectro stitut struct subsequent substant sufficient "
+    "symmetr synchron tele telecommunications temper theoretical therm tial tically tion tional tively "
+    "trans transport tribution tually ture ular ulation unbeliev uncharacter vers verification "
+    "vertis virtual vision vulner org com net io src main java javax apache google android github "
+    "python lib bin usr etc var opt www html css json yaml"
+)
+
+LEVEL = 16
+# the least share of a candidate's length that its compressed bytes take, by length.
+# Measured on random keys (base62, base32, lower-case base36, hex) against identifiers
+# and hyphenated words, each in prose, code-like text and alone: see README
+LEAST = ((16, 0.9), (20, 0.83), (24, 0.8))
+# letters as frequent as in prose: what stands around a candidate in a short text is
+# filled up with it, so that a share means the same in short and long texts
+FILLER = (
+    "itnmee rtnleraeesseoedse dtauulellneaed tistdtlid fatlluantdyedecarfrs ihlhnio ag oelirr"
+    " iphocetrsavithsewekdl iifnlrl he eohgweepgiulf hoyn_wnehnactrea otponn reahsdo_t s dogs"
+    "nf_noteatomoeh laooetsrncditf rcmwpeh f dnnsnthuseaeasttiletedtrtncee acntuoncnhtt hhhhi"
+    "ettbipoh ftrearntfdekriu eg ornan ard riuac k a o sp oarrnpee ohoafcnh ynneatohaiahcc eh"
+    "mn ue mtn yvah_as uie ynhsbeytatetlh mtc lhmntddtee ymtrbts a aeoairokliods tepn-hml rs "
+    "rtrtrre s ace tathcytdeifrrdh t_deoaoe trhdek-esicrcrafohrr hro"
 )
 
 
@@ -76,16 +156,29 @@ def spans_of(text: str) -> tuple[list[tuple[int, int, int]], list[int]]:
     return spans, counts
 
 
+def least_of(length: int) -> float:
+    """The least share of that length: that of the longest length measured up to it."""
+    return [least for at, least in LEAST if at <= length][-1]
+
+
 class Novelty:
     """Marginal compressed bytes of a candidate, given what stands around it."""
 
-    def __init__(self, identifiers: str, window: int, least: float):
+    def __init__(self, identifiers: str, window: int, least: float | None):
         words = zstandard.ZstdCompressionDict(
             identifiers.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
         )
-        self.compressor = zstandard.ZstdCompressor(
-            level=3, dict_data=words, write_content_size=False, write_checksum=False
+        # parts of words match from three letters on; the fast levels miss many of them
+        how = zstandard.ZstdCompressionParameters.from_level(
+            LEVEL,
+            min_match=3,
+            source_size=2 * window + 64,
+            dict_size=len(identifiers),
+            write_content_size=False,
+            write_checksum=False,
         )
+        words.precompute_compress(compression_params=how)
+        self.compressor = zstandard.ZstdCompressor(dict_data=words, compression_params=how)
         self.window, self.least = window, least
 
     def size(self, text: str) -> int:
@@ -101,6 +194,7 @@ class Novelty:
         before = text[max(0, start - reach) : start].replace(found, " ")
         after = text[end : end + reach].replace(found, " ")
         around = before[max(0, len(before) - self.window) :] + after[: self.window]
+        around = FILLER[: max(0, 2 * self.window - len(around))] + around
         return (self.size(around + found) - self.size(around)) / (end - start)
 
     def spans(self, text: str, near: int) -> list[tuple[int, int, int]]:
@@ -110,12 +204,13 @@ class Novelty:
         found = []
         for m in CANDIDATE.finditer(text):
             start, end = m.span()
-            # a word of letters alone, or digits alone, is prose or a number
-            if m[0].isalpha() or m[0].isdigit():
+            # digits alone are a number
+            if m[0].isdigit():
                 continue
             if not CONTEXT.search(text, max(0, start - near), start):
                 continue
-            if self.share(text, start, end) >= self.least:
+            least = least_of(end - start) if self.least is None else self.least
+            if self.share(text, start, end) >= least:
                 found.append((start, 3, end))
         return found
 
@@ -140,17 +235,18 @@ def scan_secrets(
     *,
     window: int = 256,
     near: int = 48,
-    least: float = 0.6,
+    least: float | None = None,
     identifiers: str = IDENTIFIERS,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """Find secrets in every whole text.
 
     Base kinds by shape: ``assign``, ``access``, ``hex``. To these the method
-    adds ``novel``: runs of 16 or more token characters mixing letters and
-    digits or signs, with a sensitive word within ``near`` characters before
-    them, that zstandard, primed with ``identifiers`` and given ``window``
-    characters on either side, cannot shorten below ``least`` bytes each. A
+    adds ``novel``: runs of 16 or more token characters that are not digits
+    alone, with a sensitive word within ``near`` characters before them, that
+    zstandard, primed with ``identifiers`` and given ``window`` characters on
+    either side, cannot shorten below ``least`` bytes a character (if None,
+    what ``LEAST`` gives for their length). A
     novel span inside a base span is not repeated; overlapping ones stay.
 
     Spans are ``kind:start:end`` in code points, end exclusive, by start and

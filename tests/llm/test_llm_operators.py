@@ -15,7 +15,7 @@ from conftest import SF_DIR
 from oracle_check import connect, difference
 from pyspark.sql import functions as F
 
-from recordlake.llm import ann, jaccard, lm_score, packing, piece_sampling, pii, simhash, warc
+from recordlake.llm import ann, jaccard, lm_score, packing, piece_sampling, pii, secret_scan, simhash, warc
 from recordlake.llm.license_rules import ANCHORS, SENTENCES, scan_licenses
 from recordlake.llm.oracles import ORACLES
 from recordlake.llm.quality import RULES, Cascade, Text, judge_quality
@@ -124,6 +124,24 @@ def test_secrets_written_twice(base_spark):
         assert r.n_novel == 2 and r.text.count("[SECRET]") == 2
 
 
+def test_novelty_tells_keys_from_names(base_spark):
+    rng = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    names = "well-established state-of-the-art session_token_service validate_user_session request_id_generator".split()
+    keys = ["".join(rng.choice(letters) for _ in range(n)) for n in (16, 20, 24, 32, 40) for _ in range(20)]
+    keys += ["".join(rng.choice(letters + "0123456789") for _ in range(n)) for n in (16, 24, 40) for _ in range(30)]
+    texts = [f"the api key of {w}" for w in names] + [f"the author of {k}" for k in keys[:5]]
+    texts += [f"the api key is {k} here" for k in keys]
+    df = base_spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.n_novel for r in scan_secrets(df).collect()}
+    assert not any(found[i] for i in range(10))
+    assert sum(found[i + 10] for i in range(len(keys))) >= 0.98 * len(keys)
+    for word in ("author", "authority"):
+        assert not secret_scan.CONTEXT.search(f"the {word} of")
+    for word in ("auth: ", "OAuth ", "basicAuth=", "auth_key", "Authorization: Basic "):
+        assert secret_scan.CONTEXT.search(word)
+
+
 # near-duplicates
 
 
