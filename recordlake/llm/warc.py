@@ -18,6 +18,8 @@ ARCHIVE_BYTES = 16 << 20  # uncompressed, after which an archive is closed
 MIN_REVISIT_BYTES = 100
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: RFC 4122, URLs
 LEVEL = 1
+PIECE = 1 << 16  # bytes of an archive inflated at once
+MAX_HEADER = 1 << 20
 # fixed values: the fields of an ARC record's header line, by version
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -43,6 +45,77 @@ def gunzip_members(data: bytes) -> Iterator[bytes]:
         data = unpacker.unused_data.lstrip(b"\x00")
 
 
+def inflated(content: bytes) -> Iterator[bytes]:
+    """The bytes of an archive in pieces; of a gzipped one, those of all its members in turn."""
+    gzipped = content[:2] == b"\x1f\x8b"
+    unpacker, at = None, 0
+    while at < len(content):
+        piece = content[at : at + PIECE]
+        if not gzipped:
+            at += len(piece)
+            yield piece
+            continue
+        unpacker = unpacker or zlib.decompressobj(31)
+        yield unpacker.decompress(piece)
+        at += len(piece) - len(unpacker.unused_data)
+        if unpacker.eof:
+            unpacker = None
+            # between members and at the end of a file, zeros are padding
+            while at < len(content) and content[at] == 0:
+                at += 1
+    if unpacker:
+        raise ValueError("an archive ends within a member")
+
+
+def arc_records(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """(place, header fields, body) of every record of an ARC archive but its version block.
+
+    The archive may be plain, gzipped as a whole, or have gzip members of one or
+    more records each: the inflated bytes are walked by header line and
+    declared length, and line ends between records and zeros are skipped. What
+    is neither raises.
+    """
+    pieces, held, at, version = inflated(content), bytearray(), 0, None
+
+    def more() -> bool:
+        nonlocal at
+        piece = next(pieces, None)
+        if piece is None:
+            return False
+        del held[:at]
+        at = 0
+        held.extend(piece)
+        return True
+
+    place = -1
+    while True:
+        while at < len(held) and held[at] in b"\r\n\x00":
+            at += 1
+        if at == len(held):
+            if more():
+                continue
+            return
+        while (end := held.find(b"\n", at)) < 0:
+            if len(held) - at > MAX_HEADER or not more():
+                raise ValueError(f"bytes left over: {bytes(held[at : at + 200])!r}")
+        line = bytes(held[at : end + 1])
+        length = line.rsplit(b" ", 1)[-1].strip()
+        if not length.isdigit():
+            raise ValueError(f"no length in an ARC header: {line[:200]!r}")
+        at = end + 1
+        while len(held) - at < int(length):
+            if not more():
+                raise ValueError(f"{int(length)} bytes declared, {len(held) - at} there: {line[:200]!r}")
+        record = line + bytes(held[at : at + int(length)])
+        at += int(length)
+        place += 1
+        # archives that were joined have a version block each
+        if version is None or line.startswith(b"filedesc://"):
+            version = arc_version(record)
+            continue
+        yield place, *parse_arc(record, version)
+
+
 def arc_version_block(version: int, name: str, date: str) -> bytes:
     """The record every ARC archive starts with; it names the fields of the others."""
     body = f"{version} 0 recordlake\n{ARC_FIELDS[version]}\n".encode()
@@ -210,12 +283,7 @@ def converted(archives: DataFrame, blocks: bool) -> DataFrame:
         names.append("block")
 
     def rows(path, content):
-        version = None
-        for place, record in enumerate(gunzip_members(content)):
-            if version is None:
-                version = arc_version(record)
-                continue
-            fields, block = parse_arc(record, version)
+        for place, fields, block in arc_records(content):
             _, http, payload = http_parts(block)
             page = http.get("x-page-id")
             yield (
@@ -254,7 +322,9 @@ def arc_to_warc(
     """ARC archives (path, content) as WARC archives, one a row of ``content``.
 
     Each archive's first record tells its version; header lines are read by
-    its fields and bodies cut at their declared lengths. WARC identifiers
+    its fields, and their declared lengths find the next one, in plain files,
+    files gzipped whole and files of one or more gzip members alike. Bytes that
+    are no record raise. WARC identifiers
     follow from URL, date and page, dates are rewritten, and payload digests
     computed. Of records whose payloads of at least ``min_revisit_bytes``
     bytes are equal, the one with the smallest page id is the response (of

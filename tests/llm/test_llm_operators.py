@@ -391,6 +391,33 @@ def test_arc_headers_of_both_versions():
     assert warc.iso_date("19990203") == "1999-02-03T00:00:00Z"
 
 
+@pytest.mark.parametrize("version", [1, 2])
+def test_arc_layouts_give_all_records(base_spark, version):
+    bodies = [f"HTTP/1.1 200 OK\r\nX-Page-Id: {i}\r\n\r\n{'a b 7' * i}\n".encode() for i in range(90, 94)]
+    bodies.append(bodies[0] + random.Random(1).randbytes(200_000))
+    parts = [warc.arc_version_block(version, "x", "1999")]
+    parts += [warc.arc_record(version, f"http://{i}", "1.2.3.4", "1999", "text/html", b) for i, b in enumerate(bodies)]
+    whole = b"".join(parts)
+    layouts = {
+        "plain": whole,
+        "padded": whole + b"\x00",
+        "one member": warc.gzip_member(whole) + b"\x00",
+        "a member each": b"".join(map(warc.gzip_member, parts)),
+        "two each": b"".join(warc.gzip_member(b"".join(parts[i : i + 2])) for i in (0, 2, 4)),
+        "joined": whole + whole,
+    }
+    for name, content in layouts.items():
+        got = [(f["URL"], body) for _, f, body in warc.arc_records(content)]
+        want = [(f"http://{i}", b) for i, b in enumerate(bodies)]
+        assert got == want * (2 if name == "joined" else 1), name
+    for bad in (whole + b"left over", whole + b"left over\n", whole[:-4], layouts["one member"][:-9], warc.gzip_member(whole) + b"x"):
+        with pytest.raises((ValueError, zlib.error)):
+            list(warc.arc_records(bad))
+    rows = [(k, bytearray(v)) for k, v in list(layouts.items())[:5]]
+    df = base_spark.createDataFrame(rows, "path string, content binary")
+    assert warc.converted(df, blocks=False).count() == 5 * len(bodies)
+
+
 # language model
 
 
