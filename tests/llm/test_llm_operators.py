@@ -312,6 +312,35 @@ def test_licences(base_spark, odd, none):
     assert all(any(a in s.lower().encode() for a in ANCHORS) for s in SENTENCES.values())
 
 
+def test_licence_notices_names_and_identifiers(base_spark):
+    cases = {
+        "Licensed under the BSD 3-Clause License.": "BSD-3-Clause",
+        "Released under the Apache License, Version 2.0.": "Apache-2.0",
+        "This work is licensed under CC BY 4.0.": "CC-BY-4.0",
+        "This project is released under the MIT License.": "MIT",
+        "We publish; the code is\nreleased under\nCC BY-SA 3.0 and more.": "CC-BY-SA-3.0",
+        "# SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause",
+        "SPDX-License-Identifier: MIT OR Apache-2.0": "MIT,Apache-2.0",
+        "SPDX-License-Identifier: GPL-2.0+": "GPL-2.0-or-later",
+        "SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1-or-later",
+        "SPDX-License-Identifier: MIT-unknown": "",
+        "It is distributed under the terms of the GNU Affero General Public License version 3.": "AGPL-3.0-only",
+        "licensed under the GNU Lesser General Public License v3 or later": "LGPL-3.0-or-later",
+        "available under the Eclipse Public License 2.0": "EPL-2.0",
+        "released under the ISC License": "ISC",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+        "    Apache License\n  Version 2.0, January 2004\n  http://x": "Apache-2.0",
+        "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007": "GPL-3.0-only",
+        "Mozilla Public License Version 2.0\n=====\n": "MPL-2.0",
+        f"MIT License\n\n{SENTENCES['mit-grant']}": "MIT",
+        "They spoke of the MIT License at length.": "",
+        "The permission is warranted.": "",
+    }
+    df = base_spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string")
+    got = {list(cases)[r.doc_id]: r.licenses for r in scan_licenses(df).collect()}
+    assert got == cases
+
+
 # pieces
 
 
