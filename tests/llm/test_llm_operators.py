@@ -541,6 +541,55 @@ def test_personal_data(base_spark, odd, none):
     assert pii.find_personal_data(none).count() == 0
 
 
+def planted_personal(n=300):
+    """Texts of base spans and other numbers, and texts of one variant each by what it is."""
+    rng = random.Random(13)
+    num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+
+    def card():
+        body = "4" + num(14)
+        total = sum(x if i % 2 else sum(divmod(2 * x, 10)) for i, x in enumerate(map(int, body[::-1])))
+        return body + str(-total % 10)
+
+    texts = []
+    for _ in range(n):
+        c = card()
+        texts += [
+            f"call the phone +1 {num(3)} {num(3)} {num(4)} today",
+            f"contact ann{num(2)}@site{num(1)}.example.org for more",
+            f"pay with card {c[:4]} {c[4:8]} {c[8:12]} {c[12:]} now",
+            f"on 20{num(2)}-0{rng.randint(1, 9)}-1{num(1)} there were {num(3)} of {num(5)} parts, v{num(1)}.{num(1)}",
+            f"section {num(1)}.{num(2)} costs {num(3)},{num(3)} and item-{num(4)} is {num(2)}%",
+            f"the order {num(16)} and {num(4)}-{num(4)} went by",
+        ]
+    planted = {}
+    for what, make in (
+        ("phone", lambda: (p := f"{num(3)}-{num(3)}-{num(4)}", f"call the phone {p} today")),
+        ("email", lambda: (p := f"ann{num(2)} at site{num(1)} dot org", f"contact {p} for more")),
+        ("card", lambda: ((c := card()) and (p := ".".join(c[i : i + 4] for i in (0, 4, 8, 12))), f"pay with card {p} now")),
+    ):
+        planted[what] = [make() for _ in range(20)]
+    return texts, planted
+
+
+def test_planted_variants_come_out(base_spark):
+    texts, planted = planted_personal()
+    rows = [(i, t) for i, t in enumerate([*texts, *[t for v in planted.values() for _, t in v]])]
+    df = base_spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = {r.doc_id: r.spans for r in pii.find_personal_data(df).collect()}
+    at = len(texts)
+    for what, cases in planted.items():
+        got = 0
+        for part, text in cases:
+            start = text.index(part)
+            got += f"{what}_variant:{start}:{start + len(part)}" in spans[at].split(",")
+            at += 1
+        assert got >= 18, (what, got)
+    # ordinary numbers are not taken for personal data
+    wrong = sum(bool(spans[i]) for i in range(len(texts)) if i % 6 in (3, 4))
+    assert wrong <= 0.05 * len(texts) / 3
+
+
 # neighbours
 
 
