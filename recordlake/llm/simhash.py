@@ -241,6 +241,21 @@ def near_duplicates(
     """
     kept = df.columns if keep is None else keep
     own = without(df.select(*[f"`{c}`" for c in kept]), ["fingerprint", "component_id"]).columns
+    marked = _marked(df, id_column, text, own)
+    prints = written(marked.groupBy("fp").agg(F.min("__id").alias("first")), "fingerprints")
+    rooted = _rooted(prints, chunk)
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    classes = written(rooted.join(least, "root").select("fp", "component_id"), "classes")
+    joined = marked.join(classes, "fp")
+    return joined.select(
+        *[F.col("__row").getField(c).alias(c) for c in own],
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def _marked(df: DataFrame, id_column: str, text: str, own: list[str]) -> DataFrame:
+    """Written: each row's columns ``own`` as ``__row``, its ``__id`` and fingerprint ``fp``."""
 
     def make():
         return lambda value: (_signed(fingerprint(value)),)
@@ -250,20 +265,15 @@ def near_duplicates(
         F.col(f"`{id_column}`").alias("__id"),
         F.col(f"`{text}`").alias("__text"),
     )
-    marked = written(annotate(sent, make, {"fp": "bigint"}, ["__text"], ["__row", "__id"]), "prints")
-    prints = written(marked.groupBy("fp").agg(F.min("__id").alias("first")), "fingerprints")
+    return written(annotate(sent, make, {"fp": "bigint"}, ["__text"], ["__row", "__id"]), "prints")
+
+
+def _rooted(prints: DataFrame, chunk: int) -> DataFrame:
+    """``prints`` with the ``root`` of each fingerprint: one of those its group holds."""
     roots = components(links_between(prints.select("fp"), chunk=chunk))
-    rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+    return prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = written(rooted.join(least, "root").select("fp", "component_id"), "classes")
-    joined = marked.join(classes, "fp")
-    return joined.select(
-        *[F.col("__row").getField(c).alias(c) for c in own],
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
 
 
 def first_of_group(
@@ -271,14 +281,34 @@ def first_of_group(
 ) -> DataFrame:
     """One row of each group of near-duplicates, with the columns of ``df``.
 
-    The row with the group's smallest id stays; of repeated rows with that id,
-    one. Rows whose group has no id at all (all null) all stay.
+    Groups are those of ``near_duplicates``. The row with the smallest id stays;
+    a null id comes after all others. Of rows that share that id, the one whose
+    columns have the least hash stays; rows alike in every column count as one.
+    Null and empty texts form one group (with fingerprint zero). An empty table
+    gives no rows; columns may have any names, as none is added.
+
+    Rows are ordered within their group by a few numbers, aggregated partially
+    before the shuffle, so the size of a group does not matter. Whole rows move
+    once, by their own number, which spreads the copies of a text.
     """
     columns = df.columns
-    grouped = near_duplicates(df, id_column, text, chunk=chunk)
-    chosen = F.col(f"`{id_column}`") == F.col("component_id")
-    heads = grouped.where(chosen | F.col("component_id").isNull())
-    unique = heads.where(F.col("component_id").isNotNull()).dropDuplicates(["component_id"])
-    return unique.unionByName(heads.where(F.col("component_id").isNull())).select(
-        *[f"`{c}`" for c in columns]
+    marked = _marked(df, id_column, text, columns)
+    # maps have no hash; rows that differ in nothing else count as alike
+    hashed = [c for c in columns if "map<" not in df.schema[c].dataType.simpleString()]
+    # numbered as stored: reading it again gives the same numbers
+    number = F.struct(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")
+    )
+    order = F.struct(
+        F.col("__id").isNull().alias("none"),
+        F.col("__id").alias("id"),
+        F.xxhash64(*[F.col("__row").getField(c) for c in hashed]).alias("hash"),
+        number.alias("number"),
+    )
+    prints = written(marked.groupBy("fp").agg(F.min(order).alias("first")), "fingerprints")
+    heads = _rooted(prints, chunk).groupBy("root").agg(F.min("first").alias("first"))
+    heads = written(heads.select("first.number.file", "first.number.at"), "heads")
+    rows = marked.select("__row", number.alias("n")).select("__row", "n.file", "n.at")
+    return rows.join(heads, ["file", "at"], "left_semi").select(
+        *[F.col("__row").getField(c).alias(c) for c in columns]
     )

@@ -15,7 +15,7 @@ from conftest import SF_DIR
 from oracle_check import connect, difference
 from pyspark.sql import functions as F
 
-from recordlake.llm import ann, jaccard, lm_score, packing, piece_sampling, pii, secret_scan, simhash, warc
+from recordlake.llm import ann, lm_score, packing, piece_sampling, pii, secret_scan, simhash, warc
 from recordlake.llm.license_rules import ANCHORS, SENTENCES, scan_licenses
 from recordlake.llm.oracles import ORACLES
 from recordlake.llm.quality import RULES, Cascade, Text, judge_quality
@@ -199,62 +199,14 @@ def test_simhash_odd_rows(odd, none):
     assert simhash.first_of_group(odd).count() == 9 - 1 - 2
 
 
-def brute_similar(texts, similarity=0.8):
-    """The smallest id of every group linked by the Jaccard similarity of 5-word shingles."""
-    sets = {}
-    for i, t in texts.items():
-        w = t.lower().split()
-        sets[i] = {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
-    parent = {i: i for i in texts}
-
-    def head(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    order = sorted(texts)
-    for n, i in enumerate(order):
-        for j in order[n + 1 :]:
-            if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
-                a, b = sorted((head(i), head(j)))
-                parent[b] = a
-    return {i: head(i) for i in order}
-
-
-@pytest.mark.parametrize("chunk_texts", [1024, 3])
-def test_similar_texts_are_found_by_jaccard(base_spark, chunk_texts):
-    rng = random.Random(6)
-    texts = {}
-    for family in range(12):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((20, 100, 400)))]
-        for _ in range(rng.choice((1, 4, 9))):
-            copy = list(words)
-            for _ in range(rng.randint(0, len(words) // 40 + 1)):
-                copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
-            texts[len(texts)] = " ".join(copy)
-    df = base_spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    got = jaccard.first_of_similar(df, chunk_texts=chunk_texts)
-    assert sorted(r.doc_id for r in got.collect()) == sorted(set(brute_similar(texts).values()))
-
-
-def test_pipeline_stage_owes_jaccard(base_spark):
-    import corpus_pipeline
-
-    docs = docs_of(base_spark)
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    heads = set(brute_similar(texts).values())
-    kept = corpus_pipeline.keep_one_of_each(base_spark, docs, SF_DIR).collect()
-    assert len(kept) == len(heads) and {r.doc_id for r in kept} == heads
-
-
 def test_repeated_and_null_ids_lose_no_other_text(base_spark, odd, none):
     rows = [(1, "a b c d e f"), (1, "g h i j k l"), (None, "m n o p q"), (None, "m n o p q"), (2, "a b c d e f")]
     df = base_spark.createDataFrame(rows, "doc_id bigint, text string")
     want = sorted([(1, "a b c d e f"), (1, "g h i j k l"), (None, "m n o p q")], key=str)
-    got = jaccard.first_of_similar(df).collect()
+    got = simhash.first_of_group(df).collect()
     assert sorted([(r.doc_id, r.text) for r in got], key=str) == want
-    assert jaccard.first_of_similar(odd).count() == 9 - 1 - 2
-    assert jaccard.first_of_similar(none).count() == 0
+    assert simhash.first_of_group(odd).count() == 9 - 1 - 2
+    assert simhash.first_of_group(none).count() == 0
 
 
 # packing
@@ -637,3 +589,30 @@ def test_pipeline(base_spark):
         assert not brute_secrets(r.text) and r.n_chars == len(r.text)
     packed = corpus_pipeline.run(base_spark, SF_DIR)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == heads
+
+
+def test_pipeline_odd_rows(base_spark, odd, none):
+    """Nulls, repeats, an empty table, and columns named like what the operators add."""
+    import corpus_pipeline
+
+    words = " ".join(f"word{i}x" for i in range(60))
+    rows = [
+        (1, f"{words} api_key=abcdef0123456789", "en", "a", 5, "k", -1, "s"),
+        (1, f"{words} api_key=abcdef0123456789", "en", "a", 5, "k", -1, "s"),
+        (None, f"{words} one more", None, None, None, None, None, None),
+        (2, words[::-1], "en", "a", 7, "mine", -2, "t"),
+        (3, None, None, None, None, None, None, None),
+        (4, "", "en", "b", 0, "x", 0, "u"),
+    ]
+    names = "doc_id bigint, text string, lang string, source string, n_chars int, kept string, fp int, Spans string"
+    docs = base_spark.createDataFrame(rows, names)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(base_spark, docs, SF_DIR)
+        assert docs.dtypes == base_spark.createDataFrame([], names).dtypes
+        assert stage(base_spark, none, SF_DIR).count() == 0
+        assert stage(base_spark, odd, SF_DIR).columns == odd.columns
+    kept = {r.doc_id: r for r in docs.collect()}
+    assert set(kept) == {1, 2, None} and len(kept) == docs.count()
+    assert kept[1].text == f"{words} [SECRET]" and kept[1].n_chars == len(kept[1].text)
+    assert tuple(kept[2]) == rows[3] and (kept[1].kept, kept[1].fp, kept[1].Spans) == ("k", -1, "s")
+    assert corpus_pipeline.pack_sequences(base_spark, docs, SF_DIR).count() == 3
