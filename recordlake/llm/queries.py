@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordlake.llm.alignment import align, count_links
 from recordlake.llm.ann import nearest
+from recordlake.llm.frames import written
 from recordlake.llm.license_rules import scan_licenses
 from recordlake.llm.lm_score import score_texts
 from recordlake.llm.packing import pack
@@ -64,6 +66,13 @@ def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_pieces(table(spark, sf_dir, "documents"), digest_only=True, keep=["doc_id"])
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    stored = written(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return count_links(stored)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,5 +86,6 @@ QUERIES = {
         op8_license_scan,
         op9_lm_score,
         op10_piece_sampling,
+        op13_token_alignment,
     )
 }
