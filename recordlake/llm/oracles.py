@@ -57,4 +57,83 @@ select page_id, payload_bytes, payload_digest,
 from marked
 """
 
-ORACLES = {"op2_quality_rules": QUALITY, "op4_arc_to_warc": ARCHIVES}
+def _hashed(columns: list[str]) -> str:
+    """sha256 of the columns, each `-` if null, else its UTF-8 length, `:` and itself."""
+    parts = [f"coalesce(strlen({c}::varchar)::varchar || ':' || {c}::varchar, '-')" for c in columns]
+    return f"sha256({' || '.join(parts)})"
+
+
+# CRC-32, bit by bit: its reversed polynomial is 0xEDB88320
+CRC = """
+xor(list_reduce(
+  list_prepend(4294967295::bigint, list_transform(string_split({0}, ''), lambda c: ord(c)::bigint)),
+  lambda sum, code: list_reduce(
+    list_prepend(xor(sum, code), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+    lambda x, step: case when x & 1 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end)),
+  4294967295::bigint)
+"""
+
+MANIFEST = f"""
+with recursive
+docs as (
+  select row_number() over () as r, *, coalesce('=' || source, '') as grp,
+         {_hashed(["doc_id", "source", "lang", "n_chars", "text"])} as leaf,
+         {_hashed(["doc_id", "source", "lang", "n_chars", "replace(text, chr(10), '')"])} as other,
+         {CRC.format("doc_id::varchar")} as crc
+  from documents),
+leaves as (
+  select *, case when crc % 2 = 0 then other else leaf end as given,
+         row_number() over (partition by grp order by doc_id nulls first, leaf) - 1 as pos,
+         count(*) over (partition by grp) as size
+  from docs),
+nodes(grp, l, i, n, d) as (
+  select grp, 0, pos, size, leaf from leaves
+  union all
+  select grp, l + 1, i // 3, (n + 2) // 3, sha256(string_agg(d, '' order by i))
+  from nodes where n > 1 group by grp, l, i // 3, n),
+subroots as (
+  select grp, d, row_number() over (order by grp) - 1 as pos, count(*) over () as size
+  from nodes where n = 1),
+upper(l, i, n, d) as (
+  select 0, pos, size, d from subroots
+  union all
+  select l + 1, i // 3, (n + 2) // 3, sha256(string_agg(d, '' order by i))
+  from upper where n > 1 group by l, i // 3, n),
+siblings as (
+  select r, 0 as tier, n.l, n.i, n.d
+  from leaves join nodes n on n.grp = leaves.grp and n.n > 1
+   and n.i // 3 = leaves.pos // (3 ** (n.l + 1))::bigint and n.i <> leaves.pos // (3 ** n.l)::bigint
+  union all
+  select r, 1, u.l, u.i, u.d
+  from leaves join subroots s on s.grp = leaves.grp
+  join upper u on u.n > 1
+   and u.i // 3 = s.pos // (3 ** (u.l + 1))::bigint and u.i <> s.pos // (3 ** u.l)::bigint),
+proofs as (
+  select r, string_agg(d, '' order by tier, l, i) as proof from siblings group by r),
+folds(r, grp, l, i, d) as (
+  select r, grp, 0, pos, given from leaves
+  union all
+  select f.r, f.grp, f.l + 1, f.i // 3,
+         sha256(string_agg(case when n.i = f.i then f.d else n.d end, '' order by n.i))
+  from folds f join nodes n on n.grp = f.grp and n.l = f.l and n.n > 1 and n.i // 3 = f.i // 3
+  group by f.r, f.grp, f.l, f.i),
+below as (select r, grp, arg_max(d, l) as d from folds group by r, grp),
+climbs(r, l, i, d) as (
+  select r, 0, pos, below.d from below join subroots using (grp)
+  union all
+  select f.r, f.l + 1, f.i // 3,
+         sha256(string_agg(case when u.i = f.i then f.d else u.d end, '' order by u.i))
+  from climbs f join upper u on u.l = f.l and u.n > 1 and u.i // 3 = f.i // 3
+  group by f.r, f.l, f.i),
+ends as (select r, arg_max(d, l) as folded_root from climbs group by r)
+select doc_id, leaf, subroots.d as subroot, whole.d as root,
+       sha256(coalesce(proof, '')) as proof_sha256, folded_root, folded_root = whole.d as verified
+from leaves join subroots using (grp) join ends using (r) left join proofs using (r)
+cross join (select d from upper where n = 1) whole
+"""
+
+ORACLES = {
+    "op2_quality_rules": QUALITY,
+    "op4_arc_to_warc": ARCHIVES,
+    "op11_merkle_manifest": MANIFEST,
+}

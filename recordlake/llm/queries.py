@@ -10,6 +10,7 @@ from recordlake.llm.ann import nearest
 from recordlake.llm.frames import written
 from recordlake.llm.license_rules import scan_licenses
 from recordlake.llm.lm_score import score_texts
+from recordlake.llm.merkle import manifest
 from recordlake.llm.packing import pack
 from recordlake.llm.piece_sampling import sample_pieces
 from recordlake.llm.pii import find_personal_data
@@ -66,6 +67,23 @@ def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_pieces(table(spark, sf_dir, "documents"), digest_only=True, keep=["doc_id"])
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proofs = manifest(
+        table(spark, sf_dir, "documents"),
+        tampered={"text": F.replace(F.col("text"), F.lit("\n"), F.lit(""))},
+        touched=F.crc32(F.col("doc_id").cast("string")) % 2 == 0,
+    )
+    return proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = align(table(spark, sf_dir, "documents"), keep=["doc_id"])
     digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
@@ -86,6 +104,7 @@ QUERIES = {
         op8_license_scan,
         op9_lm_score,
         op10_piece_sampling,
+        op11_merkle_manifest,
         op13_token_alignment,
     )
 }
