@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recordlake.llm.alignment import align, count_links
 from recordlake.llm.ann import nearest
+from recordlake.llm.decontamination import decontaminate
 from recordlake.llm.frames import written
 from recordlake.llm.license_rules import scan_licenses
 from recordlake.llm.lm_score import score_texts
@@ -84,6 +85,19 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("bigint").alias("n_near_items"),
+    )
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = align(table(spark, sf_dir, "documents"), keep=["doc_id"])
     digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
@@ -105,6 +119,7 @@ QUERIES = {
         op9_lm_score,
         op10_piece_sampling,
         op11_merkle_manifest,
+        op12_decontamination,
         op13_token_alignment,
     )
 }
