@@ -114,41 +114,46 @@ def index_of(ends: list[int]) -> dict[int, int]:
     return dict(zip(ends, range(len(ends))))
 
 
-def cut(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
-    """For every offset where both sides have an end, the last index there on each side."""
+def cut(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray, bool]:
+    """For every offset where both sides have an end, the last index there on each side.
+
+    And whether some tokens have no bytes, so that several end at one offset.
+    """
     at_a, at_b = index_of(ends_a), index_of(ends_b)
     common = sorted(at_a.keys() & at_b.keys())
-    return [at_a[end] for end in common], [at_b[end] for end in common]
+    last = [np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (at_a, at_b)]
+    return *last, len(at_a) < len(ends_a) or len(at_b) < len(ends_b)
+
 
+class Names:
+    """Ids as text, each with every mark that may follow it."""
 
-def spelt(names_a: list[str], names_b: list[str], last_a: list[int], last_b: list[int]) -> str:
-    """The groups as `a1,a2|b1;a3|b2,b3`."""
-    parts, i, j = [], 0, 0
-    for end_a, end_b in zip(last_a, last_b):
-        end_a += 1
-        end_b += 1
-        left = names_a[i] if end_a - i == 1 else ",".join(names_a[i:end_a])
-        right = names_b[j] if end_b - j == 1 else ",".join(names_b[j:end_b])
-        parts.append(f"{left}|{right}")
-        i, j = end_a, end_b
-    return ";".join(parts)
+    def __init__(self, size: int):
+        self.before = {mark: np.array([f"{i}{mark}" for i in range(size)], object) for mark in ",|;"}
+
+    def groups(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
+        """The slices up to ``last_a`` and ``last_b`` as `a1,a2|b1;a3|b2,b3`."""
+        parts = np.empty(len(a) + len(b), object)
+        for ids, last, mark, others in ((a, last_a, "|", np.append(0, last_b[:-1] + 1)), (b, last_b, ";", last_a + 1)):
+            names = self.before[","][ids]
+            names[last] = self.before[mark][ids[last]]
+            # a slice of A stands after all earlier slices of B, one of B also after its own of A
+            sizes = np.diff(last, prepend=-1)
+            parts[np.arange(len(ids)) + np.repeat(others, sizes)] = names
+        return "".join(parts.tolist())[:-1]
 
 
 def linked(
-    ends_a: list[int], ends_b: list[int], last_a: list[int], last_b: list[int]
+    ends_a: list[int], ends_b: list[int], last_a: np.ndarray, last_b: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Indices of all token pairs that end together, slice by slice.
 
     A slice links its last tokens, and with them any tokens of no bytes before
     them that end at the same offset.
     """
-    left, right = np.array(last_a, np.int64), np.array(last_b, np.int64)
-    if len(set(ends_a)) == len(ends_a) and len(set(ends_b)) == len(ends_b):
-        return left, right
     pairs = []
-    for i, j in zip(last_a, last_b):
-        alike_a = [k for k in _back(ends_a, i)]
-        pairs += [(x, y) for x in alike_a for y in _back(ends_b, j)]
+    for i, j in zip(last_a.tolist(), last_b.tolist()):
+        pairs += [(x, y) for x in _back(ends_a, i) for y in _back(ends_b, j)]
     return tuple(np.array(pairs, np.int64).reshape(-1, 2).T)
 
 
@@ -164,7 +169,7 @@ class Aligner:
         self.a, self.b = ByteSide(path_a), PieceSide(path_b)
         self.codes = possible_pairs(self.a.tokens, self.b.tokens)
         self.sizes = [np.array(list(map(len, s.tokens)), np.int64) for s in (self.a, self.b)]
-        self.names = [str(i) for i in range(max(len(self.a.tokens), len(self.b.tokens)))]
+        self.names = Names(max(len(self.a.tokens), len(self.b.tokens)))
 
     def __call__(self, text: str | None) -> tuple:
         if not text:
@@ -172,16 +177,15 @@ class Aligner:
         spaced = " " + text
         ids_a, ids_b = self.a.encode(spaced), self.b.encode(text)
         raw = spaced.encode()
-        for side, ids in ((self.a, ids_a), (self.b, ids_b)):
-            if b"".join(map(side.tokens.__getitem__, ids)) != raw:
-                return NOTHING
         row_a, row_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
         ends_a = np.cumsum(self.sizes[0][row_a]).tolist()
+        # A's tokens spell what they are given, every byte being one; its length tells of a cut
+        if ends_a[-1] != len(raw) or b"".join(map(self.b.tokens.__getitem__, ids_b)) != raw:
+            return NOTHING
         ends_b = np.cumsum(self.sizes[1][row_b]).tolist()
-        last_a, last_b = cut(ends_a, ends_b)
-        name = self.names.__getitem__
-        groups = spelt(list(map(name, ids_a)), list(map(name, ids_b)), last_a, last_b)
-        x, y = linked(ends_a, ends_b, last_a, last_b)
+        last_a, last_b, several = cut(ends_a, ends_b)
+        groups = self.names.groups(row_a, row_b, last_a, last_b)
+        x, y = linked(ends_a, ends_b, last_a, last_b) if several else (last_a, last_b)
         numbers = np.searchsorted(self.codes, row_a[x] * len(self.b.tokens) + row_b[y])
         packed = pack_array(numbers.astype(np.uint32))
         return len(ids_a), len(ids_b), len(last_a), len(x), groups, packed

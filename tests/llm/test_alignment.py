@@ -105,9 +105,9 @@ def test_repeated_and_null_ids(base_spark):
 
 def test_tokens_of_no_bytes_link_with_all_that_end_there():
     ends_a, ends_b = [2, 2, 5], [0, 2, 5, 5]
-    last = alignment.cut(ends_a, ends_b)
-    assert last == ([1, 2], [1, 3])
-    x, y = alignment.linked(ends_a, ends_b, *last)
+    last_a, last_b, several = alignment.cut(ends_a, ends_b)
+    assert several and (last_a.tolist(), last_b.tolist()) == ([1, 2], [1, 3])
+    x, y = alignment.linked(ends_a, ends_b, last_a, last_b)
     assert list(zip(x.tolist(), y.tolist())) == [(0, 1), (1, 1), (2, 2), (2, 3)]
 
 
