@@ -192,7 +192,7 @@ NESTED_SCHEMA = _struct(
 )
 
 
-def nested_json(lineitem: DataFrame) -> DataFrame:
+def nested_json(lineitem: DataFrame, *carried: str) -> DataFrame:
     """``value``: JSON text with objects, lists of objects, and empty values.
 
     The list of items has 0, 1 or 2 entries; only second entries have a note.
@@ -230,7 +230,31 @@ def nested_json(lineitem: DataFrame) -> DataFrame:
             F.create_map().cast("map<string,string>").alias("emptyObj"),
         )
     )
-    return lineitem.select(body.alias("value"))
+    return lineitem.select(*carried, body.alias("value"))
+
+
+def undeclared_files(spark: SparkSession, sf_dir: str) -> str:
+    """Files of nested records, three of four with keys that ``NESTED_SCHEMA`` lacks.
+
+    One of these keys is a text in some records and a number in others, and a
+    list's objects have different keys.
+    """
+    line, batch = F.col("l_linenumber"), (F.col("l_partkey") % 10).cast("string")
+    kind = F.col("l_linenumber") % 4
+    checks = F.concat(
+        F.lit('"checks":[{"passed":true,"score":'), line.cast("string"), F.lit('},{"score":1.5}]')
+    )
+    extra = (
+        F.when(kind == 0, F.concat(F.lit('"extraInfo":{"batchCode":"B'), batch, F.lit('",'), checks, F.lit("},")))
+        .when(kind == 1, F.concat(F.lit('"extraInfo":{"batchCode":'), batch, F.lit("},")))
+        .when(kind == 2, F.lit('"extraInfo":{},'))
+        .otherwise(F.lit(""))
+    )
+    lines = table(spark, sf_dir, "lineitem")
+    texts = nested_json(lines.withColumn("extra", extra), "extra")
+    root = scratch_dir(spark, "undeclared")
+    texts.select(F.concat(F.lit("{"), "extra", F.expr("substring(value, 2)")).alias("value")).write.text(root)
+    return root
 
 
 def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,6 +370,43 @@ def write_event_files(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def write_bad_bytes(spark: SparkSession, sf_dir: str) -> str:
+    """``write_event_files``, and in bucket 5 a record whose text is no UTF-8."""
+    root = scratch_dir(spark, "event-bytes")
+    raw = F.concat(F.lit(b'{"event_id": 2, "event_type": "caf'), F.unhex(F.lit("E9")), F.lit(b'"}'))
+    bad = spark.range(1).select(
+        F.lit(5).cast("bigint").alias("bucket"), raw.cast("string").alias("value")
+    )
+    lines = event_lines(spark, sf_dir, broken=True).unionByName(bad)
+    lines.hint("rebalance", "bucket").write.partitionBy("bucket").text(root)
+    return root
+
+
+def write_typed_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Two participants' files whose types differ: value a number or a text, and own keys."""
+    root = scratch_dir(spark, "typed-landing")
+    odd = F.col("event_id") % 2 == 1
+    first = F.struct("event_id", F.col("value").alias("reading"), F.struct("user_id").alias("of"))
+    second = F.struct(
+        "event_id",
+        F.col("event_type").alias("reading"),
+        F.struct(F.col("user_id").cast("double").alias("user_id"), F.array("props").alias("props")).alias("of"),
+    )
+    levels = landing_columns(
+        F.lit("2024-01-02").cast("timestamp"),
+        source="events",
+        user_id=F.when(odd, "001").otherwise("002"),
+        version=F.lit("dstu2"),
+        model=F.lit(OBSERVATION),
+    )
+    lines = table(spark, sf_dir, "events").select(
+        F.when(odd, F.to_json(first)).otherwise(F.to_json(second)).alias("value"),
+        *[c.alias(n) for n, c in levels.items()],
+    )
+    lines.write.partitionBy(*levels).text(root)
+    return root
+
+
 def write_landing(spark: SparkSession, sf_dir: str) -> str:
     """Events in the raw landing layout, under four participant ids such as ``007``."""
     root = scratch_dir(spark, "landing")

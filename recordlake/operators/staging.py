@@ -13,7 +13,12 @@ from pyspark.sql import types as T
 
 from recordlake.functions.names import quoted
 from recordlake.functions.times import load_stamp, parse_timestamp
-from recordlake.functions.values import list_of_one_null_struct, null_of
+from recordlake.functions.values import (
+    declares,
+    list_of_one_null_struct,
+    null_of,
+    with_declared_fields,
+)
 from recordlake.operators.keyed import BROADCAST_BYTES, attach
 from recordlake.session import materialize
 
@@ -29,6 +34,8 @@ class Rule:
     the value. ``suffix``: text appended before parsing. ``absent``: what an
     input without the column gets: a type for a typed null (a list type for a
     list of one all-null object), a text for that marker, or None for nothing.
+    A nested type also repairs a column that is there: objects without a field
+    it declares get a null in its place, at any depth.
     """
 
     column: str
@@ -36,7 +43,10 @@ class Rule:
     suffix: str = ""
     absent: T.DataType | str | None = None
 
-    def present(self, column: Column) -> Column:
+    def present(self, column: Column, data_type: T.DataType) -> Column:
+        nested = isinstance(self.absent, (T.ArrayType, T.StructType))
+        if nested and not declares(data_type, self.absent):
+            return with_declared_fields(column, data_type, self.absent)
         if not self.patterns:
             return column
         text = F.concat(column, F.lit(self.suffix)) if self.suffix else column
@@ -91,7 +101,7 @@ def stage(
     for name in [c for c in df.columns if c in present]:
         column, rule = F.col(quoted(name)), rules.get(name)
         if rule is not None:
-            column = rule.present(column)
+            column = rule.present(column, df.schema[name].dataType)
         if name in has:
             known = F.coalesce(F.col(has[name]), F.lit(True))
             column = F.when(known, column.cast("string")).otherwise(rule.missing())

@@ -191,6 +191,8 @@ ORACLES: dict[str, str] = {
     reference as medication_reference__reference, unit as dispense_request__quantity__unit
   from medication""",
     "unify_observation": f"with {OBSERVATION} {RECORD_OBSERVATION}",
+    "unify_observation_sparse_ranges": f"""with {OBSERVATION}
+  select * replace (cast(null as varchar) as lower_bound) from ({RECORD_OBSERVATION})""",
     "unify_immunization": f"with {IMMUNIZATION} {RECORD_IMMUNIZATION}",
     "unify_clinical_impression": f"with {IMPRESSION} {RECORD_IMPRESSION}",
     "unify_medication_order": f"with {MEDICATION} {RECORD_MEDICATION}",
@@ -210,6 +212,39 @@ nested as (
     l_returnflag as flag, l_linestatus as status
   from lineitem)"""
 
+# how often each key path of the nested records occurs, by type
+KEY_COUNTS = """
+lines as (
+  select l_linenumber % 3 as kind, l_linenumber % 4 as extra from lineitem),
+paths as (
+  select unnest([('resourceType', 'STRING'), ('id', 'STRING'), ('meta', 'OBJECT'),
+    ('meta.lastUpdated', 'STRING'), ('subject', 'OBJECT'), ('subject.displayName', 'STRING'),
+    ('subject.address', 'OBJECT'), ('subject.address.nationKey', 'BIGINT'), ('lineItems', 'ARRAY'),
+    ('tags', 'ARRAY'), ('tags.[]', 'STRING'), ('tags.[]', 'STRING'), ('emptyList', 'ARRAY'),
+    ('emptyObj', 'OBJECT')]) as p from lines
+  union all
+  select unnest([('lineItems.[]', 'OBJECT'), ('lineItems.[].partKey', 'BIGINT'),
+    ('lineItems.[].qty', 'DECIMAL'), ('lineItems.[].coding', 'ARRAY'),
+    ('lineItems.[].coding.[]', 'OBJECT'), ('lineItems.[].coding.[].retFlag', 'STRING')])
+  from lines where kind > 0
+  union all
+  select unnest([('lineItems.[]', 'OBJECT'), ('lineItems.[].partKey', 'BIGINT'),
+    ('lineItems.[].qty', 'DECIMAL'), ('lineItems.[].note', 'STRING'), ('lineItems.[].coding', 'ARRAY'),
+    ('lineItems.[].coding.[]', 'OBJECT'), ('lineItems.[].coding.[]', 'OBJECT'),
+    ('lineItems.[].coding.[].retFlag', 'STRING'), ('lineItems.[].coding.[].retFlag', 'STRING')])
+  from lines where kind = 2
+  union all
+  select unnest([('extraInfo', 'OBJECT'), ('extraInfo.batchCode', 'STRING'),
+    ('extraInfo.checks', 'ARRAY'), ('extraInfo.checks.[]', 'OBJECT'), ('extraInfo.checks.[]', 'OBJECT'),
+    ('extraInfo.checks.[].passed', 'BOOLEAN'), ('extraInfo.checks.[].score', 'BIGINT'),
+    ('extraInfo.checks.[].score', 'DECIMAL')]) from lines where extra = 0
+  union all
+  select unnest([('extraInfo', 'OBJECT'), ('extraInfo.batchCode', 'BIGINT')]) from lines where extra = 1
+  union all
+  select ('extraInfo', 'OBJECT') from lines where extra = 2),
+counted as (
+  select p[1] as path, p[2] as type, count(*) as n from paths group by all)"""
+
 EVENT_COLUMNS = (
     f"event_id, {zms('ts')} as ts, user_id, event_type, value, props"
 )
@@ -312,6 +347,29 @@ ORACLES |= {
     "quarantine_good": f"""
   select cast(user_id % 8 as varchar) as bucket, {EVENT_COLUMNS}
   from events where user_id % 8 <> 3""",
+    "key_census": f"""with {KEY_COUNTS} select * from counted""",
+    "undeclared_keys": f"""with {KEY_COUNTS}
+  select * from counted where path like 'extraInfo%' or path = 'emptyObj'""",
+    "flatten_undeclared": f"""with {NESTED}, extra as (
+  select *, line % 4 as k, part % 10 as batch
+  from (select *, cast(split_part(id, '-', 2) as bigint) as line from nested))
+  select id, supplier as subject__display_name,
+    case kind when 1 then cast(part as varchar) when 2 then part || '|' || (part + 1) end
+      as line_items__part_key,
+    case k when 0 then 'B' || batch when 1 then cast(batch as varchar) end as extra_info__batch_code,
+    case k when 0 then 'true' end as extra_info__checks__passed,
+    case k when 0 then line || '.0|1.5' end as extra_info__checks__score
+  from extra""",
+    "load_merged_types": """
+  select case when event_id % 2 = 1 then '001' else '002' end as user_id, event_id,
+    case when event_id % 2 = 1 then regexp_replace(cast(value as varchar), '[.]0$', '')
+      else event_type end as reading,
+    cast(user_id as double) as of__user_id,
+    case when event_id % 2 = 0 then props end as of__props
+  from events""",
+    "quarantine_bad_bytes": """
+  select cast(b as varchar) as bucket, count(*) + 1 as n_records, cast(1 as bigint) as n_bad
+  from (select user_id % 8 as b from events where user_id % 8 in (3, 5)) group by b""",
     "quarantine_bad": """
   select '3' as bucket, count(*) + 1 as n_records, cast(1 as bigint) as n_bad
   from events where user_id % 8 = 3""",

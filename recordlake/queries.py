@@ -29,7 +29,7 @@ from recordlake.plans.specs import (
 )
 from recordlake.plans.stored_chain import medical_records_stored
 from recordlake.session import lake_session, scratch_dir
-from recordlake.sources import layout, ndjson, registry, tables
+from recordlake.sources import layout, ndjson, registry, tables, variants
 from recordlake.streaming.incremental import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +153,20 @@ def unify_observation(spark, sf_dir):
     return project(staged(spark, sf_dir, OBSERVATION), OBSERVATION)
 
 
+@query
+def unify_observation_sparse_ranges(spark, sf_dir):
+    """Reference ranges whose lower bounds lack a value in every object of every list."""
+    flat = flatten(raw_records(spark, sf_dir, OBSERVATION))
+    low = F.transform("reference_range__low", lambda x: F.struct(x["code"].alias("code")))
+    out = stage(
+        flat.withColumn("reference_range__low", low),
+        STAGING[OBSERVATION],
+        participant=F.col("user_id"),
+        as_of=AS_OF,
+    )
+    return project(out, OBSERVATION).select(*RECORD_COLUMNS)
+
+
 @query
 def unify_immunization(spark, sf_dir):
     return project(staged(spark, sf_dir, IMMUNIZATION), IMMUNIZATION)
@@ -288,6 +302,43 @@ def flatten_written_nulls(spark, sf_dir):
     return flat.select("id", listed("items__qty"), F.array_join("items__note", "|", "~").alias("items__note"))
 
 
+def _path_text(path: str = "path") -> Column:
+    keys = F.transform(path, lambda k: F.coalesce(k, F.lit("[]")))
+    return F.array_join(keys, ".").alias("path")
+
+
+@query
+def key_census(spark, sf_dir):
+    """Every key path of the nested records, with its types."""
+    records = variants.read_records(spark, fixtures.undeclared_files(spark, sf_dir))
+    return variants.key_census(records).select(_path_text(), "type", "n")
+
+
+@query
+def undeclared_keys(spark, sf_dir):
+    """Key paths that occur and that no schema declares."""
+    records = variants.read_records(spark, fixtures.undeclared_files(spark, sf_dir))
+    census = variants.key_census(records)
+    return variants.undeclared(census, fixtures.NESTED_SCHEMA).select(_path_text(), "type", "n")
+
+
+@query
+def flatten_undeclared(spark, sf_dir):
+    """Whatever keys occur are flattened, declared or not."""
+    records = variants.read_records(spark, fixtures.undeclared_files(spark, sf_dir))
+    found = variants.schema_of_census(variants.key_census(records).collect())
+    schema = variants.merged(fixtures.NESTED_SCHEMA, found)
+    flat = flatten(variants.with_columns(records.select(variants.RECORD), schema))
+    return flat.select(
+        "id",
+        "subject__display_name",
+        listed("line_items__part_key"),
+        "extra_info__batch_code",
+        listed("extra_info__checks__passed"),
+        listed("extra_info__checks__score"),
+    )
+
+
 @query
 def explode_flatten_dunder(spark, sf_dir):
     nested = fixtures.nested_records(spark, sf_dir).select("id", "subject", "lineItems")
@@ -361,6 +412,16 @@ def quarantine_bad(spark, sf_dir):
     )
 
 
+@query
+def quarantine_bad_bytes(spark, sf_dir):
+    """Bytes that are no UTF-8 reject their file, as a malformed line does."""
+    lines = ndjson.read_lines(spark, fixtures.write_bad_bytes(spark, sf_dir))
+    audit = ndjson.audit_files(lines, unit_pattern=fixtures.BUCKET_DIRECTORY)
+    return ndjson.rejected_files(audit).select(
+        F.regexp_extract("unit", "bucket=(.*)$", 1).alias("bucket"), "n_records", "n_bad"
+    )
+
+
 @query
 def file_counts(spark, sf_dir):
     _, audit = _audited(spark, sf_dir)
@@ -421,13 +482,28 @@ def load_parquet(spark, sf_dir):
     """Many landing files, schema inferred, to one partitioned Parquet dataset."""
     root = fixtures.write_landing(spark, sf_dir)
     out = scratch_dir(spark, "loaded")
-    loaded = tables.load_ndjson(spark, root, basePath=root)
+    records = variants.read_records(spark, root, basePath=root)
+    schemas = variants.infer_schemas(records, registry.KEYS)
+    loaded = tables.load_records(records, schemas["events", "dstu2", OBSERVATION])
     tables.write_table(loaded, out, layout.LOADED_LEVELS, rebalance=True)
     return tables.read_tables(spark, out, loaded.schema).select(
         *fixtures.LANDING_SCHEMA.names, *layout.LOADED_LEVELS
     )
 
 
+@query
+def load_merged_types(spark, sf_dir):
+    """Files that disagree on a type, loaded and registered from one reading of their text."""
+    root = fixtures.write_typed_landing(spark, sf_dir)
+    records = variants.read_records(spark, root, basePath=root)
+    schemas = variants.infer_schemas(records, registry.KEYS)
+    catalog = scratch_dir(spark, "typed-schemas")
+    registry.write_schemas(spark, catalog, schemas)
+    schema = registry.schema_of(registry.read_schemas(spark, catalog), OBSERVATION)
+    flat = flatten(tables.load_records(records, schema))
+    return flat.select("user_id", "event_id", "reading", "of__user_id", listed("of__props"))
+
+
 @query
 def ndjson_gz_roundtrip(spark, sf_dir):
     out = scratch_dir(spark, "gz")
@@ -466,10 +542,9 @@ def parquet_merged_scan(spark, sf_dir):
 def schema_registry(spark, sf_dir):
     """Schemas inferred from all landing files, stored, and listed by column."""
     landing = fixtures.write_landing(spark, sf_dir)
-    records = ndjson.read_ndjson(spark, landing, basePath=landing)
-    inferred = records.drop(*layout.LANDING_LEVELS, "model", ndjson.SOURCE_FILE).schema
+    records = variants.read_records(spark, landing, basePath=landing)
     root = scratch_dir(spark, "schemas")
-    registry.write_schemas(spark, root, {("events", "dstu2", OBSERVATION): inferred})
+    registry.write_schemas(spark, root, variants.infer_schemas(records, registry.KEYS))
     return registry.table_definitions(registry.read_schemas(spark, root))
 
 

@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.caseSensitive": "true",
     # of a key written twice in one object, the last value counts
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # a stored VARIANT must keep each number as it was written: shredded by a common
+    # type, whole numbers come back as decimals
+    "spark.sql.variant.inferShreddingSchema": "false",
     # user_id=007 must stay the text "007"
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # an overwrite replaces only the partitions it writes

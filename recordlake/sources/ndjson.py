@@ -30,6 +30,10 @@ STRICT_JSON = {
     "maxNestingDepth": "100000",
 }
 
+# a text of fewer bytes always fits: VARIANT holds 16 MiB in the oldest version that has it,
+# and a value takes at most a few times the bytes of its text
+VARIANT_SAFE_BYTES = 1 << 21
+
 # keys no record holds: one proves the line ended where it should, the other
 # stands for content that is checked but not kept
 _END = "end_of_line_7f3a9c51"
@@ -84,6 +88,12 @@ def is_filled(line: Column) -> Column:
     return line.rlike(r"\S")
 
 
+def is_oversized(line: Column) -> Column:
+    """Whether a record is beyond the size of a VARIANT; only long lines are tried."""
+    long = F.octet_length(line) > VARIANT_SAFE_BYTES
+    return F.when(long, F.try_parse_json(line).isNull()).otherwise(F.lit(False))
+
+
 def parse_record(line: Column, schema: T.StructType) -> Column:
     return F.from_json(line, schema, STRICT_JSON)
 
@@ -105,12 +115,18 @@ def parse_lines(lines: DataFrame, schema: T.StructType, *, text: str | None = No
 
 
 def judge_lines(lines: DataFrame) -> DataFrame:
-    """Add what ``audit_files`` has to know of each line."""
-    filled = is_filled(F.col("value"))
+    """Add what ``audit_files`` has to know of each line.
+
+    Bytes that are no UTF-8, which a reader of text would replace in silence,
+    make a line bad, and so does a record too large for a VARIANT.
+    """
+    value = F.col("value")
+    filled = is_filled(value)
+    good = F.is_valid_utf8(value) & is_record(value) & ~is_oversized(value)
     return lines.select(
         "*",
         filled.alias(FILLED),
-        (filled & ~is_record(F.col("value"))).alias(BAD),
+        (filled & ~good).alias(BAD),
         F.monotonically_increasing_id().alias(POSITION),
     )
 

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from recordlake.functions.names import quoted
 from recordlake.sources.layout import LOADED_LEVELS, lineage
-from recordlake.sources.ndjson import SOURCE_FILE, read_ndjson
+from recordlake.sources.ndjson import ORIGIN, SOURCE_FILE, read_ndjson
+from recordlake.sources.variants import with_columns
 
 SMALL_SCAN = 8
 
@@ -94,6 +95,18 @@ def paired(inputs: str | Sequence[str], outputs: str | Sequence[str]) -> list[tu
     return list(zip(inputs, outputs))
 
 
+def load_records(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """What ``load_ndjson`` gives, from records that ``variants.read_records`` has stored.
+
+    The schema is one that ``infer_schemas`` found in those same records, so
+    the text is not read again. The records come from the landing layout, whose
+    levels they have as columns.
+    """
+    named = records.drop(*ORIGIN).withColumnRenamed("model", "resource_type")
+    loaded = with_columns(named, schema)
+    return loaded.select(*[quoted(c) for c in schema.names], *[c for c in LOADED_LEVELS if c not in schema.names])
+
+
 def load_ndjson(
     spark: SparkSession,
     paths: str | Sequence[str],
