@@ -336,6 +336,37 @@ def clashing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(parse_record(F.col("value"), CLASHING_SCHEMA).alias("r")).select("r.*")
 
 
+ORDERED_SCHEMA = _struct(
+    id=_TEXT,
+    subKey=_TEXT,
+    SubKey=_TEXT,
+    sub=_struct(Code=_LONG, code=_LONG),
+)
+
+
+def ordered_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``text`` and parsed columns: names that clash, in either order, one of them null at times."""
+    line, part = F.col("l_linenumber"), F.col("l_partkey").cast("string")
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), line.cast("string"))
+    spelt = {
+        "low": F.concat(F.lit('"subKey":"low'), part, F.lit('"')),
+        "high": F.when(line % 3 == 0, F.lit('"SubKey":null')).otherwise(
+            F.concat(F.lit('"SubKey":"high'), part, F.lit('"'))
+        ),
+        "sub": F.when(line % 2 == 0, F.lit('"sub":{"Code":1,"code":2}')).otherwise(
+            F.lit('"sub":{"code":2,"Code":1}')
+        ),
+    }
+
+    def text(*order: str) -> Column:
+        body = F.concat_ws(",", *[spelt[name] for name in order])
+        return F.concat(F.lit('{"id":"'), key, F.lit('",'), body, F.lit("}"))
+
+    record = F.when(line % 2 == 0, text("low", "sub", "high")).otherwise(text("high", "sub", "low"))
+    lines = table(spark, sf_dir, "lineitem").select(record.alias("text"))
+    return lines.select("text", parse_record(F.col("text"), ORDERED_SCHEMA).alias("r")).select("text", "r.*")
+
+
 # ---- NDJSON files of events ----
 
 EVENT_SCHEMA = _struct(
@@ -473,6 +504,41 @@ def write_record_files(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+# ---- promises and arrivals ----
+
+PROMISE_WAVES = 2
+_CLOSING = "2030-01-01"
+
+
+def promised_files(spark: SparkSession, sf_dir: str, wave: int) -> tuple[DataFrame, DataFrame]:
+    """What a wave promises (url, promised_at) and what arrives in it (url, arrived_at).
+
+    Every tenth event is a file. One of three never comes; of the others one of
+    seven comes two days late, in the later wave or not at all in time. After
+    the last wave both go on far later, so that all promises run out.
+    """
+    events = table(spark, sf_dir, "events").where(F.col("event_id") % 10 == 0)
+    url = F.concat(F.lit("files/"), F.col("event_id").cast("string"))
+    late = F.when(F.col("event_id") % 7 == 0, F.expr("INTERVAL 2 DAYS")).otherwise(F.expr("INTERVAL 2 HOURS"))
+    files = events.select(
+        "event_id",
+        url.alias("url"),
+        F.col("ts").cast("timestamp").alias("promised_at"),
+        (F.col("ts").cast("timestamp") + late).alias("arrived_at"),
+    )
+    if wave == PROMISE_WAVES:
+        end = [("files/end", f"{_CLOSING} 00:00:00")]
+        closing = spark.createDataFrame(end, "url string, at string").withColumn("at", F.col("at").cast("timestamp"))
+        return (closing.withColumnRenamed("at", c) for c in ("promised_at", "arrived_at"))
+    middle = F.lit("2024-01-15").cast("timestamp")
+
+    def of_wave(at: str) -> Column:
+        return F.col(at) < middle if wave == 0 else F.col(at) >= middle
+
+    come = files.where((F.col("event_id") % 3 != 0) & of_wave("arrived_at"))
+    return files.where(of_wave("promised_at")).select("url", "promised_at"), come.select("url", "arrived_at")
+
+
 # ---- control rows ----
 
 

@@ -20,6 +20,8 @@ at hand, ``text`` keeps the written nulls as entries.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -39,10 +41,14 @@ class Leaf:
     """One output column before name collisions are settled."""
 
     name: str
-    source: str
+    path: tuple[str, ...]
     value: Column
     data_type: T.DataType
 
+    @property
+    def source(self) -> str:
+        return ".".join(self.path)
+
 
 def flatten(
     df: DataFrame,
@@ -58,7 +64,10 @@ def flatten(
 
     Two raw keys can end in one name (``Id`` and ``id``). ``on_collision``
     is ``"error"``, or ``"coalesce"``: the later key in schema order wins
-    where it is present, and keys of one list of objects are all appended.
+    where it is present, and keys of one list of objects are all appended. With
+    ``"last"``, which needs ``text``, the key that the record's own text has
+    last wins, even by a null; keys of one list are appended as before. A key
+    with a quote ``'`` in its name cannot be placed in a text and is an error.
 
     A list holding nulls among its objects is not a list of objects: it stays
     whole under its own name and yields no per-key lists. With
@@ -72,8 +81,10 @@ def flatten(
     the record; they come first, as they are, and should start with ``_``, which
     no flattened name does.
     """
-    if on_collision not in ("error", "coalesce"):
-        raise ValueError(f"on_collision must be 'error' or 'coalesce', not {on_collision!r}")
+    if on_collision not in ("error", "coalesce", "last"):
+        raise ValueError(f"on_collision must be 'error', 'coalesce' or 'last', not {on_collision!r}")
+    if on_collision == "last" and text is None:
+        raise ValueError("on_collision='last' needs the records' text")
     if null_elements not in ("skip", "keep"):
         raise ValueError(f"null_elements must be 'skip' or 'keep', not {null_elements!r}")
 
@@ -91,7 +102,8 @@ def flatten(
     if clashes and on_collision == "error":
         raise ValueError(f"raw keys share a column name: {clashes}")
     carried = [F.col(quoted(c)) for c in carry]
-    return df.select(*carried, *[_settle(name, leaves[name]) for name in sorted(leaves)])
+    order = F.col(quoted(text)) if on_collision == "last" else None
+    return df.select(*carried, *[_settle(name, leaves[name], order) for name in sorted(leaves)])
 
 
 @dataclass(frozen=True)
@@ -109,18 +121,18 @@ class _Walk:
             if isinstance(field.dataType, T.StructType):
                 yield from self.object_leaves(field.dataType, raw, name + self.sep)
             elif not isinstance(field.dataType, T.ArrayType):
-                yield Leaf(name, ".".join(raw), column, field.dataType)
+                yield Leaf(name, raw, column, field.dataType)
             elif isinstance(field.dataType.elementType, T.StructType):
                 yield from self.list_leaves(field.dataType, raw, name)
             else:
                 filled = F.when(F.size(column) > 0, column)
-                yield Leaf(name, ".".join(raw), filled, field.dataType)
+                yield Leaf(name, raw, filled, field.dataType)
 
     def list_leaves(self, list_type, raw, name) -> Iterator[Leaf]:
         items = F.col(quoted(*raw))
         has_null = F.exists(items, lambda item: item.isNull())
         if self.null_elements == "keep":
-            yield Leaf(name, ".".join(raw), F.when(has_null, items), list_type)
+            yield Leaf(name, raw, F.when(has_null, items), list_type)
 
         keys: dict[str, list[T.StructField]] = defaultdict(list)
         for field in list_type.elementType.fields:
@@ -133,9 +145,9 @@ class _Walk:
                 found = F.when(~F.coalesce(has_null, F.lit(False)), found)
             leaf_type = T.ArrayType(fields[0].dataType)
             # raw keys of one element append: they are one leaf, but still a clash
-            yield Leaf(name + self.sep + key, ".".join((*raw, fields[0].name)), found, leaf_type)
+            yield Leaf(name + self.sep + key, (*raw, fields[0].name), found, leaf_type)
             for extra in fields[1:]:
-                yield Leaf(name + self.sep + key, ".".join((*raw, extra.name)), None, leaf_type)
+                yield Leaf(name + self.sep + key, (*raw, extra.name), None, leaf_type)
 
     def values(self, items, raw, fields) -> Column:
         parsed = _values_of(items, fields)
@@ -182,10 +194,30 @@ def _json_path(*keys: str) -> str:
     return "$" + "".join(f"[{quote}{key}{quote}]" for key, quote in zip(keys, quotes))
 
 
-def _settle(name: str, found: list[Leaf]) -> Column:
+def _place(record: Column, path: tuple[str, ...]) -> Column:
+    """Where a key stands in a record's text, level by level; null if it does not."""
+    if any("'" in key for key in path):
+        raise ValueError(f"cannot place {path} in a text: its name has a quote")
+    steps = []
+    for depth, key in enumerate(path):
+        above = "".join(f"['{k}']" for k in path[:depth])
+        held = F.get_json_object(record, f"${above}") if depth else record
+        steps.append(F.array_position(F.json_object_keys(held), key))
+    there = [F.coalesce(step, F.lit(0)) > 0 for step in steps]
+    return F.when(functools.reduce(operator.and_, there), F.array(*steps))
+
+
+def _settle(name: str, found: list[Leaf], record: Column | None = None) -> Column:
     values = [leaf for leaf in found if leaf.value is not None]
     if len(values) == 1:
         return values[0].value.alias(name)
     if len({leaf.data_type for leaf in values}) > 1:
         raise ValueError(f"raw keys {[leaf.source for leaf in values]} share {name!r} but not a type")
-    return F.coalesce(*[leaf.value for leaf in reversed(values)]).alias(name)
+    if record is None:
+        return F.coalesce(*[leaf.value for leaf in reversed(values)]).alias(name)
+    places = [_place(record, leaf.path) for leaf in values]
+    last = F.greatest(*places)  # skips what is not there
+    chosen = F.lit(None)
+    for leaf, place in zip(values, places):
+        chosen = F.when(place == last, leaf.value).otherwise(chosen)
+    return chosen.alias(name)

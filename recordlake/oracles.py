@@ -347,6 +347,24 @@ ORACLES |= {
     "quarantine_good": f"""
   select cast(user_id % 8 as varchar) as bucket, {EVENT_COLUMNS}
   from events where user_id % 8 <> 3""",
+    "flatten_last_key": """
+  select l_orderkey || '-' || l_linenumber as id,
+    case when l_linenumber % 2 = 1 then 'low' || l_partkey
+      when l_linenumber % 3 <> 0 then 'high' || l_partkey end as sub_key,
+    case when l_linenumber % 2 = 0 then 2 else 1 end::bigint as sub__code
+  from lineitem""",
+    "incremental_units": f"""
+  select cast(user_id % 8 as varchar) as bucket, {EVENT_COLUMNS}
+  from events where user_id % 8 <> 3""",
+    "absent_arrivals": """
+  select 'files/' || event_id as url, regexp_replace(cast(ts as varchar), '[.]?0+$', '') as promised_at
+  from events where event_id % 10 = 0 and (event_id % 3 = 0 or event_id % 7 = 0)""",
+    "stage_counts": f"""with {OBSERVATION}, {IMMUNIZATION}, {IMPRESSION}, {MEDICATION}, {ALL_RECORDS},
+counted as (
+  select count(*) as n, count(*) filter (not (resource_type = 'Observation'
+    and cast(participant_id as bigint) % 15 = 3)) as good from records)
+  select unnest(['read', 'filled', 'bad', 'kept', 'staged', 'written']) as stage,
+    unnest([n + 1, n + 1, 1, good, good, good]) as n from counted""",
     "key_census": f"""with {KEY_COUNTS} select * from counted""",
     "undeclared_keys": f"""with {KEY_COUNTS}
   select * from counted where path like 'extraInfo%' or path = 'emptyObj'""",

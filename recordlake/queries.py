@@ -12,6 +12,7 @@ from recordlake.fixtures import AS_OF, raw_records, table
 from recordlake.functions.names import camel_to_snake, camel_to_snake_value, snake_case_value
 from recordlake.functions.times import MILLIS_Z
 from recordlake.operators import control
+from recordlake.operators.counts import StageReport
 from recordlake.operators.explode import explode_flatten
 from recordlake.operators.flatten import flatten
 from recordlake.operators.staging import stage
@@ -30,7 +31,8 @@ from recordlake.plans.specs import (
 from recordlake.plans.stored_chain import medical_records_stored
 from recordlake.session import lake_session, scratch_dir
 from recordlake.sources import layout, ndjson, registry, tables, variants
-from recordlake.streaming.incremental import ingest_new_files
+from recordlake.streaming.arrivals import absent_files, write_absent
+from recordlake.streaming.incremental import accepted, ingest_new_files, ingest_units
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -302,6 +304,13 @@ def flatten_written_nulls(spark, sf_dir):
     return flat.select("id", listed("items__qty"), F.array_join("items__note", "|", "~").alias("items__note"))
 
 
+@query
+def flatten_last_key(spark, sf_dir):
+    """Of names that clash, the key that the record's text has last."""
+    flat = flatten(fixtures.ordered_records(spark, sf_dir), text="text", on_collision="last")
+    return flat.select("id", "sub_key", "sub__code")
+
+
 def _path_text(path: str = "path") -> Column:
     keys = F.transform(path, lambda k: F.coalesce(k, F.lit("[]")))
     return F.array_join(keys, ".").alias("path")
@@ -629,6 +638,59 @@ def incremental_rejects(spark, sf_dir):
     )
 
 
+@query
+def incremental_units(spark, sf_dir):
+    """Buckets that arrive in two waves; the bad line of one comes in the second."""
+    landing, out = scratch_dir(spark, "unit-arrivals"), scratch_dir(spark, "units")
+    checkpoint = scratch_dir(spark, "unit-checkpoint")
+    lines = fixtures.event_lines(spark, sf_dir, broken=True)
+    late = F.xxhash64("value") % 2 == 0
+    bad = F.col("value") == fixtures.BROKEN_LINE
+    for wave in (lines.where(~late & ~bad), lines.where(late | bad)):
+        wave.write.mode("append").partitionBy("bucket").text(landing)
+        ingest_units(
+            spark, landing, fixtures.EVENT_SCHEMA, out, checkpoint, unit_pattern=fixtures.BUCKET_DIRECTORY
+        )
+    good = accepted(spark, out, unit_pattern=fixtures.BUCKET_DIRECTORY)
+    return good.select("bucket", *fixtures.EVENT_SCHEMA.names)
+
+
+@query
+def absent_arrivals(spark, sf_dir):
+    """Files that manifests promised and that did not come in time, over two waves."""
+    promises, arrivals = scratch_dir(spark, "promises"), scratch_dir(spark, "file-arrivals")
+    out, checkpoint = scratch_dir(spark, "absent"), scratch_dir(spark, "absent-checkpoint")
+    for wave in range(fixtures.PROMISE_WAVES + 1):
+        promised, arrived = fixtures.promised_files(spark, sf_dir, wave)
+        promised.write.mode("append").parquet(promises)
+        arrived.write.mode("append").parquet(arrivals)
+        streams = [
+            spark.readStream.schema(df.schema).parquet(path)
+            for df, path in ((promised, promises), (arrived, arrivals))
+        ]
+        write_absent(absent_files(*streams), out, checkpoint)
+    return spark.read.schema(promised.schema).parquet(out).select("url", *text_of("promised_at"))
+
+
+@query
+def stage_counts(spark, sf_dir):
+    """How many rows each stage of the record table's making saw."""
+    root = fixtures.write_record_files(spark, sf_dir)
+    days = "/".join(f"{level}=*" for level in layout.LANDING_LEVELS)
+    report = StageReport()
+    records = medical_records(
+        spark,
+        {t: f"{root}/{days}/model={t}" for t in PRIORITY},
+        {t: fixtures.record_schema(spark, sf_dir, t) for t in PRIORITY},
+        as_of=AS_OF,
+        unit_pattern=fixtures.RECORD_DIRECTORY,
+        report=report,
+    )
+    written = report.watch(records, written=F.lit(True))
+    tables.write_table(written, scratch_dir(spark, "counted-records"), ["resource_type"])
+    return report.rows(spark)
+
+
 @query
 def medical_records_from_files(spark, sf_dir):
     """Raw NDJSON with a rejected file, to the partitioned record table, read back."""

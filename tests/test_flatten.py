@@ -182,3 +182,29 @@ def test_explode_flatten_lists_of_lists(json_df):
 def test_no_python_in_the_plan(json_df):
     plan = flatten(json_df(BOAT))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def ordered(spark, *texts):
+    schema = "Id string, id string, sub struct<Code:bigint,code:bigint>, `a b` string, `A b` string"
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    return df.select("text", F.from_json("text", schema).alias("r")).select("text", "r.*")
+
+
+def test_the_last_key_of_the_text_wins(spark):
+    df = ordered(
+        spark,
+        '{"Id":"1","id":"2","sub":{"code":1,"Code":2},"a b":"p","A b":"q"}',
+        '{"id":"2","Id":"1","sub":{"Code":2,"code":1},"A b":"q","a b":"p"}',
+        '{"id":"2","Id":null}',
+        '{"Id":"1"}',
+        "{}",
+    )
+    rows = flatten(df, text="text", on_collision="last").collect()
+    assert [r.id for r in rows] == ["2", "1", None, "1", None]
+    assert [r.sub__code for r in rows] == [2, 1, None, None, None]
+    assert [r["a b"] for r in rows] == ["q", "p", None, None, None]
+
+
+def test_the_last_key_needs_the_text(spark):
+    with pytest.raises(ValueError, match="text"):
+        flatten(ordered(spark, "{}").drop("text"), on_collision="last")
