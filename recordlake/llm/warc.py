@@ -6,18 +6,20 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordlake.llm.frames import written
 from recordlake.session import scratch_dir
 
 ARCHIVE_BYTES = 16 << 20  # uncompressed, after which an archive is closed
 MIN_REVISIT_BYTES = 100
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: RFC 4122, URLs
 LEVEL = 1
+HEAD_END = re.compile(rb"\r?\n\r?\n")
 PIECE = 1 << 16  # bytes of an archive inflated at once
 MAX_HEADER = 1 << 20
 # fixed values: the fields of an ARC record's header line, by version
@@ -131,7 +133,7 @@ def arc_record(version: int, url: str, ip: str, date: str, mime: str, body: byte
 def parse_arc(record: bytes, version: int) -> tuple[dict[str, str], bytes]:
     """Header fields of that version, and the body of just the declared length."""
     line, _, rest = record.partition(b"\n")
-    names, values = ARC_FIELDS[version].split(), line.decode().split(" ")
+    names, values = ARC_FIELDS[version].split(), line.decode("utf-8", "replace").split(" ")
     if len(values) < len(names):
         raise ValueError(f"an ARC {version} header of {len(values)} fields: {line[:200]!r}")
     # blanks may stand in old, unescaped URLs: fields are counted from the end
@@ -164,13 +166,21 @@ def record_id(url: str, date: str, key: str) -> str:
 
 
 def http_parts(block: bytes) -> tuple[bytes, dict[str, str], bytes]:
-    """HTTP header as it stands, its fields by lower-case name, and the payload."""
-    head, _, payload = block.partition(b"\r\n\r\n")
+    """HTTP header as it stands, its fields by lower-case name, and the payload.
+
+    Lines may end in LF alone. A block that does not start as HTTP has no
+    header, and one whose header does not end no payload.
+    """
+    if not block.startswith(b"HTTP/"):
+        return b"", {}, block
+    end = HEAD_END.search(block)
+    head = block[: end.end()] if end else block
     fields = {}
-    for line in head.split(b"\r\n")[1:]:
-        name, _, value = line.partition(b":")
-        fields[name.decode("latin-1").strip().lower()] = value.decode("latin-1").strip()
-    return head + b"\r\n\r\n", fields, payload
+    for line in head.splitlines()[1:]:
+        name, colon, value = line.partition(b":")
+        if colon:
+            fields[name.decode("latin-1").strip().lower()] = value.decode("latin-1").strip()
+    return head, fields, block[len(head) :]
 
 
 def warc_record(fields: dict[str, str], block: bytes) -> bytes:
@@ -211,12 +221,17 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def archives_of(records: Iterator[bytes], opening: bytes, size: int) -> Iterator[bytes]:
-    """Records as gzip members, gathered into archives of about ``size`` bytes each."""
+def archives_of(
+    records: Iterator[bytes], opening: Callable[[bytes], bytes], size: int
+) -> Iterator[bytes]:
+    """Records as gzip members, gathered into archives of about ``size`` bytes each.
+
+    ``opening`` makes the record an archive starts with from the first of the others.
+    """
     parts, held = [], 0
     for record in records:
-        if not parts and opening:
-            parts.append(gzip_member(opening))
+        if not parts:
+            parts.append(gzip_member(opening(record)))
         parts.append(gzip_member(record))
         held += len(record)
         if held >= size:
@@ -264,39 +279,38 @@ def pages_to_arc(
 
     def run(batches):
         opening = arc_version_block(version, "pages.arc", date)
-        yield from blobs(archives_of(records(batches), opening, archive_bytes))
+        yield from blobs(archives_of(records(batches), lambda _: opening, archive_bytes))
 
     return sent.mapInArrow(run, "content binary")
 
 
-CONVERTED = (
-    "archive string, place int, page_id bigint, url string, date string, ip string, mime string, "
-    "digest string, payload_bytes bigint"
+FACTS = (
+    "archive string, place int, page_id bigint, url string, date string, digest string, "
+    "payload_bytes bigint"
 )
 
 
-def converted(archives: DataFrame, blocks: bool) -> DataFrame:
-    """Records of ARC archives with what WARC asks for; with their HTTP blocks if ``blocks``."""
-    names = [f.split()[0] for f in CONVERTED.split(", ")]
-    kinds = [pa.string(), pa.int32(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.binary()]
-    if blocks:
-        names.append("block")
+def page_of(http: dict[str, str]) -> int | None:
+    page = http.get("x-page-id", "")
+    return int(page) if re.fullmatch(r"-?[0-9]{1,18}", page) else None
+
+
+def facts_of(archives: DataFrame) -> DataFrame:
+    """What tells equal payloads apart: a few values for each record of ARC archives."""
+    names = [f.split()[0] for f in FACTS.split(", ")]
+    kinds = [pa.string(), pa.int32(), pa.int64(), *[pa.string()] * 3, pa.int64()]
 
     def rows(path, content):
         for place, fields, block in arc_records(content):
             _, http, payload = http_parts(block)
-            page = http.get("x-page-id")
             yield (
                 path,
                 place,
-                None if page is None else int(page),
+                page_of(http),
                 fields["URL"],
                 iso_date(fields["Archive-date"]),
-                fields["IP-address"],
-                fields["Content-type"],
                 hashlib.sha256(payload).hexdigest(),
                 len(payload),
-                gzip_member(block) if blocks else None,
             )
 
     def run(batches):
@@ -304,12 +318,62 @@ def converted(archives: DataFrame, blocks: bool) -> DataFrame:
             for path, content in zip(*(c.to_pylist() for c in batch.columns)):
                 columns = list(zip(*rows(path, content))) or [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), k) for c, k in zip(columns, kinds)][: len(names)],
-                    names=names,
+                    [pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names
                 )
 
-    return archives.select("path", "content").mapInArrow(
-        run, CONVERTED + ", block binary" * blocks
+    return archives.select("path", "content").mapInArrow(run, FACTS)
+
+
+def warc_of(fields: dict[str, str], block: bytes, of: dict | None) -> bytes:
+    """One ARC record as a WARC record; a revisit of ``of`` if that is given.
+
+    A block with an HTTP head is a response; any other, such as an answer of
+    ``dns:`` or a page stored without its head, is a resource of the ARC
+    record's type.
+    """
+    head, http, payload = http_parts(block)
+    date, digest = iso_date(fields["Archive-date"]), hashlib.sha256(payload).hexdigest()
+    kind = "application/http; msgtype=response" if head else fields["Content-type"]
+    out = {
+        "WARC-Type": "response" if head else "resource",
+        "WARC-Record-ID": record_id(fields["URL"], date, key_of(page_of(http), digest)),
+        "WARC-Date": date,
+        "WARC-Target-URI": fields["URL"],
+        "WARC-IP-Address": fields["IP-address"],
+        "WARC-Payload-Digest": f"sha256:{digest}",
+        "Content-Type": kind,
+    }
+    if of is None:
+        return warc_record(out, block)
+    out |= {
+        "WARC-Type": "revisit",
+        "WARC-Profile": "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest",
+        "WARC-Refers-To": record_id(of["url"], of["date"], key_of(of["page_id"], digest)),
+        "WARC-Refers-To-Target-URI": of["url"],
+        "WARC-Refers-To-Date": of["date"],
+        # no field of the format has it, and a head need not tell it
+        "X-Payload-Bytes": str(len(payload)),
+    }
+    if of["page_id"] is not None:
+        out["X-Refers-To-Page-Id"] = str(of["page_id"])
+    return warc_record(out, head)
+
+
+def key_of(page_id: int | None, digest: str) -> str:
+    return digest if page_id is None else str(page_id)
+
+
+def warcinfo(first: bytes) -> bytes:
+    """The record that opens a WARC archive, named after the archive's first record."""
+    own = uuid.uuid5(NAMESPACE, hashlib.sha256(first).hexdigest())
+    return warc_record(
+        {
+            "WARC-Type": "warcinfo",
+            "WARC-Record-ID": f"<urn:uuid:{own}>",
+            "WARC-Date": "2000-01-01T00:00:00Z",
+            "Content-Type": "application/warc-fields",
+        },
+        b"software: recordlake\r\nformat: WARC File Format 1.0\r\n",
     )
 
 
@@ -319,85 +383,60 @@ def arc_to_warc(
     min_revisit_bytes: int = MIN_REVISIT_BYTES,
     archive_bytes: int = ARCHIVE_BYTES,
 ) -> DataFrame:
-    """ARC archives (path, content) as WARC archives, one a row of ``content``.
+    """ARC archives (path, content) as WARC archives, one or more rows of ``content`` for each.
 
     Each archive's first record tells its version; header lines are read by
     its fields, and their declared lengths find the next one, in plain files,
     files gzipped whole and files of one or more gzip members alike. Bytes that
-    are no record raise. WARC identifiers
-    follow from URL, date and page, dates are rewritten, and payload digests
-    computed. Of records whose payloads of at least ``min_revisit_bytes``
-    bytes are equal, the one with the smallest page id is the response (of
-    several, or of records without id, the first by archive and place); the
-    others become revisits of it, without payload. Shorter ones are responses.
-
-    Archives are read twice: narrowly for the first of each digest, then whole
-    to be joined to it. A digest that very many records share is summed up
-    before the shuffle, and Spark's skew join splits its rows.
+    are no record raise. WARC identifiers follow from URL, date and page (of a
+    record without page id, from its digest, so that equal records share one),
+    dates are rewritten, and payload digests computed. A record with an HTTP
+    head is a response, one without a resource; a body is kept as it was sent,
+    chunked or not. Of records whose payloads of at least
+    ``min_revisit_bytes`` bytes are equal, the one with the smallest page id
+    stays (of several, or of records without id, the first by archive and
+    place); the others become revisits of it, without payload.
+
+    Archives are read twice: narrowly for a few facts of each record, then
+    whole, each beside the list of its own revisits. Facts alone are compared;
+    a digest that very many records share is summed up before the shuffle.
+    An archive moves once, as it is stored.
     """
-    facts = converted(archives, blocks=False)
+    facts = written(facts_of(archives), "arc-facts")
     order = F.struct(
         F.col("page_id").isNull().alias("none"), "page_id", "archive", "place", "url", "date"
     )
+    long = facts.where(F.col("payload_bytes") >= min_revisit_bytes)
     first = (
-        facts.where(F.col("payload_bytes") >= min_revisit_bytes)
-        .groupBy("digest")
-        .agg(F.min(order).alias("first"), F.count("*").alias("n"))
+        long.groupBy("digest")
+        .agg(F.min(order).alias("of"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("digest", "first")
+        .select("digest", "of")
+    )
+    itself = (F.col("archive") == F.col("of.archive")) & (F.col("place") == F.col("of.place"))
+    # many records may share a digest; theirs are few and short rows
+    lists = (
+        long.join(first, "digest")
+        .where(~itself)
+        .groupBy(F.col("archive").alias("path"))
+        .agg(F.collect_list(F.struct("place", "of.page_id", "of.url", "of.date")).alias("revisits"))
     )
-    records = converted(archives, blocks=True)
-    joined = records.join(first, "digest", "left").select(
-        *records.columns,
-        F.when(
-            (F.col("payload_bytes") >= min_revisit_bytes)
-            & ~((F.col("archive") == F.col("first.archive")) & (F.col("place") == F.col("first.place"))),
-            F.col("first"),
-        ).alias("of"),
+    joined = archives.select("path", "content").join(
+        written(lists, "revisits").hint("merge"), "path", "left"
     )
 
-    def warc(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                (block,) = gunzip_members(r["block"])
-                key = str(r["page_id"])
-                fields = {
-                    "WARC-Type": "response",
-                    "WARC-Record-ID": record_id(r["url"], r["date"], key),
-                    "WARC-Date": r["date"],
-                    "WARC-Target-URI": r["url"],
-                    "WARC-IP-Address": r["ip"],
-                    "WARC-Payload-Digest": f"sha256:{r['digest']}",
-                    "Content-Type": "application/http; msgtype=response",
-                }
-                of = r["of"]
-                if of:
-                    block = http_parts(block)[0]
-                    fields |= {
-                        "WARC-Type": "revisit",
-                        "WARC-Profile": "http://netpreserve.org/warc/1.0/revisit/"
-                        "identical-payload-digest",
-                        "WARC-Refers-To": record_id(of["url"], of["date"], str(of["page_id"])),
-                        "WARC-Refers-To-Target-URI": of["url"],
-                        "WARC-Refers-To-Date": of["date"],
-                    }
-                    if of["page_id"] is not None:
-                        fields["X-Refers-To-Page-Id"] = str(of["page_id"])
-                yield warc_record(fields, block)
+    def warc(content, revisits):
+        known = {r["place"]: r for r in revisits or ()}
+        for place, fields, block in arc_records(content):
+            yield warc_of(fields, block, known.get(place))
 
     def run(batches):
-        info = warc_record(
-            {
-                "WARC-Type": "warcinfo",
-                "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>",
-                "WARC-Date": "2000-01-01T00:00:00Z",
-                "Content-Type": "application/warc-fields",
-            },
-            b"software: recordlake\r\nformat: WARC File Format 1.0\r\n",
-        )
-        yield from blobs(archives_of(warc(batches), info, archive_bytes))
+        for batch in batches:
+            for row in range(batch.num_rows):
+                content, revisits = (batch.column(i)[row].as_py() for i in (1, 2))
+                yield from blobs(archives_of(warc(content, revisits), warcinfo, archive_bytes))
 
-    return joined.mapInArrow(run, "content binary")
+    return joined.select("path", "content", "revisits").mapInArrow(run, "content binary")
 
 
 WARC_ROW = (
@@ -407,10 +446,12 @@ WARC_ROW = (
 
 
 def read_warc(archives: DataFrame) -> DataFrame:
-    """One row per response or revisit of WARC archives (path, content).
+    """One row per response, resource or revisit of WARC archives (path, content).
 
-    A response's payload is measured and hashed, and must have the digest that
-    its header gives; a revisit's figures are those its headers give.
+    The payload of a response or resource is measured and hashed, and must have
+    the digest that its header gives, if that is a SHA-256. A revisit's digest
+    and length are those its headers give (a length that none gives is null),
+    and so is the page it refers to.
     """
     names = [f.split()[0] for f in WARC_ROW.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), *[pa.string()] * 3]
@@ -419,17 +460,22 @@ def read_warc(archives: DataFrame) -> DataFrame:
         for record in gunzip_members(content):
             fields, block = parse_warc(record)
             kind = fields["WARC-Type"]
-            if kind not in ("response", "revisit"):
+            if kind not in ("response", "resource", "revisit"):
                 continue
             _, http, payload = http_parts(block)
-            digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
-            length = int(http["content-length"])
-            if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
-                raise ValueError(f"the payload of {fields['WARC-Record-ID']} has another digest")
-            page, of = http.get("x-page-id"), fields.get("X-Refers-To-Page-Id")
+            named = fields.get("WARC-Payload-Digest", "")
+            if kind == "revisit":
+                digest = named.removeprefix("sha256:") or None
+                length = fields.get("X-Payload-Bytes", http.get("content-length", ""))
+                length = int(length) if length.isdigit() else None
+            else:
+                digest, length = hashlib.sha256(payload).hexdigest(), len(payload)
+                if named.startswith("sha256:") and named != f"sha256:{digest}":
+                    raise ValueError(f"the payload of {fields['WARC-Record-ID']} has another digest")
+            of = fields.get("X-Refers-To-Page-Id")
             yield (
-                None if page is None else int(page),
-                len(payload) if kind == "response" else length,
+                page_of(http),
+                length,
                 digest,
                 kind,
                 None if of is None else int(of),
