@@ -396,7 +396,50 @@ def test_arc_layouts_give_all_records(base_spark, version):
             list(warc.arc_records(bad))
     rows = [(k, bytearray(v)) for k, v in list(layouts.items())[:5]]
     df = base_spark.createDataFrame(rows, "path string, content binary")
-    assert warc.converted(df, blocks=False).count() == 5 * len(bodies)
+    assert warc.facts_of(df).count() == 5 * len(bodies)
+
+
+def test_foreign_records_become_warc(base_spark):
+    page = b"<p>an old page, long enough to be revisited</p>" * 4
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n5\r\nhello\r\n0\r\n\r\n"
+    records = [
+        ("http://crlf/", "text/html", b"HTTP/1.1 200 OK\r\nContent-Length: 9\r\n\r\n" + page),
+        ("http://lf/", "text/html", b"HTTP/1.0 200 OK\nServer: old\n\n" + page),
+        ("http://headless/", "text/html", page),
+        ("dns:example.com", "text/dns", b"19990101000000\nexample.com. 300 IN A 1.2.3.4\n"),
+        ("http://chunked/", "text/html", chunked),
+        ("http://cut/", "text/html", b"HTTP/1.1 204 No Content\r\nX-Page-Id: x1"),
+        ("http://empty/", "no-type", b""),
+        ("http://latin/\xe9".encode("latin-1"), "text/html", b"HTTP/1.1 200 OK\r\n\r\nshort"),
+    ]
+    parts = [warc.arc_version_block(1, "x", "1999")]
+    for url, mime, body in records:
+        raw = url if isinstance(url, bytes) else url.encode()
+        parts.append(raw + f" 1.2.3.4 19990101000000 {mime} {len(body)}\n".encode() + body + b"\n")
+    df = base_spark.createDataFrame([("a", bytearray(b"".join(parts)))], "path string, content binary")
+    made = warc.arc_to_warc(df).collect()
+    assert [r.content for r in made] == [r.content for r in warc.arc_to_warc(df).collect()]
+    blocks = [warc.parse_warc(m) for r in made for m in warc.gunzip_members(r.content)]
+    kinds = {f["WARC-Target-URI"]: (f["WARC-Type"], f.get("Content-Type")) for f, _ in blocks[1:]}
+    http = "application/http; msgtype=response"
+    assert blocks[0][0]["WARC-Type"] == "warcinfo" and len(kinds) == len(records)
+    assert kinds["dns:example.com"] == ("resource", "text/dns")
+    assert kinds["http://crlf/"] == ("response", http) and kinds["http://chunked/"] == ("response", http)
+    assert kinds["http://lf/"][0] == kinds["http://headless/"][0] == "revisit"
+    heads = {f["WARC-Target-URI"]: block for f, block in blocks[1:]}
+    assert heads["http://headless/"] == b"" and heads["http://lf/"] == b"HTTP/1.0 200 OK\nServer: old\n\n"
+    assert heads["http://chunked/"] == chunked
+    back = base_spark.createDataFrame([(r.content,) for r in made], "content binary").withColumn("path", F.lit("p"))
+    rows = {r.url: r for r in warc.read_warc(back).collect()}
+    same = hashlib.sha256(page).hexdigest()
+    for url in ("http://crlf/", "http://lf/", "http://headless/"):
+        assert (rows[url].payload_bytes, rows[url].payload_digest) == (len(page), same)
+    assert rows["http://chunked/"].payload_bytes == len(chunked.partition(b"\r\n\r\n")[2])
+    assert rows["http://cut/"].payload_bytes == 0 and rows["http://cut/"].page_id is None
+    bare = b"WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Record-ID: <u>\r\nWARC-Date: d\r\nWARC-Target-URI: dns:x\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    foreign = base_spark.createDataFrame([("p", bytearray(warc.gzip_member(bare)))], "path string, content binary")
+    row = warc.read_warc(foreign).first()
+    assert (row.record_type, row.payload_bytes, row.payload_digest) == ("revisit", None, None)
 
 
 # language model
@@ -542,6 +585,17 @@ def test_planted_variants_come_out(base_spark):
     assert wrong <= 0.05 * len(texts) / 3
 
 
+def test_personal_data_does_not_depend_on_partitions(base_spark):
+    texts, planted = planted_personal()
+    texts = [*texts, *[t for v in planted.values() for _, t in v], *texts[:40]]
+    df = base_spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    results = [
+        {r.doc_id: r.spans for r in pii.find_personal_data(df.repartition(n)).collect()} for n in (1, 3, 7)
+    ]
+    assert results[0] == results[1] == results[2]
+    assert any("variant" in s for s in results[0].values())
+
+
 # neighbours
 
 
