@@ -241,7 +241,7 @@ def near_duplicates(
     """
     kept = df.columns if keep is None else keep
     own = without(df.select(*[f"`{c}`" for c in kept]), ["fingerprint", "component_id"]).columns
-    marked = _marked(df, id_column, text, own)
+    marked = written(_marked(df, id_column, text, own), "prints")
     prints = written(marked.groupBy("fp").agg(F.min("__id").alias("first")), "fingerprints")
     rooted = _rooted(prints, chunk)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -255,7 +255,7 @@ def near_duplicates(
 
 
 def _marked(df: DataFrame, id_column: str, text: str, own: list[str]) -> DataFrame:
-    """Written: each row's columns ``own`` as ``__row``, its ``__id`` and fingerprint ``fp``."""
+    """Each row's columns ``own`` as ``__row``, its ``__id`` and fingerprint ``fp``."""
 
     def make():
         return lambda value: (_signed(fingerprint(value)),)
@@ -265,7 +265,7 @@ def _marked(df: DataFrame, id_column: str, text: str, own: list[str]) -> DataFra
         F.col(f"`{id_column}`").alias("__id"),
         F.col(f"`{text}`").alias("__text"),
     )
-    return written(annotate(sent, make, {"fp": "bigint"}, ["__text"], ["__row", "__id"]), "prints")
+    return annotate(sent, make, {"fp": "bigint"}, ["__text"], ["__row", "__id"])
 
 
 def _rooted(prints: DataFrame, chunk: int) -> DataFrame:
@@ -289,26 +289,24 @@ def first_of_group(
 
     Rows are ordered within their group by a few numbers, aggregated partially
     before the shuffle, so the size of a group does not matter. Whole rows move
-    once, by their own number, which spreads the copies of a text.
+    once, by their own number, which spreads the copies of a text; the heads,
+    one for each group, grow with the rows, so they are never broadcast.
     """
     columns = df.columns
+    # numbered as stored: reading it again gives the same numbers
     marked = _marked(df, id_column, text, columns)
+    marked = written(marked.withColumn("number", F.monotonically_increasing_id()), "prints")
     # maps have no hash; rows that differ in nothing else count as alike
     hashed = [c for c in columns if "map<" not in df.schema[c].dataType.simpleString()]
-    # numbered as stored: reading it again gives the same numbers
-    number = F.struct(
-        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")
-    )
     order = F.struct(
         F.col("__id").isNull().alias("none"),
         F.col("__id").alias("id"),
         F.xxhash64(*[F.col("__row").getField(c) for c in hashed]).alias("hash"),
-        number.alias("number"),
+        F.col("number"),
     )
     prints = written(marked.groupBy("fp").agg(F.min(order).alias("first")), "fingerprints")
     heads = _rooted(prints, chunk).groupBy("root").agg(F.min("first").alias("first"))
-    heads = written(heads.select("first.number.file", "first.number.at"), "heads")
-    rows = marked.select("__row", number.alias("n")).select("__row", "n.file", "n.at")
-    return rows.join(heads, ["file", "at"], "left_semi").select(
+    heads = written(heads.select("first.number"), "heads")
+    return marked.join(heads.hint("merge"), "number", "left_semi").select(
         *[F.col("__row").getField(c).alias(c) for c in columns]
     )
