@@ -114,15 +114,17 @@ def parse_lines(lines: DataFrame, schema: T.StructType, *, text: str | None = No
     return lines.where(is_filled(F.col("value"))).select(*kept, fields)
 
 
-def judge_lines(lines: DataFrame) -> DataFrame:
+def judge_lines(lines: DataFrame, *, as_variant: bool = False) -> DataFrame:
     """Add what ``audit_files`` has to know of each line.
 
     Bytes that are no UTF-8, which a reader of text would replace in silence,
-    make a line bad, and so does a record too large for a VARIANT.
+    make a line bad, and ``as_variant`` so does a record too large for a VARIANT.
     """
     value = F.col("value")
     filled = is_filled(value)
-    good = F.is_valid_utf8(value) & is_record(value) & ~is_oversized(value)
+    good = F.is_valid_utf8(value) & is_record(value)
+    if as_variant:
+        good &= ~is_oversized(value)
     return lines.select(
         "*",
         filled.alias(FILLED),

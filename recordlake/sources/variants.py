@@ -44,7 +44,7 @@ def read_records(spark: SparkSession, paths: str | Sequence[str], **options: str
     verdicts (``audit_files``) or columns reads the stored rows. A bad or blank
     line has a null record.
     """
-    lines = judge_lines(read_lines(spark, paths, **options))
+    lines = judge_lines(read_lines(spark, paths, **options), as_variant=True)
     good = F.when(F.col(FILLED) & ~F.col(BAD), F.col("value"))
     others = [quoted(c) for c in lines.columns if c != "value"]
     return materialize(lines.select(*others, F.try_parse_json(good).alias(RECORD)), "records")

@@ -150,4 +150,4 @@ def test_bytes_that_are_no_utf8_make_a_line_bad(spark, tmp_path):
 def test_large_records_are_tried(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ndjson, "VARIANT_SAFE_BYTES", 100)
     (tmp_path / "a.ndjson").write_text(json.dumps({"a": "x" * 500}) + "\n")
-    assert ndjson.audit_files(ndjson.read_lines(spark, str(tmp_path))).first().n_bad == 0
+    assert ndjson.audit_files(variants.read_records(spark, str(tmp_path))).first().n_bad == 0
