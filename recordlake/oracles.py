@@ -408,6 +408,12 @@ counted as (
     "load_parquet": f"""with {LANDING}
   select event_id, ts, event_type, value, source, version, model as resource_type, user_id
   from landing""",
+    "catalog_levels": f"""with {LANDING}
+  select event_id, ts, event_type, value, source, version, model as resource_type, user_id
+  from landing where user_id in ('001', '003')""",
+    "catalog_partitions": f"""with {LANDING}
+  select source, version, model as resource_type, user_id, count(*) as n_records
+  from landing group by all""",
     "ndjson_gz_roundtrip": f"select {EVENT_COLUMNS} from events",
     "parquet_overwrite_roundtrip": """
   select event_id, case when event_type in ('click', 'view') then -1.0 else value end as value,

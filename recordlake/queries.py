@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +31,7 @@ from recordlake.plans.specs import (
 )
 from recordlake.plans.stored_chain import medical_records_stored
 from recordlake.session import lake_session, scratch_dir
-from recordlake.sources import layout, ndjson, registry, tables, variants
+from recordlake.sources import catalog, layout, ndjson, registry, tables, variants
 from recordlake.streaming.arrivals import absent_files, write_absent
 from recordlake.streaming.incremental import accepted, ingest_new_files, ingest_units
 
@@ -506,9 +507,9 @@ def load_merged_types(spark, sf_dir):
     root = fixtures.write_typed_landing(spark, sf_dir)
     records = variants.read_records(spark, root, basePath=root)
     schemas = variants.infer_schemas(records, registry.KEYS)
-    catalog = scratch_dir(spark, "typed-schemas")
-    registry.write_schemas(spark, catalog, schemas)
-    schema = registry.schema_of(registry.read_schemas(spark, catalog), OBSERVATION)
+    known = scratch_dir(spark, "typed-schemas")
+    registry.write_schemas(spark, known, schemas)
+    schema = registry.schema_of(registry.read_schemas(spark, known), OBSERVATION)
     flat = flatten(tables.load_records(records, schema))
     return flat.select("user_id", "event_id", "reading", "of__user_id", listed("of__props"))
 
@@ -571,6 +572,42 @@ def schema_files(spark, sf_dir):
     return registry.table_definitions(registry.read_schema_files(spark, root))
 
 
+def _catalogued(spark: SparkSession, sf_dir: str) -> str:
+    """A table made from the registered schema, loaded from the landing files; its name."""
+    landing, root = fixtures.write_landing(spark, sf_dir), scratch_dir(spark, "catalogued")
+    records = variants.read_records(spark, landing, basePath=landing)
+    registry.write_schemas(spark, f"{root}/schemas", variants.infer_schemas(records, registry.KEYS))
+    known = registry.read_schemas(spark, f"{root}/schemas")
+    wanted = {OBSERVATION: f"observation_{uuid.uuid4().hex}"}
+    (name,) = catalog.define_tables(spark, known, wanted, f"{root}/tables")
+    loaded = tables.load_records(records, registry.schema_of(known, OBSERVATION))
+    catalog.store(loaded, name, rebalance=True)
+    return name
+
+
+@query
+def catalog_levels(spark, sf_dir):
+    """Two participants of a table whose partitions the catalog holds."""
+    name = _catalogued(spark, sf_dir)
+    return catalog.read_levels(spark, name, user_id=["001", "003"], source="events")
+
+
+@query
+def catalog_partitions(spark, sf_dir):
+    """Partitions that a write recorded, and one written past the catalog and adopted."""
+    landing, out = fixtures.write_landing(spark, sf_dir), scratch_dir(spark, "adopted")
+    name = f"adopted_{uuid.uuid4().hex}"
+    catalog.define_table(spark, name, fixtures.LANDING_SCHEMA, out)
+    loaded = tables.load_ndjson(spark, landing, fixtures.LANDING_SCHEMA)
+    loaded = loaded.select(*fixtures.LANDING_SCHEMA.names, *layout.LOADED_LEVELS)
+    late = F.col("user_id") == "002"
+    catalog.store(loaded.where(~late), name, rebalance=True)
+    tables.write_table(loaded.where(late), out, layout.LOADED_LEVELS, rebalance=True)
+    catalog.adopt(spark, name)
+    rows = spark.table(name).groupBy(*layout.LOADED_LEVELS).agg(F.count("*").alias("n_records"))
+    return catalog.partitions(spark, name).join(rows, list(layout.LOADED_LEVELS), "left")
+
+
 # ---- control ----
 
 
@@ -695,13 +732,13 @@ def stage_counts(spark, sf_dir):
 def medical_records_from_files(spark, sf_dir):
     """Raw NDJSON with a rejected file, to the partitioned record table, read back."""
     root = fixtures.write_record_files(spark, sf_dir)
-    catalog = scratch_dir(spark, "record-schemas")
+    schemas = scratch_dir(spark, "record-schemas")
     registry.write_schemas(
         spark,
-        catalog,
+        schemas,
         {("demo", "dstu2", t): fixtures.record_schema(spark, sf_dir, t) for t in PRIORITY},
     )
-    known = registry.read_schemas(spark, catalog)
+    known = registry.read_schemas(spark, schemas)
     days = "/".join(f"{level}=*" for level in layout.LANDING_LEVELS)
     records = medical_records(
         spark,

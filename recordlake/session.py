@@ -5,9 +5,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+
 SETTINGS = {
     # a quoted 'Z' in a pattern is read as wall-clock time of the session zone
     "spark.sql.session.timeZone": "UTC",
@@ -66,3 +72,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(spark: SparkSession, steps: Iterable[Callable[[], Result]]) -> list[Result]:
+    """Run independent Spark jobs at once, so that one's last tasks leave no cores idle.
+
+    Results come in the order of ``steps``; the first failure is raised when all are done.
+    """
+    steps = [inheritable_thread_target(spark)(step) for step in steps]
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        return [done.result() for done in [pool.submit(step) for step in steps]]

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordlake.functions.names import quoted
+
 KEYS = ("source", "version", "model")
 
 # ---- Fixed value: how a schema file without directory levels is named. ----
@@ -112,7 +114,16 @@ def parse_schema(schema_json: str) -> T.StructType:
 
 
 def to_ddl(schema: T.StructType) -> str:
-    """The schema as column DDL, to create a table with."""
-    return ", ".join(
-        f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields
-    )
+    """The schema as column DDL, to create a table with; names are quoted at every depth."""
+    return ", ".join(f"{quoted(f.name)} {_ddl_type(f.dataType)}" for f in schema.fields)
+
+
+def _ddl_type(data_type: T.DataType) -> str:
+    if isinstance(data_type, T.StructType):
+        fields = [f"{quoted(f.name)}: {_ddl_type(f.dataType)}" for f in data_type.fields]
+        return f"struct<{', '.join(fields)}>"
+    if isinstance(data_type, T.ArrayType):
+        return f"array<{_ddl_type(data_type.elementType)}>"
+    if isinstance(data_type, T.MapType):
+        return f"map<{_ddl_type(data_type.keyType)}, {_ddl_type(data_type.valueType)}>"
+    return data_type.simpleString()

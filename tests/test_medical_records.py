@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import types as T
 
 import recordlake.plans.medical_records as plan_module
+import recordlake.plans.stored_chain as chain_module
 from recordlake.plans.medical_records import medical_records
 from recordlake.plans.specs import IMMUNIZATION, MEDICATION_ORDER, OBSERVATION
 from recordlake.session import materialize
@@ -109,3 +110,24 @@ def test_text_is_read_once_and_parsed_only_as_far_as_needed(spark, tmp_path, sch
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "FileScan text" not in plan and "from_json(" not in plan
         assert "Exchange hashpartitioning" not in plan and "Python" not in plan
+
+
+def test_stored_chain_clusters_rows_once(spark, tmp_path, schemas, monkeypatch):
+    plans = {"write_ndjson": [], "write_table": []}
+    for name, seen in plans.items():
+
+        def noted(df, *args, write=getattr(chain_module, name), seen=seen, **options):
+            seen.append(df._jdf.queryExecution().executedPlan().toString())
+            write(df, *args, **options)
+
+        monkeypatch.setattr(chain_module, name, noted)
+    for user in "1", "2":
+        write(tmp_path / f"m/source=s/user_id={user}/version=v/model={OBSERVATION}", one=[observation("a")])
+    records = chain_module.medical_records_stored(
+        spark, {OBSERVATION: str(tmp_path / "m")}, schemas, str(tmp_path / "chain"), source="s", version="v", as_of=AS_OF
+    )
+    assert sorted(r.participant_id for r in records.collect()) == ["1", "2"]
+    (flat,), (loaded, staged) = plans.values()
+    assert flat.count("Exchange") == flat.count("BroadcastExchange") + 1
+    for plan in loaded, staged:
+        assert plan.count("Exchange") == plan.count("BroadcastExchange")
