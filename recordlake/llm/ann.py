@@ -17,6 +17,7 @@ CELL_ROWS = 4096
 QUERY_ROWS = 512
 LEAF_ROWS = 64
 STEP_LEAVES = 8
+EXACT_ROWS = 65_536
 CONFIDENCE = 0.995
 
 
@@ -53,8 +54,8 @@ class Space:
             extra = np.sqrt(np.maximum(self.largest - np.einsum("ij,ij->i", x, x), 0))
         return x @ self.directions[:-1] + extra[:, None] * self.directions[-1]
 
-    def squared(self, q: np.ndarray, score: float) -> float:
-        return max(0.0, self.largest + float(q @ q) - 2 * score)
+    def squared(self, q: np.ndarray, score: np.ndarray) -> np.ndarray:
+        return np.maximum(self.largest + np.einsum("ij,ij->i", q, q) - 2 * score, 0)
 
 
 def kd_split(points: np.ndarray, rows: np.ndarray, most: int) -> list[np.ndarray]:
@@ -111,14 +112,18 @@ class Cells:
         go(self.cuts, np.arange(len(points)))
         return out
 
-    def squared(self, point: np.ndarray) -> np.ndarray:
-        return box_distance(point, self.low, self.high)
+    def squared(self, points: np.ndarray) -> np.ndarray:
+        return box_distances(points, self.low, self.high)
 
 
-def box_distance(point: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Least squared distance from a point to each box."""
-    off = np.maximum(np.maximum(low - point, point - high), 0)
-    return np.einsum("ij,ij->i", off, off)
+def box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Least squared distance from each point to each box."""
+    away = np.zeros((len(points), len(low)))
+    for side in range(points.shape[1]):
+        own = points[:, side, None]
+        off = np.maximum(np.maximum(low[:, side] - own, own - high[:, side]), 0)
+        away += off * off
+    return away
 
 
 class Index:
@@ -131,38 +136,60 @@ class Index:
         self.bounds = np.cumsum([0] + [len(leaf) for leaf in leaves])
         order = np.concatenate(leaves)
         self.ids, self.x = ids[order], np.ascontiguousarray(x[order])
+        self.widest = int(np.diff(self.bounds).max())
         self.low = np.array([points[leaf].min(axis=0) for leaf in leaves])
         self.high = np.array([points[leaf].max(axis=0) for leaf in leaves])
 
-    def search(self, own: int, q: np.ndarray, k: int, reach: float, bound: float):
-        """The ``k`` largest products found, the query's own id left out.
+    def search(self, own: np.ndarray, q: np.ndarray, k: int, reach: np.ndarray, bound: float):
+        """Each query's ``k`` largest products: places of queries, ids and scores.
 
-        Leaves come in order of projected distance; their rows are verified on
-        the vectors themselves. The search stops when the next leaf is so far
-        off that the test holds for the ``k``-th distance found, or for
-        ``reach``, the squared distance known from before.
+        A query takes leaves in order of projected distance, ``STEP_LEAVES`` at a
+        time, and their rows are verified on the vectors themselves, all queries
+        that are at a leaf at once. It stops when its next leaf is so far off
+        that the test holds for the ``k``-th distance found, or for its
+        ``reach``, the squared distance known from before. Its own id is left out.
         """
-        away = box_distance(self.space.project(q[None], query=True)[0], self.low, self.high)
-        order = np.argsort(away, kind="stable")
-        ids, scores = np.zeros(0, np.int64), np.zeros(0)
-        for at in range(0, len(order), STEP_LEAVES):
-            if len(ids) >= k:
-                reach = min(reach, self.space.squared(q, float(scores[-1])))
-            if away[order[at]] > bound * reach:
+        away = box_distances(self.space.project(q, query=True), self.low, self.high)
+        order = np.argsort(away, axis=1, kind="stable")
+        squares = np.einsum("ij,ij->i", q, q)
+        reach = reach.copy()
+        products = np.full((len(q), len(self.ids)), -inf)
+        best = np.full((len(q), k), -inf)
+        going = np.arange(len(q))
+        for at in range(0, order.shape[1], STEP_LEAVES):
+            nearest_leaf = away[going, order[going, at]]
+            going = going[nearest_leaf <= bound * reach[going]]
+            if not len(going):
                 break
-            rows = np.concatenate(
-                [
-                    np.arange(self.bounds[leaf], self.bounds[leaf + 1])
-                    for leaf in order[at : at + STEP_LEAVES]
-                ]
-            )
-            rows = rows[self.ids[rows] != own]
-            ids = np.concatenate((ids, self.ids[rows]))
-            # summed row by row alike, so that equal vectors have equal scores
-            scores = np.concatenate((scores, (self.x[rows] * q).sum(axis=1)))
-            best = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[best], scores[best]
-        return ids, scores
+            taken = order[going, at : at + STEP_LEAVES]
+            step = np.full((len(going), STEP_LEAVES, self.widest), -inf)
+            for leaf in np.unique(taken):
+                mine, slot = np.nonzero(taken == leaf)
+                asks = going[mine]
+                rows = slice(self.bounds[leaf], self.bounds[leaf + 1])
+                found = q[asks] @ self.x[rows].T
+                found[own[asks][:, None] == self.ids[rows]] = -inf
+                step[mine, slot, : found.shape[1]] = found
+                products[asks, rows] = found
+            both = np.concatenate((best[going], step.reshape(len(going), -1)), axis=1)
+            best[going] = -np.partition(-both, k - 1, axis=1)[:, :k]
+            last = best[going].min(axis=1)
+            full = last > -inf
+            sure = going[full]
+            reach[sure] = np.minimum(reach[sure], self.space.squared(q[sure], last[full]))
+        # a product depends on its place in a block by rounding: what may be among
+        # the k best is summed row by row alike, so that equal vectors have equal scores
+        slack = 4 * q.shape[1] * np.finfo(float).eps * np.sqrt(squares * self.space.largest)
+        place, row = np.nonzero((products > -inf) & (products >= (best.min(axis=1) - slack)[:, None]))
+        scores = np.zeros(len(place))
+        for at in range(0, len(place), EXACT_ROWS):
+            some = slice(at, at + EXACT_ROWS)
+            scores[some] = (self.x[row[some]] * q[place[some]]).sum(axis=1)
+        ids = self.ids[row]
+        sort = np.lexsort((ids, -scores, place))
+        place, ids, scores = place[sort], ids[sort], scores[sort]
+        rank = np.arange(len(place)) - np.searchsorted(place, place)
+        return place[rank < k], ids[rank < k], scores[rank < k]
 
 
 def usable(vector: Column) -> Column:
@@ -294,17 +321,9 @@ def nearest(
                 own = np.frombuffer(r["q_ids"], np.int64)
                 reach = np.frombuffer(r["q_reach"], np.float64)
                 asked = np.frombuffer(r["q_vectors"], np.float64).reshape(-1, dim)
-                found = [
-                    last[1].search(int(i), q, k, float(d), bound)
-                    for i, q, d in zip(own, asked, reach)
-                ]
-                sizes = [len(ids) for ids, _ in found]
+                place, ids, scores = last[1].search(own, asked, k, reach, bound)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(own, sizes)),
-                        pa.array(np.concatenate([ids for ids, _ in found])),
-                        pa.array(np.concatenate([scores for _, scores in found])),
-                    ],
+                    [pa.array(own[place]), pa.array(ids), pa.array(scores)],
                     names=["query_id", "vec_id", "score"],
                 )
 
@@ -326,28 +345,27 @@ def nearest(
     last = first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), "score")
 
     def route(batches):
-        for batch in batches:
-            x = matrix(batch.column("vector"), dim)
-            known = batch.column("score").to_pylist()
-            home = batch.column("asked").to_pylist()
-            at, cell, reach = [], [], []
-            for i, p in enumerate(space.project(x, query=True)):
-                near = inf if known[i] is None else space.squared(x[i], known[i])
-                go = np.flatnonzero(cells.squared(p) <= (bound * near if near < inf else inf))
-                go = go[go != home[i]]
-                at += [i] * len(go)
-                cell += go.tolist()
-                reach += [near] * len(go)
-            index = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id").take(index),
-                    batch.column("vector").take(index),
-                    pa.array(reach, pa.float64()),
-                    pa.array(cell, pa.int64()),
-                ],
-                names=["id", "vector", "reach", "cell"],
-            )
+        for whole in batches:
+            for start in range(0, whole.num_rows, query_rows):
+                batch = whole.slice(start, query_rows)
+                x = matrix(batch.column("vector"), dim)
+                score = batch.column("score").to_numpy(zero_copy_only=False).astype(float)
+                home = batch.column("asked").to_numpy(zero_copy_only=False)
+                # a query with fewer than k found knows no distance to stop at
+                reach = np.where(np.isnan(score), inf, space.squared(x, np.nan_to_num(score)))
+                open_ = cells.squared(space.project(x, query=True)) <= bound * reach[:, None]
+                open_[np.arange(len(x)), home] = False
+                at, cell = np.nonzero(open_)
+                index = pa.array(at)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id").take(index),
+                        batch.column("vector").take(index),
+                        pa.array(reach[at]),
+                        pa.array(cell),
+                    ],
+                    names=["id", "vector", "reach", "cell"],
+                )
 
     routed = written(
         queries.join(last, "id", "left")
