@@ -46,8 +46,9 @@ class Lattice:
     A segmentation's weight is the product of its pieces' weights, a piece's
     being 1 / (rank + 1) to the power 1 / temperature, with the rank that the
     model's score gives. A character that no piece spells alone is spelt in
-    bytes. A text is first cut into the chunks of ``CHUNK``; pieces that would
-    cross a cut are not used, so each chunk is filtered and sampled by itself.
+    bytes. A text is first cut into the chunks of ``CHUNK``, joined again where a
+    piece lies across a cut. So no piece is left out, and each chunk is filtered
+    and sampled by itself.
 
     Texts are taken in blocks of chunks, and both passes run over a whole block
     at once: forward over its distinct chunks, one character further at a time;
@@ -74,8 +75,6 @@ class Lattice:
                 self.bytes_of[i] = bytes([int(piece[3:5], 16)])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 plain = piece.replace(SPACE, " ")
-                if not CHUNK.fullmatch(plain) or plain == "\n":
-                    continue
                 rank = min(-model.get_score(i), BYTE_RANK)
                 self.bytes_of[i] = plain.encode()
                 self.endings[plain] = (-log(rank + 1.0) / temperature, [i])
@@ -84,6 +83,10 @@ class Lattice:
                     self.endings.setdefault(plain[at:], None)
         self.byte_weight = -log(BYTE_RANK + 1.0) / temperature
         self.plant(pieces)
+        # pieces that a text's cuts could divide, such as a full stop and a quotation mark
+        self.across = sorted((p for p in pieces if not CHUNK.fullmatch(p)), key=len, reverse=True)
+        self.lying_across = re.compile(f"(?=({'|'.join(map(re.escape, self.across))}))")
+        self.ascii_across = any(p.isascii() for p in self.across)
 
     def plant(self, pieces: list[str]) -> None:
         """Lay the pieces out as a trie in arrays; state 0 is its root, and no way on."""
@@ -313,7 +316,7 @@ class Lattice:
             if not text:
                 continue
             seed = xxhash.xxh64_intdigest(key.encode())
-            for begin, part in parts_of(" " + text):
+            for begin, part in self.parts_of(" " + text):
                 block.append((row, seed, begin, part))
                 held += sum(map(len, part))
                 if held >= BLOCK_CHARS:
@@ -322,6 +325,34 @@ class Lattice:
         flush()
         return [b"".join(parts) for parts in out]
 
+    def parts_of(self, text: str) -> Iterator[tuple[int, list[str]]]:
+        """The chunks of a text, some at a time, each time with the place of the first."""
+        begin, size = 0, BLOCK_CHARS
+        while begin < len(text):
+            chunks = self.chunks_of(text, begin, begin + size)
+            if begin + size < len(text):
+                chunks.pop()  # it may go on
+                if not chunks:
+                    size *= 2
+                    continue
+            yield begin, chunks
+            begin, size = begin + sum(map(len, chunks)), BLOCK_CHARS
+
+    def chunks_of(self, text: str, begin: int, end: int) -> list[str]:
+        """The chunks of ``text[begin:end]``; no piece lies across ``begin``."""
+        chunks = CHUNK.findall(text, begin, end)
+        if not self.across or (text.isascii() and not self.ascii_across):
+            return chunks
+        inside = set()
+        # the longest piece at each place; it may end behind ``end``
+        for found in self.lying_across.finditer(text, begin, end + len(self.across[0])):
+            inside.update(range(found.start(1) + 1, found.end(1)))
+        if not inside:
+            return chunks
+        ends = list(accumulate(map(len, chunks), initial=begin))
+        cuts = [at for at in ends[:-1] if at not in inside] + ends[-1:]
+        return [text[low:high] for low, high in zip(cuts, cuts[1:])]
+
     def decode(self, ids: bytes) -> str:
         """The text that ``ids`` spell, without the space put before every text."""
         numbers = np.frombuffer(ids, "<u4").tolist()
@@ -329,20 +360,6 @@ class Lattice:
         return raw[1:].decode("utf-8", "surrogatepass")
 
 
-def parts_of(text: str) -> Iterator[tuple[int, list[str]]]:
-    """The chunks of a text, some at a time, each time with the place of the first."""
-    begin, size = 0, BLOCK_CHARS
-    while begin < len(text):
-        chunks = CHUNK.findall(text[begin : begin + size])
-        if begin + size < len(text):
-            chunks.pop()  # it may go on
-            if not chunks:
-                size *= 2
-                continue
-        yield begin, chunks
-        begin, size = begin + sum(map(len, chunks)), BLOCK_CHARS
-
-
 def uniform(seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Uniform draws in [0, 1), one for each seed and place: the finalizer of SplitMix64."""
     z = seeds + places.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)

@@ -65,7 +65,7 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_pieces(table(spark, sf_dir, "documents"), digest_only=True, keep=["doc_id"])
+    return sample_pieces(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -328,13 +328,58 @@ def test_samples_follow_the_lattice():
         assert all(abs(seen[k] / n - w / total) < 0.02 for k, w in weights.items())
 
 
+def test_samples_are_of_every_segmentation_by_the_whole_vocabulary():
+    """Against an enumeration of the vocabulary itself, over spaces, marks and unknown characters."""
+    import sentencepiece
+
+    path = piece_sampling.piece_path()
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    weight_of, byte_of = {}, {}
+    for i in range(model.get_piece_size()):
+        if model.is_byte(i):
+            byte_of[int(model.id_to_piece(i)[3:5], 16)] = i
+        elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
+            piece = model.id_to_piece(i).replace("\u2581", " ")
+            weight_of[piece] = i, 1 / (min(-model.get_score(i), piece_sampling.BYTE_RANK) + 1)
+
+    def segmentations(text):
+        if not text:
+            yield (), 1.0
+        for end in range(1, len(text) + 1):
+            if text[:end] in weight_of:
+                ids, weight = [weight_of[text[:end]][0]], weight_of[text[:end]][1]
+            elif end == 1:
+                ids = [byte_of[b] for b in text[0].encode()]
+                weight = (piece_sampling.BYTE_RANK + 1.0) ** -len(ids)
+            else:
+                continue
+            for rest, more in segmentations(text[end:]):
+                yield (*ids, *rest), weight * more
+
+    lattice, rng, n = piece_sampling.Lattice(path), random.Random(11), 4000
+    crossing = [".\u201d", " [\u2026]", "\u201d.\u201d,", "a \u00bb, b", "no.\u2019)"]
+    texts = ["".join(rng.choices("th e.,\u201d\u00bb\n\u6f22\U0001f600an", k=6)) for _ in range(12)]
+    across = set()
+    for text in crossing + texts:
+        weights = dict(segmentations(" " + text))
+        total = sum(weights.values())
+        seen = Counter(
+            struct.unpack(f"<{len(b) // 4}I", b)
+            for b in lattice.encode_all([text] * n, list(map(str, range(n))))
+        )
+        assert set(seen) <= set(weights)
+        assert all(abs(seen[k] / n - w / total) < 0.05 for k, w in weights.items())
+        across |= {i for ids in seen for i in ids}
+    assert {weight_of[p][0] for p in lattice.across} & across
+
+
 def test_samples_do_not_depend_on_blocks(monkeypatch):
     lattice = piece_sampling.Lattice(piece_sampling.piece_path())
-    texts = ["", "x" * 5000 + " \u6f22\U0001f600 end", "a b\nc  d\x00\u2581 " * 300, "\u6f22" * 40]
-    whole = lattice.encode_all(texts, ["k"] * 4)
+    texts = ["", "x" * 5000 + " \u6f22\U0001f600 end", "a b\nc  d\x00\u2581 " * 300, "\u6f22" * 40, "(\u201d." * 90, "end.\u201d \u00bb, " * 99]
+    whole = lattice.encode_all(texts, ["k"] * len(texts))
     assert [lattice.decode(b) for b in whole] == texts
     monkeypatch.setattr(piece_sampling, "BLOCK_CHARS", 64)
-    assert lattice.encode_all(texts, ["k"] * 4) == whole
+    assert lattice.encode_all(texts, ["k"] * len(texts)) == whole
     assert [lattice.encode_all([t], ["k"])[0] for t in texts] == whole
 
 
