@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from math import log2
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -111,10 +112,14 @@ IDENTIFIERS = (
 )
 
 LEVEL = 16
-# the least share of a candidate's length that its compressed bytes take, by length.
-# Measured on random keys (base62, base32, lower-case base36, hex) against identifiers
-# and hyphenated words, each in prose, code-like text and alone: see README
-LEAST = ((16, 0.9), (20, 0.83), (24, 0.8))
+# the least share of a candidate's length that its compressed bytes take. Measured on
+# random keys of six alphabets against names of the Python library: see README
+LEAST = 0.81
+# from here on compression can tell a key's alphabet, and the share falls towards its bits
+LONG, OF_ALPHABET = 128, 0.9
+# words as names are put together from: WordsOfAName, words_of_a_name, WORDS_OF_A_NAME
+WORD = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{3,}(?![a-z])")
+JOINS = re.compile(r"[ _-]+")
 # letters as frequent as in prose: what stands around a candidate in a short text is
 # filled up with it, so that a share means the same in short and long texts
 FILLER = (
@@ -156,9 +161,18 @@ def spans_of(text: str) -> tuple[list[tuple[int, int, int]], list[int]]:
     return spans, counts
 
 
-def least_of(length: int) -> float:
-    """The least share of that length: that of the longest length measured up to it."""
-    return [least for at, least in LEAST if at <= length][-1]
+def least_of(found: str) -> float:
+    """The least share for a candidate, by its length and the number of its characters."""
+    floor = min(LEAST, OF_ALPHABET * log2(len(set(found))) / 8)
+    return floor + (LEAST - floor) * min(1.0, LONG / len(found))
+
+
+def apart(text: str) -> str:
+    """The text with the words of names apart and in lower case, as the dictionary has them.
+
+    Short runs of one case, which keys are made of, stay as they are.
+    """
+    return JOINS.sub(" ", WORD.sub(lambda m: f" {m[0].lower()} ", text))
 
 
 class Novelty:
@@ -166,7 +180,7 @@ class Novelty:
 
     def __init__(self, identifiers: str, window: int, least: float | None):
         words = zstandard.ZstdCompressionDict(
-            identifiers.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
+            apart(identifiers).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
         )
         # parts of words match from three letters on; the fast levels miss many of them
         how = zstandard.ZstdCompressionParameters.from_level(
@@ -185,7 +199,7 @@ class Novelty:
         return len(self.compressor.compress(text.encode("utf-8", "surrogatepass")))
 
     def share(self, text: str, start: int, end: int) -> float:
-        """Compressed bytes the candidate adds, over its own length.
+        """Compressed bytes the candidate adds, over its own length, words of names taken apart.
 
         Equal copies are taken out of what stands around it, also those that
         the window's edge would cut, so that a secret does not hide its like.
@@ -193,9 +207,9 @@ class Novelty:
         found, reach = text[start:end], self.window + end - start
         before = text[max(0, start - reach) : start].replace(found, " ")
         after = text[end : end + reach].replace(found, " ")
-        around = before[max(0, len(before) - self.window) :] + after[: self.window]
-        around = FILLER[: max(0, 2 * self.window - len(around))] + around
-        return (self.size(around + found) - self.size(around)) / (end - start)
+        around = apart(before[max(0, len(before) - self.window) :] + after[: self.window])
+        around = (FILLER + around)[-2 * self.window :] + " "
+        return (self.size(around + apart(found)) - self.size(around)) / (end - start)
 
     def spans(self, text: str, near: int) -> list[tuple[int, int, int]]:
         """Candidates in a sensitive context that do not compress."""
@@ -209,7 +223,7 @@ class Novelty:
                 continue
             if not CONTEXT.search(text, max(0, start - near), start):
                 continue
-            least = least_of(end - start) if self.least is None else self.least
+            least = least_of(m[0]) if self.least is None else self.least
             if self.share(text, start, end) >= least:
                 found.append((start, 3, end))
         return found
@@ -246,7 +260,8 @@ def scan_secrets(
     alone, with a sensitive word within ``near`` characters before them, that
     zstandard, primed with ``identifiers`` and given ``window`` characters on
     either side, cannot shorten below ``least`` bytes a character (if None,
-    what ``LEAST`` gives for their length). A
+    what ``least_of`` gives for their length and alphabet). Before that the words of
+    names, such as ``WordsOfAName``, are taken apart and put in lower case. A
     novel span inside a base span is not repeated; overlapping ones stay.
 
     Spans are ``kind:start:end`` in code points, end exclusive, by start and

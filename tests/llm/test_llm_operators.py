@@ -142,6 +142,27 @@ def test_novelty_tells_keys_from_names(base_spark):
         assert secret_scan.CONTEXT.search(word)
 
 
+def test_novelty_over_library_names_and_keys_of_every_length():
+    import argparse, asyncio, decimal, email, http.client, inspect, logging, socket, ssl, subprocess, unittest  # noqa: E401
+
+    modules = (argparse, asyncio, decimal, email, http.client, inspect, logging, socket, ssl, subprocess, unittest)
+    names = {n for m in modules for o in (m, *vars(m).values()) for n in dir(o)}
+    names = sorted(n for n in names if secret_scan.CANDIDATE.fullmatch(n))
+    novelty, rng = secret_scan.Novelty(secret_scan.IDENTIFIERS, 256, None), random.Random(5)
+
+    def found(word):
+        return bool(novelty.spans(f"the api key of {word} for the host", 48))
+
+    assert len(names) > 300 and sum(map(found, names)) <= 0.03 * len(names)
+    low = "abcdefghijklmnopqrstuvwxyz"
+    for letters in (low + "0123456789", "0123456789ABCDEF", low + low.upper() + "0123456789", low.upper() + "234567"):
+        for n in (16, 24, 64, 256, 512, 1024):
+            keys = ["".join(rng.choices(letters, k=n)) for _ in range(50)]
+            assert sum(map(found, keys)) >= 48
+    for word in ("ReadWriteOncePodVolumeClaim", "-".join(names[:300:20]), "in-and-out-of-the-" * 12 + "house"):
+        assert not found(word)
+
+
 # near-duplicates
 
 
