@@ -15,7 +15,7 @@ from conftest import SF_DIR
 from oracle_check import connect, difference
 from pyspark.sql import functions as F
 
-from recordlake.llm import ann, lm_score, packing, piece_sampling, pii, secret_scan, simhash, warc
+from recordlake.llm import ann, license_rules, lm_score, packing, piece_sampling, pii, secret_scan, simhash, warc
 from recordlake.llm.license_rules import ANCHORS, SENTENCES, scan_licenses
 from recordlake.llm.oracles import ORACLES
 from recordlake.llm.quality import RULES, Cascade, Text, judge_quality
@@ -314,6 +314,70 @@ def test_licence_notices_names_and_identifiers(base_spark):
     assert got == cases
 
 
+def brute_licences(text, sentences, leads, notices):
+    """A plain matcher over all sentences, leads with names, and rules; no SPDX lines."""
+    lines = [re.findall("[a-z0-9]+", line.lower()) for line in text.split("\n")]
+    words = [w for line in lines for w in line]
+    line_of = [n for n, line in enumerate(lines) for _ in line]
+
+    def standing(known, at):
+        return [(at + len(w), name) for w, name in known.items() if tuple(words[at : at + len(w)]) == w]
+
+    found, at = [], 0
+    while at < len(words):
+        # the longest; of equally long ones a sentence, then the notice with the shorter lead
+        ways = [(end, 1, 0, name) for end, name in standing(sentences, at)]
+        for named, lead in standing(leads, at):
+            ways += [(end, 0, -len(lead), f"{name}-named") for end, name in standing(notices, named)]
+        to, _, _, name = max(ways, default=(0, 0, 0, None), key=lambda w: w[:3])
+        if name and "-title-" in name:
+            before = [w for w, n in zip(words[:at], line_of) if n == line_of[at]]
+            if before not in ([], ["the"]) or (to < len(words) and line_of[to] == line_of[to - 1]):
+                name = None
+        if name:
+            found.append(name)
+        at = to if name else at + 1
+    met, at, titled = [], 0, None
+    while at < len(found):
+        rules = [(x, r) for x, r in license_rules.CATALOGUE_RULES if tuple(found[at : at + len(r)]) == tuple(r)]
+        if not rules:
+            at, titled = at + 1, None
+            continue
+        licence, rule = rules[0]
+        if titled != licence:
+            met.append(licence)
+        titled = licence if "-title-" in found[at] else None
+        at += len(rule)
+    return ",".join(found), ",".join(met)
+
+
+def test_licences_equal_a_plain_matcher(base_spark):
+    def by_words(entries):
+        return {license_rules.normalised(text): name for text, name in entries}
+
+    sentences = by_words((t, n) for n, t in license_rules.CATALOGUE.items())
+    leads = by_words((lead, lead) for lead in license_rules.LEADS)
+    notices = by_words(license_rules.NOTICES.items())
+    rng, texts = random.Random(8), []
+    plain = [t for n, t in license_rules.CATALOGUE.items() if "spdx" not in n.lower()]
+    titles = [t for n, t in license_rules.CATALOGUE.items() if "-title-" in n]
+    own = [t for n, t in SENTENCES.items() if "spdx" not in n.lower()]
+    for _ in range(250):
+        parts = []
+        for _ in range(rng.randint(1, 6)):
+            made = rng.choice((plain, titles, own, own, [""]))
+            part = rng.choice(made) or f"{rng.choice(license_rules.LEADS)} {rng.choice(list(license_rules.NOTICES))}"
+            part = rng.choice((str, str.upper, lambda t: t.replace(" ", "\n ", 2)))(part)
+            if rng.random() < 0.2:
+                part = part[: rng.randrange(len(part))]  # cut short
+            parts += [part, rng.choice(("\n", "\n", " ", " and then some words, ", ". The\n", "; it is "))]
+        texts.append("".join(parts))
+    df = base_spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.sentence_ids, r.licenses) for r in scan_licenses(df).collect()}
+    want = {i: brute_licences(t, sentences, leads, notices) for i, t in enumerate(texts)}
+    assert got == want and sum(bool(x) for _, x in want.values()) > 150
+
+
 # pieces
 
 
