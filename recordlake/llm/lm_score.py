@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -17,6 +19,7 @@ HELD_OUT, DELETED = 0, 1  # folds: not learned from; learned from, but left out
 CHUNK_TOKENS = 3 << 19
 STEP_TOKENS = 1 << 17  # tokens whose probabilities are held at once
 SLICE_ENTRIES = 1 << 22
+FAN = 64  # slices that a chunk, or a node of merged chunks, is divided into at most
 GRID = 8  # steps to an octave, on which held-out probabilities are counted for the weights
 ABSENT = -(1 << 20)
 ROUNDS = 60
@@ -144,9 +147,9 @@ def batch_of(rows: list[tuple], names, kinds) -> pa.RecordBatch:
 
 
 class Chunk:
-    """Tokens of a chunk, the distinct words and word pairs in it, and their slices."""
+    """Tokens of a chunk, and the distinct words and word pairs in it."""
 
-    def __init__(self, hashes, low, high, lengths, before, folds, slices: int):
+    def __init__(self, hashes, low, high, lengths, before, folds):
         self.hashes = np.frombuffer(hashes, np.uint64)
         self.ids = unpack_array(high, np.uint16).astype(np.uint32) << 16
         self.ids |= unpack_array(low, np.uint16)
@@ -163,15 +166,10 @@ class Chunk:
         first = self.hashes[(pairs >> np.uint64(32)).astype(np.uint32)]
         second = self.hashes[(pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)]
         self.pair_hashes = mixed(first, second)
-        self.slices = slices
 
-    def entries(self, kind: int):
-        """(order by hash, bounds of the slices) of the words (0) or word pairs (1)."""
-        hashes = (self.hashes, self.pair_hashes)[kind]
-        order = np.argsort(hashes)
-        cuts = [-(-(s << 64) // self.slices) for s in range(1, self.slices)]
-        inner = np.searchsorted(hashes[order], np.array(cuts, np.uint64))
-        return order, np.concatenate(([0], inner, [len(order)]))
+    def order(self, kind: int) -> np.ndarray:
+        """The words (0) or word pairs (1) by their hashes."""
+        return np.argsort((self.hashes, self.pair_hashes)[kind])
 
     def counts(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
         """Of each word or pair: how often learned from, and that without the deleted fold."""
@@ -199,78 +197,219 @@ def rows_of(batches):
 CHUNK_INPUTS = ["hashes", "low", "high", "lengths", "before", "folds"]
 
 
-def requests(chunks: DataFrame, slices: int) -> DataFrame:
-    """What each chunk counts of each slice of the hashes, one row each."""
-    fields = "chunk bigint, kind int, slice bigint, hashes binary, learned binary, used binary"
-    kinds = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 3]
+@dataclass(frozen=True)
+class Level:
+    """One exchange of counts: each unit sends a row to each of ``width`` slices at most.
+
+    ``slices`` is into how many ranges the hashes are divided by then, and
+    ``groups`` how many groups of units have such slices of their own.
+    """
+
+    width: int
+    slices: int
+    groups: int
+
+
+def levels_of(tokens: int, slice_entries: int, least: int, fan: int) -> list[Level]:
+    """Levels that end in slices of about ``slice_entries`` of all the corpus' tokens.
+
+    Groups are as many as let a slice of a group hold no more than that, too, so
+    that rows of all levels together follow the tokens, not chunks times slices.
+    """
+    need = max(min(least, fan), -(-tokens // slice_entries), 1)
+    levels, slices, rest = [], 1, need
+    while not levels or rest > 1:
+        width = min(fan, rest)
+        slices, rest = slices * width, -(-rest // width)
+        levels.append(Level(width, slices, -(-need // slices)))
+    return levels
+
+
+ASK = (
+    "grp bigint, unit bigint, kind int, slice bigint, hashes binary, learned binary, used binary"
+)
+ASK_NAMES = [f.split()[0] for f in ASK.split(", ")]
+ASK_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 3]
+
+
+def asks_of(group: int, unit: int, kind: int, inside: int, level: Level, hashes, counts):
+    """What a unit counts of each slice inside its own one, one row each; hashes ascend."""
+    first = inside * level.width
+    cuts = [-(-(s << 64) // level.slices) for s in range(first + 1, first + level.width)]
+    inner = np.searchsorted(hashes, np.array(cuts, np.uint64))
+    bounds = np.concatenate(([0], inner, [len(hashes)])).astype(np.int64)
+    rows = []
+    for s in range(level.width):
+        own = slice(bounds[s], bounds[s + 1])
+        if bounds[s] < bounds[s + 1]:
+            gaps = np.diff(hashes[own], prepend=np.uint64(0))
+            packed = [pack_array(c[own].astype(np.uint64)) for c in counts]
+            rows.append((group, unit, kind, first + s, pack_array(gaps), *packed))
+    return batch_of(rows, ASK_NAMES, ASK_KINDS)
+
+
+def chunk_asks(chunks: DataFrame, level: Level) -> DataFrame:
+    """The first level's rows: each chunk's words and pairs, by slices."""
 
     def run(batches):
         for row in rows_of(batches):
-            chunk = Chunk(*[row[c] for c in CHUNK_INPUTS], slices)
+            chunk = Chunk(*[row[c] for c in CHUNK_INPUTS])
             for kind, hashes in enumerate((chunk.hashes, chunk.pair_hashes)):
-                order, bounds = chunk.entries(kind)
-                learned, used = chunk.counts(kind)
-                rows = []
-                for s in range(slices):
-                    own = order[bounds[s] : bounds[s + 1]]
-                    if len(own):
-                        rows.append(
-                            (
-                                row["chunk"],
-                                kind,
-                                s,
-                                pack_array(np.diff(hashes[own], prepend=np.uint64(0))),
-                                pack_array(learned[own].astype(np.uint32)),
-                                pack_array(used[own].astype(np.uint32)),
-                            )
-                        )
-                yield batch_of(rows, [f.split()[0] for f in fields.split(", ")], kinds)
-
-    return chunks.select("chunk", *CHUNK_INPUTS).mapInArrow(run, fields)
-
-
-REPLY = "chunk bigint, kind int, slice bigint, learned binary, used binary, n_learned bigint, n_used bigint"
+                order = chunk.order(kind)
+                counts = [c[order] for c in chunk.counts(kind)]
+                yield asks_of(row["grp"], row["chunk"], kind, 0, level, hashes[order], counts)
 
+    grouped = chunks.withColumn("grp", F.pmod(F.xxhash64("chunk"), F.lit(level.groups)))
+    return grouped.select("chunk", "grp", *CHUNK_INPUTS).mapInArrow(run, ASK)
 
-def summed(group: pa.Table) -> pa.Table:
-    """The corpus counts of one slice, handed back to every chunk that asked, in its order."""
-    rows = group.to_pylist()
+
+def node_asks(nodes: DataFrame, level: Level) -> DataFrame:
+    """A further level's rows: each node's merged words and pairs, by finer slices."""
+
+    def run(batches):
+        for row in rows_of(batches):
+            hashes = np.cumsum(unpack_array(row["hashes"], np.uint64), dtype=np.uint64)
+            counts = [unpack_array(row[c], np.uint64) for c in ("learned", "used")]
+            group = row["grp"] % level.groups
+            yield asks_of(group, row["grp"], row["kind"], row["slice"], level, hashes, counts)
+
+    inputs = ["grp", "kind", "slice", "hashes", "learned", "used"]
+    return nodes.select(*inputs).mapInArrow(run, ASK)
+
+
+def by_slice(asks: DataFrame, level: Level):
+    """One group for each kind and slice of each group of units; tasks grow with their number."""
+    keys = ["grp", "kind", "slice"]
+    return asks.repartition(2 * level.groups * level.slices, *keys).groupBy(*keys)
+
+
+def added(rows: list[dict]):
+    """(distinct hashes, each row's places in them, learned and used counts of them)."""
     parts = [np.cumsum(unpack_array(r["hashes"], np.uint64), dtype=np.uint64) for r in rows]
-    bounds = np.cumsum([0] + [len(p) for p in parts])
     distinct, of = np.unique(np.concatenate(parts), return_inverse=True)
     totals = []
     for name in ("learned", "used"):
-        counts = np.concatenate([unpack_array(r[name], np.uint32) for r in rows])
+        counts = np.concatenate([unpack_array(r[name], np.uint64) for r in rows])
         totals.append(np.bincount(of, weights=counts, minlength=len(distinct)).astype(np.uint64))
+    return distinct, np.split(of, np.cumsum([len(p) for p in parts])[:-1]), totals
+
+
+NODE = (
+    "grp bigint, kind int, slice bigint, hashes binary, learned binary, used binary, "
+    "units array<bigint>, places array<binary>"
+)
+
+
+def merged(group: pa.Table) -> pa.Table:
+    """The counts of one slice of a group of units, and where in them each unit's are."""
+    rows = group.to_pylist()
+    distinct, places, totals = added(rows)
+    columns = {
+        "grp": pa.array([rows[0]["grp"]], pa.int64()),
+        "kind": pa.array([rows[0]["kind"]], pa.int32()),
+        "slice": pa.array([rows[0]["slice"]], pa.int64()),
+        "hashes": pa.array([pack_array(np.diff(distinct, prepend=np.uint64(0)))], pa.binary()),
+        "learned": pa.array([pack_array(totals[0])], pa.binary()),
+        "used": pa.array([pack_array(totals[1])], pa.binary()),
+        "units": pa.array([[r["unit"] for r in rows]], pa.list_(pa.int64())),
+        "places": pa.array(
+            [[pack_array(np.diff(p, prepend=0).astype(np.uint32)) for p in places]],
+            pa.list_(pa.binary()),
+        ),
+    }
+    return pa.table(columns)
+
+
+REPLY = "unit bigint, kind int, slice bigint, learned binary, used binary"
+REPLY_NAMES = [f.split()[0] for f in REPLY.split(", ")]
+REPLY_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+
+
+def summed(group: pa.Table) -> pa.Table:
+    """The corpus counts of one slice, handed back to every unit that asked, in its order."""
+    rows = group.to_pylist()
+    _, places, totals = added(rows)
     seen = [int(np.count_nonzero(t)) for t in totals]
-    out = {k: [] for k in ("chunk", "kind", "slice", "learned", "used", "n_learned", "n_used")}
-    for i, r in enumerate(rows):
-        own = of[bounds[i] : bounds[i + 1]]
-        values = (r["chunk"], r["kind"], r["slice"], *(pack_array(t[own]) for t in totals))
+    replies = [
         # the distinct words of the slice are told once
-        for name, value in zip(out, (*values, *(seen if i == 0 else (0, 0)))):
-            out[name].append(value)
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-    return pa.table({n: pa.array(v, k) for (n, v), k in zip(out.items(), kinds)})
+        (r["unit"], r["kind"], r["slice"], *(pack_array(t[own]) for t in totals))
+        + tuple(seen if i == 0 else (0, 0))
+        for i, (r, own) in enumerate(zip(rows, places))
+    ]
+    names, kinds = [*REPLY_NAMES, "n_learned", "n_used"], [*REPLY_KINDS, pa.int64(), pa.int64()]
+    return pa.Table.from_batches([batch_of(replies, names, kinds)])
+
+
+def handed_back(nodes: DataFrame, replies: DataFrame, level: Level) -> DataFrame:
+    """Replies to nodes as replies to the units they were merged from.
+
+    ``level`` is the one that the nodes asked, so at most its width of replies
+    come to each node.
+    """
+    inside = F.floor(F.col("slice") / F.lit(level.width)).alias("slice")
+    gathered = replies.groupBy(F.col("unit").alias("grp"), "kind", inside).agg(
+        F.collect_list(F.struct("slice", "learned", "used")).alias("replies")
+    )
+
+    def run(batches):
+        for row in rows_of(batches):
+            found = sorted(row["replies"], key=lambda r: r["slice"])
+            counts = [
+                np.concatenate([unpack_array(r[c], np.uint64) for r in found])
+                for c in ("learned", "used")
+            ]
+            for unit, raw in zip(row["units"], row["places"]):
+                own = np.cumsum(unpack_array(raw, np.uint32), dtype=np.int64)
+                values = [pack_array(c[own]) for c in counts]
+                yield batch_of(
+                    [(unit, row["kind"], row["slice"], *values)], REPLY_NAMES, REPLY_KINDS
+                )
+
+    known = nodes.select("grp", "kind", "slice", "units", "places").join(
+        gathered, ["grp", "kind", "slice"]
+    )
+    return known.mapInArrow(run, REPLY)
+
+
+def count_corpus(chunks: DataFrame, levels: list[Level]) -> tuple[DataFrame, tuple[int, int]]:
+    """(what the corpus counts of each chunk's words and pairs, distinct words learned and used).
+
+    Counts of a slice are merged level by level, over more and more chunks and
+    in finer and finer slices, then handed back the same way.
+    """
+    asks, stored = chunk_asks(chunks, levels[0]), []
+    for level, above in zip(levels, levels[1:]):
+        nodes = written(by_slice(asks, level).applyInArrow(merged, NODE), "nodes")
+        stored.append((nodes, above))
+        asks = node_asks(nodes, above)
+    told = by_slice(asks, levels[-1]).applyInArrow(
+        summed, f"{REPLY}, n_learned bigint, n_used bigint"
+    )
+    replies = written(told, "counts")
+    distinct = (
+        replies.where("kind = 0")
+        .agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_learned", "n_used")])
+        .first()
+    )
+    for nodes, above in reversed(stored):
+        replies = written(handed_back(nodes, replies, above), "counts")
+    return replies, tuple(distinct)
 
 
 class Model:
     """Probabilities of a chunk's tokens, from the counts handed back to it."""
 
-    def __init__(self, row: dict, slices: int, sizes: dict):
-        self.chunk = chunk = Chunk(*[row[c] for c in CHUNK_INPUTS], slices)
+    def __init__(self, row: dict, sizes: dict):
+        self.chunk = chunk = Chunk(*[row[c] for c in CHUNK_INPUTS])
         self.learned, self.used = [None, None], [None, None]
+        replies = sorted(row["replies"], key=lambda r: r["slice"])
         for kind in (0, 1):
-            order, bounds = chunk.entries(kind)
+            order = chunk.order(kind)
             for name, into in (("learned", self.learned), ("used", self.used)):
-                counts = np.zeros(len(order), np.uint64)
-                for reply in row["replies"]:
-                    if reply["kind"] == kind:
-                        s = reply["slice"]
-                        counts[order[bounds[s] : bounds[s + 1]]] = unpack_array(
-                            reply[name], np.uint64
-                        )
-                into[kind] = counts
+                # slices ascend as the hashes do, and each entry is in one of them
+                found = [unpack_array(r[name], np.uint64) for r in replies if r["kind"] == kind]
+                into[kind] = counts = np.empty(len(order), np.uint64)
+                counts[order] = np.concatenate(found)
         self.sizes = sizes
 
     def parts(self, name: str):
@@ -326,6 +465,7 @@ def score_texts(
     *,
     chunk_tokens: int = CHUNK_TOKENS,
     slice_entries: int = SLICE_ENTRIES,
+    fan: int = FAN,
 ) -> DataFrame:
     """Score every whole text by an interpolated bigram model learned from nine in ten.
 
@@ -344,7 +484,9 @@ def score_texts(
     row by row. With nothing learned, all estimates are uniform.
 
     Tokens are kept in chunks of ``chunk_tokens``; a chunk asks for each of its
-    distinct words and pairs once, so a frequent one costs a row a chunk. Words
+    distinct words and pairs once, in at most ``fan`` rows. Where all tokens need
+    more slices of ``slice_entries`` than that, the counts of groups of chunks are
+    merged first, so that rows grow as the tokens do. Words
     and pairs are told apart by 64-bit hashes. The driver gets token totals and
     a histogram bounded by its grid.
     """
@@ -360,24 +502,18 @@ def score_texts(
             )
         ]
     ).first()
-    slices = max(df.sparkSession.sparkContext.defaultParallelism, -(-n_all // slice_entries))
-    replies = written(
-        requests(chunks, slices).groupBy("slice", "kind").applyInArrow(summed, REPLY), "counts"
-    )
-    v_learned, v_used = (
-        replies.where("kind = 0")
-        .agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_learned", "n_used")])
-        .first()
-    )
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    levels = levels_of(n_all, slice_entries, cores, fan)
+    replies, (v_learned, v_used) = count_corpus(chunks, levels)
     sizes = {"learned": (n_learned, v_learned), "used": (n_used, v_used)}
-    gathered = replies.groupBy("chunk").agg(
+    gathered = replies.groupBy(F.col("unit").alias("chunk")).agg(
         F.collect_list(F.struct("kind", "slice", "learned", "used")).alias("replies")
     )
     known = chunks.join(gathered, "chunk")
 
     def held_out_counts(batches):
         for row in rows_of(batches):
-            model = Model(row, slices, sizes)
+            model = Model(row, sizes)
             for own, bucket, pair, word, unit in model.parts("used"):
                 mine = model.chunk.fold[own] == DELETED
                 keys = np.column_stack(
@@ -411,7 +547,7 @@ def score_texts(
 
     def scores(batches):
         for row in rows_of(batches):
-            model = Model(row, slices, sizes)
+            model = Model(row, sizes)
             lengths = model.chunk.lengths
             doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
             sums = np.zeros((3, len(lengths)))

@@ -575,10 +575,10 @@ def test_foreign_records_become_warc(base_spark):
 # language model
 
 
-@pytest.mark.parametrize("chunk_tokens", [1 << 20, 500])
-def test_language_model(base_spark, chunk_tokens):
+@pytest.mark.parametrize("sizes", [{}, {"chunk_tokens": 500}, {"chunk_tokens": 700, "slice_entries": 900, "fan": 3}])
+def test_language_model(base_spark, sizes):
     df = docs_of(base_spark)
-    rows = {r.doc_id: r for r in lm_score.score_texts(df, chunk_tokens=chunk_tokens).collect()}
+    rows = {r.doc_id: r for r in lm_score.score_texts(df, **sizes).collect()}
     texts = {r.doc_id: (r.text or "").encode().lower().split() + [b" end"] for r in df.collect()}
     fold = {i: zlib.crc32(str(i).encode()) % 10 for i in texts}
 
@@ -621,6 +621,42 @@ def test_language_model(base_spark, chunk_tokens):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_rows_of_counts_grow_as_the_tokens():
+    for fan in (2, 8, 64):
+        rows = []
+        for chunks in (10**3, 10**4, 10**5, 10**6):
+            tokens = chunks * lm_score.CHUNK_TOKENS
+            levels = lm_score.levels_of(tokens, lm_score.SLICE_ENTRIES, 8, fan)
+            assert levels[-1].groups == 1 and all(a.width <= fan for a in levels)
+            units = [chunks, *[a.groups * a.slices for a in levels[:-1]]]
+            rows.append(sum(n * a.width for n, a in zip(units, levels)) / chunks)
+            for a in levels:
+                # a slice of a group holds no more than asked for, the last ones as well
+                assert tokens <= a.groups * a.slices * lm_score.SLICE_ENTRIES
+        # a level more may come with ten times the chunks, never ten times the rows a chunk
+        assert all(b - a <= 5 * fan for a, b in zip(rows, rows[1:])) and rows[-1] <= 20 * fan
+    wide = lm_score.levels_of(10**11, lm_score.SLICE_ENTRIES, 8000, 64)
+    assert wide == lm_score.levels_of(10**11, lm_score.SLICE_ENTRIES, 8, 64)
+
+
+def test_rows_of_counts_sent(base_spark):
+    words = [f"w{i % 977} v{i % 1009} u{i}" for i in range(1200)]
+    sent = []
+    for n in (300, 600, 1200):
+        df = base_spark.createDataFrame(list(enumerate(words[:n])), "doc_id long, text string").repartition(4)
+        chunks = lm_score.written(lm_score.chunked(df, "doc_id", "text", 50), "chunks")
+        levels = lm_score.levels_of(4 * n, 100, 2, 4)
+        asks = lm_score.chunk_asks(chunks, levels[0])
+        total = asks.count()
+        for level, above in zip(levels, levels[1:]):
+            nodes = lm_score.written(lm_score.by_slice(asks, level).applyInArrow(lm_score.merged, lm_score.NODE), "n")
+            asks = lm_score.node_asks(nodes, above)
+            total += asks.count()
+        assert len(levels) >= 2
+        sent.append(total)
+    assert sent[1] < 2.8 * sent[0] and sent[2] < 2.8 * sent[1]
+
+
 def test_language_model_odd_rows(odd, none):
     rows = lm_score.score_texts(odd).collect()
     assert len(rows) == 9 and sorted(r.n_tokens for r in rows)[:3] == [1, 1, 1]
