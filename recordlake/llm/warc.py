@@ -16,6 +16,7 @@ from recordlake.llm.frames import written
 from recordlake.session import scratch_dir
 
 ARCHIVE_BYTES = 16 << 20  # uncompressed, after which an archive is closed
+TASK_BYTES = 128 << 20  # of payloads, uncompressed, that a task rewrites on average
 MIN_REVISIT_BYTES = 100
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: RFC 4122, URLs
 LEVEL = 1
@@ -400,9 +401,12 @@ def arc_to_warc(
     Archives are read twice: narrowly for a few facts of each record, then
     whole, each beside the list of its own revisits. Facts alone are compared;
     a digest that very many records share is summed up before the shuffle.
-    An archive moves once, as it is stored.
+    An archive moves once, as it is stored, to one of as many tasks as the payloads
+    need at ``TASK_BYTES`` each, or as the session sets for shuffles, if those are more.
     """
     facts = written(facts_of(archives), "arc-facts")
+    held = facts.agg(F.coalesce(F.sum("payload_bytes"), F.lit(0))).first()[0]
+    tasks = -(-held // TASK_BYTES)
     order = F.struct(
         F.col("page_id").isNull().alias("none"), "page_id", "archive", "place", "url", "date"
     )
@@ -421,9 +425,11 @@ def arc_to_warc(
         .groupBy(F.col("archive").alias("path"))
         .agg(F.collect_list(F.struct("place", "of.page_id", "of.url", "of.date")).alias("revisits"))
     )
-    joined = archives.select("path", "content").join(
-        written(lists, "revisits").hint("merge"), "path", "left"
-    )
+    sides = [archives.select("path", "content"), written(lists, "revisits")]
+    if tasks > int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        # Spark would not go beyond its own number; below it, it joins small partitions itself
+        sides = [side.repartition(tasks, "path") for side in sides]
+    joined = sides[0].join(sides[1].hint("merge"), "path", "left")
 
     def warc(content, revisits):
         known = {r["place"]: r for r in revisits or ()}

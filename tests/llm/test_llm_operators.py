@@ -572,6 +572,19 @@ def test_foreign_records_become_warc(base_spark):
     assert (row.record_type, row.payload_bytes, row.payload_digest) == ("revisit", None, None)
 
 
+def test_archives_are_dealt_out_by_their_bytes(base_spark, monkeypatch):
+    before = base_spark.conf.get("spark.sql.shuffle.partitions")
+    base_spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        pages = base_spark.read.parquet(f"{SF_DIR}/pages.parquet")
+        plain = {tuple(r) for r in warc.pages_through_warc(pages, archive_bytes=1 << 14).collect()}
+        monkeypatch.setattr(warc, "TASK_BYTES", 1 << 16)
+        dealt = [tuple(r) for r in warc.pages_through_warc(pages, archive_bytes=1 << 14).collect()]
+        assert set(dealt) == plain and len(dealt) == pages.count()
+    finally:
+        base_spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 # language model
 
 
