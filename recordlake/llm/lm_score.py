@@ -19,7 +19,9 @@ HELD_OUT, DELETED = 0, 1  # folds: not learned from; learned from, but left out
 CHUNK_TOKENS = 3 << 19
 STEP_TOKENS = 1 << 17  # tokens whose probabilities are held at once
 SLICE_ENTRIES = 1 << 22
-FAN = 64  # slices that a chunk, or a node of merged chunks, is divided into at most
+# slices that a chunk, or a node of merged chunks, is divided into at most: rows of some
+# kilobytes, and few levels, as each one more takes half as much disk again
+FAN = 1 << 11
 GRID = 8  # steps to an octave, on which held-out probabilities are counted for the weights
 ABSENT = -(1 << 20)
 ROUNDS = 60

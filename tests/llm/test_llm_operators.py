@@ -635,7 +635,7 @@ def test_language_model(base_spark, sizes):
 
 
 def test_rows_of_counts_grow_as_the_tokens():
-    for fan in (2, 8, 64):
+    for fan in (2, 8, 64, lm_score.FAN):
         rows = []
         for chunks in (10**3, 10**4, 10**5, 10**6):
             tokens = chunks * lm_score.CHUNK_TOKENS
