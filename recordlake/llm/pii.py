@@ -36,7 +36,7 @@ CONTEXT = (
 )
 SECRET = r"(?i)(?:passw|secret|token|key|hash|sha|version)[^\s]*\s*[:=]?\s*[\"']?$"
 
-SAMPLE_ROWS = 20_000
+TASK_ROWS = 100_000
 PRECISION = 0.95
 BINS = 20
 BLOCK = 256
@@ -231,43 +231,58 @@ FEATURES = [
 ]
 
 
-def scored(proposed: DataFrame, sample_rows: int, precision: float) -> DataFrame | None:
+def scored(proposed: DataFrame, precision: float) -> DataFrame | None:
     """Candidates that are no base spans and whose score passes; None if nothing can be learned.
 
-    Learns from at most ``sample_rows`` candidates, those with the smallest
-    draws. A draw is a hash of the text and the place in it, so what is learned
-    follows from the texts, however they are dealt out, and of copies of a text
-    one is drawn. Taken are spans that pass their shape's test, as they are and as variants
+    Learns from all candidates. A draw is a hash of the text and the place in
+    it, so what is learned follows from the texts, however they are dealt out,
+    and of copies of a text one counts. Taken are spans that pass their shape's test, as they are and as variants
     (``twin``), against those that fail it and numbers of no shape. Nothing
     labels the variants themselves, so they are not used for learning, nor is a
     number that overlaps one. Three in four train the trees; on the rest, scores are cut into bins
     and the threshold is the lowest bin from which on the share of true spans
-    is at least ``precision``.
+    is at least ``precision``. Candidates with the same features and label are
+    one row whose weight is their number, which trees and bins take as that many rows.
     """
     labelled = proposed.where(~F.col("kind").isin(*VARIANTS)).where(
         ~F.col("inside") & ~((F.col("kind") == NUMBER) & F.col("varied"))
     )
-    drawn = ["draw", "kind", "start", "twin"]
-    alike = labelled.select(*drawn, "valid", *FEATURES).dropDuplicates(drawn)
-    sample = written(alike.orderBy(*drawn).limit(sample_rows), "sample")
-    ready = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    sample = ready.transform(sample.withColumn("label", F.col("valid").cast("double")))
+    alike = labelled.select("draw", "kind", "start", "twin", "valid", *FEATURES).dropDuplicates(
+        ["draw", "kind", "start", "twin"]
+    )
     held_out = F.pmod("draw", F.lit(4)) == 0
-    train = sample.where(~held_out)
-    seen = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if min(seen.get(0.0, 0), seen.get(1.0, 0)) < 10:
+    weighted = written(
+        alike.groupBy(held_out.alias("held_out"), "valid", *FEATURES).agg(
+            F.count(F.lit(1)).cast("double").alias("weight")
+        ),
+        "weighted",
+    )
+    ready = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    weighted = ready.transform(weighted.withColumn("label", F.col("valid").cast("double")))
+    train = weighted.where("not held_out")
+    seen = {
+        r["label"]: r
+        for r in train.groupBy("label")
+        .agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("rows"))
+        .collect()
+    }
+    if len(seen) < 2 or min(r["n"] for r in seen.values()) < 10:
         return None
-    model = GBTClassifier(maxIter=10, maxDepth=3, maxBins=16, seed=1).fit(
-        train.select("features", "label").coalesce(1)
+    # a number of tasks that follows from the rows and an order in each: the same rows, the same trees
+    tasks = 1 + sum(r["rows"] for r in seen.values()) // TASK_ROWS
+    model = GBTClassifier(maxIter=10, maxDepth=3, maxBins=16, seed=1, weightCol="weight").fit(
+        train.repartition(tasks, *FEATURES, "label")
+        .sortWithinPartitions(*FEATURES, "label")
+        .select("features", "label", "weight")
     )
 
     def with_score(df: DataFrame) -> DataFrame:
         return model.transform(df).withColumn("score", vector_to_array("probability")[1])
 
     bins = (
-        with_score(sample.where(held_out))
+        with_score(weighted.where("held_out"))
         .groupBy(F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).alias("bin"))
-        .agg(F.sum("label").alias("true"), F.count("*").alias("n"))
+        .agg(F.sum(F.col("label") * F.col("weight")).alias("true"), F.sum("weight").alias("n"))
         .orderBy(F.desc("bin"))
         .collect()
     )
@@ -292,7 +307,6 @@ def find_personal_data(
     id_column: str = "doc_id",
     text: str = "text",
     *,
-    sample_rows: int = SAMPLE_ROWS,
     precision: float = PRECISION,
 ) -> DataFrame:
     """Personal data in every whole text, by built-in expressions and Spark ML alone.
@@ -338,7 +352,7 @@ def find_personal_data(
         some.join(within, ["rid", "kind", "start"], "left").fillna(False, ["inside", "varied"]),
         "marked",
     )
-    chosen = scored(marked, sample_rows, precision)
+    chosen = scored(marked, precision)
     span = F.struct(F.col("start"), F.col("kind"), F.col("end"))
     rows = proposed.where("not twin").select(
         "rid",

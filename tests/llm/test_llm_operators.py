@@ -775,6 +775,19 @@ def test_personal_data_does_not_depend_on_partitions(base_spark):
     assert any("variant" in s for s in results[0].values())
 
 
+def test_personal_data_is_learnt_from_all_candidates(base_spark, monkeypatch):
+    rng = random.Random(21)
+    numbers = [" ".join(f"n{rng.randrange(10**6)}" for _ in range(100)) for _ in range(240)]
+    texts = [*numbers, *[f"mail ann{i}@site.org now" for i in range(1200)], *numbers[:9]]
+    df = base_spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    stored, write = {}, pii.written
+    monkeypatch.setattr(pii, "written", lambda found, label: stored.setdefault(label, write(found, label)))
+    pii.find_personal_data(df)
+    learnt = stored["weighted"].groupBy("valid").agg(F.sum("weight").alias("n")).collect()
+    # an address counts twice, as it is and as a variant; copies of a text count once
+    assert {r.valid: r.n for r in learnt} == {False: 24_000, True: 2_400}
+
+
 # neighbours
 
 
