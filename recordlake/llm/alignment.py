@@ -109,42 +109,48 @@ def possible_pairs(a: list[bytes], b: list[bytes]) -> np.ndarray:
     return np.array(sorted(codes), np.int64)
 
 
-def index_of(ends: list[int]) -> dict[int, int]:
-    """End offset to the index of the last token that ends there."""
-    return dict(zip(ends, range(len(ends))))
-
-
-def cut(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray, bool]:
+def cut(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
     """For every offset where both sides have an end, the last index there on each side.
 
     And whether some tokens have no bytes, so that several end at one offset.
     """
-    at_a, at_b = index_of(ends_a), index_of(ends_b)
-    common = sorted(at_a.keys() & at_b.keys())
-    last = [np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (at_a, at_b)]
-    return *last, len(at_a) < len(ends_a) or len(at_b) < len(ends_b)
+    ends_a, ends_b = np.asarray(ends_a), np.asarray(ends_b)
+    last_a, last_b = (np.flatnonzero(np.diff(ends, append=-1)) for ends in (ends_a, ends_b))
+    several = len(last_a) < len(ends_a) or len(last_b) < len(ends_b)
+    at_a, at_b = ends_a[last_a], ends_b[last_b]
+    is_end = np.zeros(max(at_a[-1], at_b[-1]) + 1, np.int8)
+    is_end[at_a] = 1
+    is_end[at_b] += 1
+    return last_a[is_end[at_a] == 2], last_b[is_end[at_b] == 2], several
 
 
 class Names:
-    """Ids as text, each with every mark that may follow it."""
+    """Ids as text with the mark that follows: eight bytes each, digits to the right, then the mark.
+
+    Bytes that are zero stand for nothing.
+    """
 
     def __init__(self, size: int):
-        self.before = {mark: np.array([f"{i}{mark}" for i in range(size)], object) for mark in ",|;"}
+        if size > 10**7:
+            raise ValueError(f"{size} ids; those of more than seven digits do not fit")
+        spelt = b"".join(f"{i},".rjust(8, "\0").encode() for i in range(size))
+        self.words = np.frombuffer(spelt, "<u8")
 
     def groups(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
         """The slices up to ``last_a`` and ``last_b`` as `a1,a2|b1;a3|b2,b3`."""
-        parts = np.empty(len(a) + len(b), object)
+        parts = np.empty(len(a) + len(b), "<u8")
         for ids, last, mark, others in ((a, last_a, "|", np.append(0, last_b[:-1] + 1)), (b, last_b, ";", last_a + 1)):
-            names = self.before[","][ids]
-            names[last] = self.before[mark][ids[last]]
+            names = self.words[ids]
+            names[last] += np.uint64((ord(mark) - ord(",")) << 56)
             # a slice of A stands after all earlier slices of B, one of B also after its own of A
             sizes = np.diff(last, prepend=-1)
             parts[np.arange(len(ids)) + np.repeat(others, sizes)] = names
-        return "".join(parts.tolist())[:-1]
+        spelt = parts.view(np.uint8)
+        return spelt[spelt != 0].tobytes()[:-1].decode("ascii")
 
 
 def linked(
-    ends_a: list[int], ends_b: list[int], last_a: np.ndarray, last_b: np.ndarray
+    ends_a: np.ndarray, ends_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Indices of all token pairs that end together, slice by slice.
 
@@ -157,7 +163,7 @@ def linked(
     return tuple(np.array(pairs, np.int64).reshape(-1, 2).T)
 
 
-def _back(ends: list[int], last: int) -> list[int]:
+def _back(ends: np.ndarray, last: int) -> list[int]:
     first = last
     while first and ends[first - 1] == ends[last]:
         first -= 1
@@ -178,11 +184,11 @@ class Aligner:
         ids_a, ids_b = self.a.encode(spaced), self.b.encode(text)
         raw = spaced.encode()
         row_a, row_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-        ends_a = np.cumsum(self.sizes[0][row_a]).tolist()
+        ends_a = np.cumsum(self.sizes[0][row_a])
         # A's tokens spell what they are given, every byte being one; its length tells of a cut
         if ends_a[-1] != len(raw) or b"".join(map(self.b.tokens.__getitem__, ids_b)) != raw:
             return NOTHING
-        ends_b = np.cumsum(self.sizes[1][row_b]).tolist()
+        ends_b = np.cumsum(self.sizes[1][row_b])
         last_a, last_b, several = cut(ends_a, ends_b)
         groups = self.names.groups(row_a, row_b, last_a, last_b)
         x, y = linked(ends_a, ends_b, last_a, last_b) if several else (last_a, last_b)
@@ -237,8 +243,10 @@ def count_links(
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, np.int64)
         for batch in pieces_of(batches):
-            for raw in batch.column(0).drop_null().to_pylist():
-                counts += np.bincount(unpack_array(raw, np.uint32), minlength=size)
+            links = [unpack_array(raw, np.uint32) for raw in batch.column(0).drop_null().to_pylist()]
+            if links:
+                numbers, times = np.unique(np.concatenate(links), return_counts=True)
+                counts[numbers] += times
         met = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], names=["pair", "n"])
 

@@ -111,6 +111,21 @@ def test_tokens_of_no_bytes_link_with_all_that_end_there():
     assert list(zip(x.tolist(), y.tolist())) == [(0, 1), (1, 1), (2, 2), (2, 3)]
 
 
+def test_groups_are_spelt_from_eight_bytes_an_id():
+    names = alignment.Names(60_000)
+    assert names.words.nbytes == 8 * 60_000
+    rng = random.Random(8)
+    for _ in range(50):
+        sizes = [(rng.randint(1, 4), rng.randint(1, 4)) for _ in range(rng.randint(1, 9))]
+        slices = [tuple([rng.choice([0, 7, 10, 59_999, rng.randrange(60_000)]) for _ in range(k)] for k in own) for own in sizes]
+        a, b = (np.array(sum((own[side] for own in slices), []), np.int64) for side in (0, 1))
+        last_a, last_b = (np.cumsum([own[side] for own in sizes]) - 1 for side in (0, 1))
+        want = ";".join("|".join(",".join(map(str, ids)) for ids in own) for own in slices)
+        assert names.groups(a, b, last_a, last_b) == want
+    with pytest.raises(ValueError):
+        alignment.Names(10**7 + 1)
+
+
 def test_every_link_is_a_possible_pair():
     pairs = alignment.possible_pairs([b"", b"ab", b"b", b"c"], [b"b", b"ab", b"cab"])
     assert sorted(divmod(int(p), 3) for p in pairs if p // 3) == [(1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 2)]
