@@ -101,26 +101,34 @@ def key_census(records: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     type. It ends at the deepest record.
     """
     named = [F.col(quoted(k)) for k in keys]
-    kind = F.regexp_extract(F.schema_of_variant("value"), KIND, 0)
+    # a container's inner types, which would be found again at each level, are not looked for
+    as_object = F.try_variant_get("value", "$", "map<string,variant>")
+    as_list = F.try_variant_get("value", "$", "array<variant>")
+    found = F.when(as_object.isNotNull(), OBJECT).when(as_list.isNotNull(), ARRAY)
+    found = found.otherwise(F.schema_of_variant("value"))
     values = records.where(F.col(RECORD).isNotNull()).select(
         *named, F.array().cast("array<string>").alias("path"), F.col(RECORD).alias("value")
     )
-    explode, levels = records.sparkSession.tvf.variant_explode_outer, []
+    explode, levels = records.sparkSession.tvf.variant_explode, []
     while True:
         opened = values.withColumnRenamed("value", "_held").lateralJoin(
             explode(F.col("_held").outer())
         )
-        # an object or list without content gives one row without a place in it
-        values = opened.where(F.col("pos").isNotNull()).select(
+        # what has no content, or is none of both, gives no row
+        values = opened.select(
             *named,
             F.concat("path", F.array("key")).alias("path"),
             F.coalesce("value", F.parse_json(F.lit("null"))).alias("value"),
         )
-        counted = values.groupBy(*named, "path", kind.alias("type")).agg(F.count(F.lit(1)).alias("n"))
+        counted = (
+            values.groupBy(*named, "path", found.alias("type"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(*named, "path", F.regexp_extract("type", KIND, 0).alias("type"))
+            .agg(F.sum("n").alias("n"))
+        )
         levels.append(materialize(counted, "key-census"))
         if not levels[-1].where(F.col("type").isin(OBJECT, ARRAY)).take(1):
             break
-        values = values.where(kind.isin(OBJECT, ARRAY))
     census = levels[0]
     for level in levels[1:]:
         census = census.unionByName(level)

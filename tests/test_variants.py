@@ -151,3 +151,23 @@ def test_large_records_are_tried(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ndjson, "VARIANT_SAFE_BYTES", 100)
     (tmp_path / "a.ndjson").write_text(json.dumps({"a": "x" * 500}) + "\n")
     assert ndjson.audit_files(variants.read_records(spark, str(tmp_path))).first().n_bad == 0
+
+
+def test_census_looks_for_types_of_plain_values_once(stored, monkeypatch):
+    records = stored({"a": {"b": {"c": [{}, [], [1, None]]}}}, {"a": {"b": 1.5}, "d": None})
+    plans, write = [], variants.materialize
+
+    def watched(df, label):
+        plans.append(df._jdf.queryExecution().analyzed().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(variants, "materialize", watched)
+    found = {(*r["path"], r["type"]): r["n"] for r in variants.key_census(records).collect()}
+    c = ("a", "b", "c")
+    assert found == {
+        ("a", "OBJECT"): 2, ("a", "b", "OBJECT"): 1, ("a", "b", "DECIMAL"): 1, ("d", "VOID"): 1,
+        (*c, "ARRAY"): 1, (*c, None, "OBJECT"): 1, (*c, None, "ARRAY"): 2,
+        (*c, None, None, "BIGINT"): 1, (*c, None, None, "VOID"): 1,
+    }
+    # a deeper level does not look again for what those above it looked for
+    assert len(plans) == 5 and len({plan.count("schema_of_variant(") for plan in plans}) == 1
