@@ -748,7 +748,7 @@ def medical_records_from_files(spark, sf_dir):
         unit_pattern=fixtures.RECORD_DIRECTORY,
     )
     out = scratch_dir(spark, "medical-records")
-    tables.write_table(records, out, ["resource_type"], rebalance=True)
+    tables.write_table(records, out, ["resource_type"])  # a task has rows of one type
     return tables.read_tables(spark, out, records.schema).select(*RECORD_COLUMNS)
 
 
