@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordlake import fixtures
 from recordlake.operators import control
 from recordlake.session import SETTINGS, lake_session, scratch_dir
 from recordlake.sources import layout, ndjson, registry, tables
@@ -214,3 +215,36 @@ def test_routing_and_skipping(spark):
     status = spark.createDataFrame([("skip",), ("proceed",), (None,)], "status string")
     assert [r.status for r in control.active(status).collect()] == ["proceed", None]
     assert control.active(status.where("status = 'skip'")).count() == 0
+
+
+def test_partitions_of_a_write_are_open_at_once(spark, tmp_path):
+    """Rows keep their order: nothing is sorted; beyond the limit of open files all rows come too."""
+    limit = int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+    assert limit >= 15
+    few, many = (spark.range(400, numPartitions=2).withColumn("p", F.col("id") % n) for n in (3, limit + 20))
+    for df, name in ((few, "few"), (many, "many")):
+        tables.write_table(df, f"{tmp_path}/{name}", ["p"])
+        back = tables.read_tables(spark, f"{tmp_path}/{name}").select("id", F.col("p").cast("bigint"))
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_record_files_are_compressed(spark, tmp_path):
+    spark.range(60).select(
+        F.col("id").alias("event_id"), F.lit("2024-01-01").cast("timestamp").alias("ts"),
+        F.col("id").alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.5).alias("value"),
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(60).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).cast("bigint").alias("l_linenumber"), F.col("id").alias("l_suppkey"),
+        F.lit("2024-01-01").cast("date").alias("l_shipdate"), F.lit("A").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(60).select(
+        F.col("id").alias("doc_id"), F.lit("web").alias("source"), F.lit("en").alias("lang")
+    ).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(60).select(
+        F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("2024-01-01").cast("date").alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority"), F.lit("F").alias("o_orderstatus"),
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    root = fixtures.write_record_files(spark, str(tmp_path))
+    lines = spark.read.text(root, recursiveFileLookup=True).withColumn("file", F.input_file_name())
+    assert lines.count() == 241
+    assert lines.where(~F.col("file").endswith(".gz")).count() == 0
