@@ -14,7 +14,7 @@ from recordlake.functions.times import DATE_ONLY, MILLIS_Z, SECONDS_Z
 from recordlake.sources.layout import LANDING_LEVELS, landing_columns
 from recordlake.sources.ndjson import parse_record
 from recordlake.session import scratch_dir
-from recordlake.sources.tables import spread
+from recordlake.sources.tables import FAST_GZIP, spread
 from recordlake.plans.specs import (
     CLINICAL_IMPRESSION,
     IMMUNIZATION,
@@ -24,6 +24,7 @@ from recordlake.plans.specs import (
 )
 
 AS_OF = "2024-06-01 12:30:45.678"
+RECORDS_PER_FILE = 1_000_000
 
 _TEXT, _LONG, _DOUBLE = T.StringType(), T.LongType(), T.DoubleType()
 
@@ -237,7 +238,8 @@ def undeclared_files(spark: SparkSession, sf_dir: str) -> str:
     """Files of nested records, three of four with keys that ``NESTED_SCHEMA`` lacks.
 
     One of these keys is a text in some records and a number in others, and a
-    list's objects have different keys.
+    list's objects have different keys. Files are gzip text of a bounded number
+    of records each, since gzip cannot be split.
     """
     line, batch = F.col("l_linenumber"), (F.col("l_partkey") % 10).cast("string")
     kind = F.col("l_linenumber") % 4
@@ -253,7 +255,9 @@ def undeclared_files(spark: SparkSession, sf_dir: str) -> str:
     lines = table(spark, sf_dir, "lineitem")
     texts = nested_json(lines.withColumn("extra", extra), "extra")
     root = scratch_dir(spark, "undeclared")
-    texts.select(F.concat(F.lit("{"), "extra", F.expr("substring(value, 2)")).alias("value")).write.text(root)
+    records = texts.select(F.concat(F.lit("{"), "extra", F.expr("substring(value, 2)")).alias("value"))
+    writer = records.write.options(**FAST_GZIP)
+    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(root)
     return root
 
 

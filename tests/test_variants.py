@@ -1,11 +1,15 @@
 """Schemas and key paths found in stored records, and what is done with them."""
 
+import gzip
 import json
+from pathlib import Path
 
 import pytest
+from conftest import SF_DIR
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordlake import fixtures
 from recordlake.functions.values import with_declared_fields
 from recordlake.operators.flatten import flatten
 from recordlake.operators.staging import Rule, StageSpec, stage
@@ -171,3 +175,17 @@ def test_census_looks_for_types_of_plain_values_once(stored, monkeypatch):
     }
     # a deeper level does not look again for what those above it looked for
     assert len(plans) == 5 and len({plan.count("schema_of_variant(") for plan in plans}) == 1
+
+
+def test_undeclared_files_are_small_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fixtures, "RECORDS_PER_FILE", 200)
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").limit(3000)
+    lines.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    root = Path(fixtures.undeclared_files(spark, str(tmp_path)))
+    texts = [gzip.decompress(f.read_bytes()) for f in root.glob("*.txt.gz")]
+    assert not list(root.glob("*.txt")) and max(text.count(b"\n") for text in texts) == 200
+    assert sum(text.count(b"\n") for text in texts) == 3000
+    # a plain text of 6 GB of tables, with the stored records, does not fit 70 GB
+    assert sum(f.stat().st_size for f in root.glob("*.gz")) < sum(map(len, texts)) / 4
+    stored = Path(variants.read_records(spark, str(root)).inputFiles()[0].removeprefix("file:"))
+    assert stored.name.endswith(".zstd.parquet")
