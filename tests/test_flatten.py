@@ -208,3 +208,24 @@ def test_the_last_key_of_the_text_wins(spark):
 def test_the_last_key_needs_the_text(spark):
     with pytest.raises(ValueError, match="text"):
         flatten(ordered(spark, "{}").drop("text"), on_collision="last")
+
+
+def test_lists_of_a_text_are_taken_whole_and_made_once(spark):
+    schema = T.StructType.fromDDL("id string, items array<struct<qty:double,note:string>>")
+    lists = {
+        "whole": ([{"qty": 1, "note": "a"}, {"note": "b", "qty": 2.5}], [1.0, 2.5], ["a", "b"]),
+        "absent": ([{"qty": 1}, {"note": "b"}, {}], [1.0], ["b"]),
+        "written": ([{"qty": None, "note": "a"}, {"qty": 2}], [None, 2.0], ["a"]),
+        "other type": ([{"qty": "x", "note": 1.5}, {"qty": 3, "note": "n"}], [None, 3.0], ["1.5", "n"]),
+        "none": ([], None, None),
+        "empty": ([{}], None, None),
+    }
+    texts = [(json.dumps({"id": name, "items": x[0]}),) for name, x in lists.items()] + [('{"id":"no"}',)]
+    df = spark.createDataFrame(texts, "text string")
+    df = df.select("text", F.from_json("text", schema).alias("r")).select("text", "r.*")
+    flat = flatten(df, text="text")
+    rows = {r.id: (r.items__qty, r.items__note) for r in flat.collect()}
+    assert rows == {name: x[1:] for name, x in lists.items()} | {"no": (None, None)}
+    # the way that tells an absent key from a written null stands in the plan once a key
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrayType(VariantType") == 2

@@ -157,3 +157,12 @@ def test_attach_with_a_third_of_rows_on_one_key(spark, broadcast_bytes, request)
         small = keys.where(needed).drop("n_rows").withColumnRenamed("key", "k")
         plain = df.join(small, F.col("key").eqNullSafe(F.col("k")), "left").select(out.columns)
         assert out.exceptAll(plain).count() == 0 and plain.exceptAll(out).count() == 0
+
+
+def test_attach_joins_nothing_where_no_key_is_needed(spark):
+    df = spark.range(10).select((F.col("id") % 2).alias("key"), "id")
+    keys = df.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"), F.max("id").alias("top"))
+    out = attach(df, keys.withColumn("flag", F.lit(True)), "key", ~F.col("flag"))
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.dtypes == [("key", "bigint"), ("id", "bigint"), ("top", "bigint"), ("flag", "boolean")]
+    assert {(r.id, r.top, r.flag) for r in out.collect()} == {(i, None, None) for i in range(10)}
